@@ -87,13 +87,12 @@ def broker_envelope_decode(spark, sf_dir):
 
 
 def body_base64(spark, sf_dir):
-    events = _events(spark, sf_dir)
-    coded = events.withColumn("coded", encode_body("body"))
-    return coded.select(
-        *_IDS,
-        F.length("coded").alias("coded_length"),
-        (decode_body("coded") == F.col("body")).alias("same"),
-    ).filter("same").drop("same")
+    bodies = table(spark, sf_dir, "events").select("event_id", encode_body("props").alias("coded"))
+    return bodies.select(
+        "event_id",
+        body_text("coded").alias("coded"),
+        body_text(decode_body("coded")).alias("body"),
+    )
 
 
 def json_decode(spark, sf_dir):
@@ -181,7 +180,10 @@ QUERIES = {
     "decode_events_batch": (decode_events_batch, _DECODED),
     "decode_events_stream": (decode_events_stream, _DECODED),
     "broker_envelope_decode": (broker_envelope_decode, f"WITH {FARES_SQL} {_decoded_sql('')}"),
-    "body_base64": (body_base64, None),
+    "body_base64": (
+        body_base64,
+        "SELECT event_id, to_base64(encode(props)) AS coded, props AS body FROM events",
+    ),
     "json_decode": (
         json_decode,
         "SELECT event_id, cast(json_extract(props, '$.k') AS int) AS k FROM events",
