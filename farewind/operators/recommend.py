@@ -16,6 +16,8 @@ from farewind.scratch import ensure_checkpoint_dir
 
 # Label tables up to this many rows may be ranked by one task and sent to every executor.
 MAX_BROADCAST_LABELS = 500_000
+# Recommendations (users times routes each) up to this many rows, likewise.
+MAX_BROADCAST_RECOMMENDATIONS = 200_000
 
 NULL_POLICIES = ("error", "skip", "keep")
 
@@ -214,12 +216,17 @@ def recommend_with_source(recs: DataFrame, fares: DataFrame) -> DataFrame:
 def attach_fares(recs: DataFrame, fares: DataFrame) -> DataFrame:
     """Every recommendation of a user next to every fare of that user, with the price band.
 
-    The result is the product of the two per user. The side with the fares is never
-    broadcast by this code, and a crowded user's fares are split at run time (adaptive skew
-    join), each piece meeting the user's few recommendations.
+    The result is the product of the two per user. The recommendations are stored first. If
+    they are few, they go to every executor and the fares are joined where they are read;
+    otherwise both sides are shuffled, and a crowded user's fares are split at run time
+    (adaptive skew join), each piece meeting the user's few recommendations.
     """
+    ensure_checkpoint_dir(recs.sparkSession)
+    stored = recs.checkpoint()
+    if stored.count() <= MAX_BROADCAST_RECOMMENDATIONS:
+        stored = F.broadcast(stored)
     offers = fares.select("userId", "Airline", "Price")
-    return recs.join(offers, "userId").withColumn("price_range", price_band("Price"))
+    return stored.join(offers, "userId").withColumn("price_range", price_band("Price"))
 
 
 def recommend_with_prices(

@@ -1,0 +1,39 @@
+from __future__ import annotations
+
+import pytest
+
+from farewind import schemas
+from farewind.operators import fares
+from farewind.operators.filters import ALL, distinct_values, run_sql, where_equal
+from tests.fixture_rows import FARE_ROWS
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.createDataFrame(FARE_ROWS, schemas.FARE)
+
+
+def test_cheapest(table):
+    rows = fares.cheapest_fares(table, "Delhi").collect()
+    assert [tuple(r) for r in rows] == [("CheeseAir", "Pune", 17), ("CheeseAir", "Mumbai", 21)]
+    assert fares.cheapest_fares(table, "Delhi", limit=1).count() == 1
+
+
+def test_no_destination_shows_any_rows_with_all_columns(table):
+    for nothing in (None, ""):
+        shown = fares.cheapest_fares(table, nothing, limit=3)
+        assert shown.columns == schemas.FARE.names and shown.count() == 3
+
+
+def test_filters(table):
+    assert fares.fares_for(table, "Delhi", "Pune").count() == 1
+    assert fares.fares_for(table).count() == 5
+    assert fares.fares_for(table, airline=None).count() == 0
+    assert where_equal(table, Airline=ALL, Source="Delhi").count() == 1
+    assert distinct_values(table, "Destination").count() == 4
+
+
+def test_sql_values_are_not_text(spark, table):
+    text = "SELECT Price FROM {fares} WHERE Destination = :d AND Price > :p"
+    assert run_sql(spark, text, {"fares": table}, d="Delhi", p=17).collect() == [(21,)]
+    assert run_sql(spark, text, {"fares": table}, d="x' OR 'a' = 'a", p=0).count() == 0

@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from farewind.operators import recommend
+from farewind.operators.recommend import LabelIndex
+
+
+@pytest.fixture(scope="module")
+def rated(spark):
+    chance = random.Random(5)
+    rows = [
+        (chance.randrange(12), f"R{chance.randrange(15)}", f"S{chance.randrange(3)}",
+         chance.choice(["A", "B"]), chance.randrange(3000), chance.random())
+        for _ in range(600)
+    ]
+    df = spark.createDataFrame(
+        rows, "userId int, Route string, Source string, Airline string, Price int, rating float"
+    )
+    indexed, tables = recommend.index_labels(df, {"Route": "route_index"})
+    return indexed, tables["Route"]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_labels_by_frequency_then_name(spark, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(recommend, "MAX_BROADCAST_LABELS", 0)
+    labels = ["b", "a", "c", "a", "d", "b", None, "e"]
+    df = spark.createDataFrame([(v,) for v in labels], "v string")
+    expected = {"a": 0.0, "b": 1.0, "c": 2.0, "d": 3.0, "e": 4.0}
+    assert {r.label: r.idx for r in recommend.label_index(df, "v").collect()} == expected
+    kept, tables = recommend.index_labels(df, {"v": "i"}, {"v": "keep"})
+    assert {r.v: r.i for r in kept.collect()} == {**expected, None: 5.0}
+    assert kept.count() == len(labels)
+    back = recommend.labels_for(kept, tables["v"], "i", "name")
+    assert all(r.name == r.v for r in back.collect())
+
+
+def test_null_labels(spark):
+    df = spark.createDataFrame([("a",), (None,)], "v string")
+    skipped, _ = recommend.index_labels(df, {"v": "i"}, {"v": "skip"})
+    assert [tuple(r) for r in skipped.collect()] == [("a", 0.0)]
+    with pytest.raises(Exception, match="null label in v"):
+        recommend.index_labels(df, {"v": "i"})[0].collect()
+    with pytest.raises(ValueError):
+        recommend.index_labels(df, {"v": "i"}, {"v": "guess"})
+
+
+def test_several_columns_in_one_pass(spark):
+    df = spark.createDataFrame([("x", "y"), ("x", "z"), ("w", "z")], "a string, b string")
+    indexed, tables = recommend.index_labels(df, {"a": "ai", "b": "bi"})
+    assert sorted(map(tuple, indexed.collect())) == [
+        ("w", "z", 1.0, 0.0), ("x", "y", 0.0, 1.0), ("x", "z", 0.0, 0.0)
+    ]
+    assert all(isinstance(t, LabelIndex) and t.size == 2 for t in tables.values())
+
+
+@pytest.mark.parametrize("dedupe", [None, "mean"])
+def test_recommendations(rated, dedupe):
+    rows, labels = rated
+    recs = [
+        recommend.recommend_routes(recommend.fit_routes(rows, dedupe=dedupe, blocks=2), labels, 10)
+        .orderBy("userId", "rank")
+        .collect()
+        for _ in range(2)
+    ]
+    assert [(r.userId, r.rank, r.route) for r in recs[0]] == [
+        (r.userId, r.rank, r.route) for r in recs[1]
+    ]
+    by_user = {}
+    for row in recs[0]:
+        by_user.setdefault(row.userId, []).append(row)
+    assert set(by_user) == set(range(12))
+    for mine in by_user.values():
+        assert [r.rank for r in mine] == list(range(1, 11))
+        assert len({r.route for r in mine}) == 10
+        assert all(a.rating >= b.rating for a, b in zip(mine, mine[1:]))
+
+
+def test_unratable_rows_are_left_out(rated):
+    rows, _ = rated
+    holes = rows.withColumn("rating", F.when(F.col("userId") != 3, F.col("rating")))
+    users = recommend.fit_routes(holes, blocks=2).userFactors
+    assert {r.id for r in users.collect()} == set(range(12)) - {3}
+    with pytest.raises(ValueError):
+        recommend.fit_routes(rows, dedupe="max")
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_tables_built_from_recommendations(rated, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(recommend, "MAX_BROADCAST_RECOMMENDATIONS", 0)
+    rows, labels = rated
+    model = recommend.fit_routes(rows, dedupe="mean", blocks=2)
+    full = recommend.recommend_with_prices(model, labels, rows, k=4)
+    assert full.columns == [
+        "userId", "recommendations", "recommendation", "ridx", "route", "Airline", "Price",
+        "price_range",
+    ]
+    assert full.count() == 4 * 600
+    row = full.first()
+    assert row.recommendation in row.recommendations and len(row.recommendations) == 4
+    low = row.Price // 500 * 500
+    assert row.price_range == f"{low}~{low + 500}"
+    recs = recommend.recommend_routes(model, labels, 4)
+    pairs = recommend.recommend_with_source(recs, rows)
+    assert pairs.columns == ["source_des", "route"] and pairs.count() == 48
+
+
+def test_route_source_is_the_most_frequent(spark):
+    df = spark.createDataFrame(
+        [("R", "b"), ("R", "a"), ("R", "b"), ("Q", "d"), ("Q", "c"), ("N", None)],
+        "Route string, Source string",
+    )
+    assert sorted(map(tuple, recommend.route_sources(df).collect())) == [("Q", "c"), ("R", "b")]
