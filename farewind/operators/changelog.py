@@ -18,6 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from farewind.scratch import ensure_checkpoint_dir
+
+# Source rows of an upsert up to which their keys may be sent to every executor.
+MAX_BROADCAST_SOURCE = 500_000
+
 CHANGE_ORDER = ("_commit_ts", "_version")
 _LOG_COLUMNS = ("_version", "_commit_ts", "_op")
 
@@ -34,29 +39,42 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     Keys compare with ``=``: a row with a null key matches nothing, so it stays (target) or
     is added (source). A target row matched by two source rows is an error, raised when the
     result is computed.
+
+    The source is stored first, because it is used three times. The target is read twice (all
+    columns, then keys only) and is not shuffled unless the source is large; then its crowded
+    keys can still be split at run time, which a full outer join would rule out.
     """
+    source, small = _stored(source)
     values = [name for name in target.columns if name not in keys]
-    keyed = target.filter(_no_nulls(keys))
-    once = _one_per_key(source, keys, values)
+    once = _one_per_key(source, keys, values).withColumn("__spread", F.lit(0))
+    once = F.broadcast(once) if small else once
     hit = F.col("__matches").isNotNull()
-    updated = keyed.join(once, list(keys), "left").select(
-        *[
-            F.col(name)
-            if name in keys
-            else F.when(hit, _checked(F.col(f"__new_{name}"))).otherwise(F.col(name)).alias(name)
-            for name in target.columns
-        ]
+    # Rows without a full key would all meet in one task of a shuffled join.
+    spread = F.when(_no_nulls(keys), F.lit(0)).otherwise(1 + F.abs(F.hash(*target.columns) % 1000))
+    updated = (
+        target.withColumn("__spread", spread)
+        .join(once, [*keys, "__spread"], "left")
+        .select(
+            *[
+                F.col(name)
+                if name in keys
+                else F.when(hit, _checked(F.col(f"__new_{name}")))
+                .otherwise(F.col(name))
+                .alias(name)
+                for name in target.columns
+            ]
+        )
     )
-    unkeyed = target.filter(~_no_nulls(keys))
     added = source.select(*target.columns).join(
-        _matched_keys(target, source, keys), list(keys), "left_anti"
+        _matched_keys(target, source, keys, small), list(keys), "left_anti"
     )
-    return updated.unionByName(unkeyed).unionByName(added.select(*target.columns))
+    return updated.unionByName(added.select(*target.columns))
 
 
 def merge_changes(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Only the rows an upsert would write, with ``_op`` ``U`` (matched) or ``I`` (added)."""
-    matched = _matched_keys(target, source, keys)
+    source, small = _stored(source)
+    matched = _matched_keys(target, source, keys, small)
     hit = F.col("__matches").isNotNull()
     keyed = (
         source.filter(_no_nulls(keys))
@@ -68,6 +86,13 @@ def merge_changes(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return keyed.select(*columns).unionByName(unkeyed.select(*columns))
 
 
+def _stored(source: DataFrame) -> tuple[DataFrame, bool]:
+    """The source computed once, and whether its keys may be sent to every executor."""
+    ensure_checkpoint_dir(source.sparkSession)
+    stored = source.checkpoint()
+    return stored, stored.count() <= MAX_BROADCAST_SOURCE
+
+
 def _no_nulls(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in keys])
 
@@ -88,15 +113,14 @@ def _checked(value: Column) -> Column:
     return F.when(F.col("__matches") > 1, problem).otherwise(value)
 
 
-def _matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys present on both sides, each once, with their number of source rows.
-
-    The target is joined to one row per source key, so whenever those fit the broadcast
-    threshold it is filtered where it is read and never shuffled.
-    """
+def _matched_keys(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool
+) -> DataFrame:
+    """Keys present on both sides, each once, with their number of source rows."""
     wanted = (
         source.filter(_no_nulls(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__matches"))
     )
+    wanted = F.broadcast(wanted) if small else wanted
     return target.select(*keys).join(wanted, list(keys)).distinct()
 
 

@@ -70,7 +70,10 @@ def test_two_source_rows_for_a_target_row_are_an_error(spark):
 
 
 @pytest.mark.parametrize("seed", range(3))
-def test_upsert_against_a_dictionary(spark, seed):
+@pytest.mark.parametrize("small", [True, False])
+def test_upsert_against_a_dictionary(spark, monkeypatch, seed, small):
+    if not small:
+        monkeypatch.setattr(changelog, "MAX_BROADCAST_SOURCE", 0)
     chance = random.Random(seed)
 
     def key():
