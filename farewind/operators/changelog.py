@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from farewind.scratch import ensure_checkpoint_dir
+from farewind.scratch import stored
 
 # Source rows of an upsert up to which their keys may be sent to every executor.
 MAX_BROADCAST_SOURCE = 500_000
@@ -88,9 +88,8 @@ def merge_changes(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
 
 def _stored(source: DataFrame) -> tuple[DataFrame, bool]:
     """The source computed once, and whether its keys may be sent to every executor."""
-    ensure_checkpoint_dir(source.sparkSession)
-    stored = source.checkpoint()
-    return stored, stored.count() <= MAX_BROADCAST_SOURCE
+    rows = stored(source, "upsert-source")
+    return rows, rows.count() <= MAX_BROADCAST_SOURCE
 
 
 def _no_nulls(keys: Sequence[str]) -> Column:

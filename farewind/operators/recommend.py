@@ -12,7 +12,7 @@ from pyspark.sql.window import Window
 
 from farewind.functions import price_band
 from farewind.operators.ordering import with_rank
-from farewind.scratch import ensure_checkpoint_dir
+from farewind.scratch import ensure_checkpoint_dir, stored
 
 # Label tables up to this many rows may be ranked by one task and sent to every executor.
 MAX_BROADCAST_LABELS = 500_000
@@ -36,11 +36,9 @@ def label_index(df: DataFrame, column: str) -> DataFrame:
 def stored_label_indexes(df: DataFrame, columns: Sequence[str]) -> dict[str, LabelIndex]:
     """``label_index`` of several columns, for repeated use.
 
-    The frequencies of all columns come from one pass over the data and are kept in the
-    checkpoint folder.
+    The frequencies of all columns come from one pass over the data and are kept in a table.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    counts = _label_counts(df, columns).checkpoint()
+    counts = stored(_label_counts(df, columns), "label-counts")
     sizes = {row["column"]: row["count"] for row in counts.groupBy("column").count().collect()}
     indexes = {}
     for column in columns:
@@ -221,12 +219,11 @@ def attach_fares(recs: DataFrame, fares: DataFrame) -> DataFrame:
     otherwise both sides are shuffled, and a crowded user's fares are split at run time
     (adaptive skew join), each piece meeting the user's few recommendations.
     """
-    ensure_checkpoint_dir(recs.sparkSession)
-    stored = recs.checkpoint()
-    if stored.count() <= MAX_BROADCAST_RECOMMENDATIONS:
-        stored = F.broadcast(stored)
+    kept = stored(recs, "recommendations")
+    if kept.count() <= MAX_BROADCAST_RECOMMENDATIONS:
+        kept = F.broadcast(kept)
     offers = fares.select("userId", "Airline", "Price")
-    return stored.join(offers, "userId").withColumn("price_range", price_band("Price"))
+    return kept.join(offers, "userId").withColumn("price_range", price_band("Price"))
 
 
 def recommend_with_prices(

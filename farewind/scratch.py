@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
 
@@ -32,7 +32,18 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows of ``df``, computed once and written to a table in the shared folder.
+
+    Later steps neither recompute them nor depend on the executors that did, and the size of
+    the table is known when they are planned.
+    """
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Let ``DataFrame.checkpoint`` and the ALS solver cut lineage in the shared folder."""
+    """Let the ALS solver cut its lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_root(spark))
