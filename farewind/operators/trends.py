@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def price_trend(
@@ -16,7 +17,7 @@ def price_trend(
 ) -> DataFrame:
     """Least-squares line of price over time (epoch seconds) for each group."""
     y = F.col(price).cast("double")
-    x = F.unix_micros(F.col(time).cast("timestamp")) / F.lit(1e6)
+    x = _epoch_micros(df, time) / F.lit(1e6)
     return df.groupBy(*by).agg(
         F.regr_slope(y, x).alias("slope"),
         F.regr_intercept(y, x).alias("intercept"),
@@ -25,6 +26,15 @@ def price_trend(
     )
 
 
+def _epoch_micros(df: DataFrame, time: str) -> Column:
+    """Microseconds since 1970; a zone-less time counts as UTC whatever the session zone is."""
+    if isinstance(df.schema[time].dataType, T.TimestampNTZType):
+        return F.expr(
+            f"(`{time}` - timestamp_ntz'1970-01-01 00:00:00') div interval '0.000001' second"
+        )
+    return F.unix_micros(F.col(time).cast("timestamp"))
+
+
 def price_bars(
     df: DataFrame,
     by: Sequence[str] = ("time_frame", "updatedTime"),

@@ -279,3 +279,19 @@ def test_trend_of_a_steady_rise(log):
     assert line.r2 == pytest.approx(1.0)
     bars = trends.price_bars(frames).filter("time_frame = '12hrs Ago'").collect()
     assert [row.price for row in bars] == [sum(row[3] for row in QUOTE_ROWS)]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_trend_of_zoneless_times_in_any_session_zone(spark, zone):
+    # Twelve-hour steps across the day New York changes its clocks.
+    rows = [(f"2024-03-{9 + i // 2:02d} {12 * (i % 2):02d}:00:00", 5.0 * i) for i in range(6)]
+    df = spark.createDataFrame(rows, "at string, price double").selectExpr(
+        "1 AS time_frame", "price", "cast(at AS timestamp_ntz) AS updatedTime"
+    )
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        line = trends.price_trend(df).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert line.slope == pytest.approx(5 / 43200, rel=1e-12)
+    assert line.n == 6
