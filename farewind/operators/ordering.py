@@ -20,6 +20,8 @@ MAX_GROUP_ROWS = 2_000_000
 MAX_BROADCAST_KEYS = 10_000
 
 _SEAM = -1
+# Copies of one row that a single task writes out.
+_COPY_BLOCK = 100_000
 
 
 def with_next(
@@ -37,7 +39,7 @@ def with_next(
     roomy, crowded = split_crowded(df, group, max_group_rows)
     result = _next_in_window(roomy, group, order, values)
     if crowded is not None:
-        result = result.unionByName(_next_across_slices(crowded, group, order, values))
+        result = result.unionByName(_next_among_copies(crowded, group, order, values))
     return result
 
 
@@ -72,6 +74,36 @@ def _next_in_window(
     )
 
 
+def _next_among_copies(
+    df: DataFrame, group: Sequence[str], order: Sequence[Column], values: Sequence[str]
+) -> DataFrame:
+    """Neighbours in crowded groups, whose rows may also be copies of each other.
+
+    Copies have one place in any order, so no slicing can separate them. They are counted on
+    the map side instead: the last copy precedes the next different row, and each other copy
+    precedes a copy of itself.
+    """
+    columns = df.columns
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
+    total_order = [*order, *[F.asc(name) for name in columns]]
+    last_copies = _next_across_slices(counted, group, total_order, values).drop("__copies")
+
+    others = F.col("__copies") - 1
+    blocks = counted.filter(others > 0).select(
+        *columns, "__copies",
+        F.explode(F.sequence(F.lit(0), F.ceil(others / _COPY_BLOCK) - 1)).alias("__block"),
+    )
+    in_block = F.least(others - F.col("__block") * _COPY_BLOCK, F.lit(_COPY_BLOCK))
+    spread = blocks.repartition(*columns, "__block")
+    repeated = spread.withColumn("__copy", F.explode(F.sequence(F.lit(1), in_block)))
+    return last_copies.unionByName(
+        repeated.select(
+            *columns, *[F.col(name).alias(f"next_{name}") for name in values],
+            F.lit(True).alias("has_next"),
+        )
+    )
+
+
 def _next_across_slices(
     df: DataFrame, group: Sequence[str], order: Sequence[Column], values: Sequence[str]
 ) -> DataFrame:

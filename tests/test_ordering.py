@@ -71,6 +71,19 @@ def test_split_keeps_every_row(spark):
     assert split_crowded(df, ["g", "k"], 1000)[1] is None
 
 
+def test_copies_follow_each_other(spark, monkeypatch):
+    monkeypatch.setattr("farewind.operators.ordering._COPY_BLOCK", 7)
+    rows = [(1, "a", 5, 50)] * 300 + [(1, "a", 9, 90)] * 8 + [(1, "a", t, t) for t in (1, 7, 20)]
+    rows += [(None, None, 3, 30)] * 200
+    df = spark.createDataFrame(rows, "g int, k string, t int, i int").repartition(3)
+    order = [F.desc("t")]
+    got, plain = (
+        sorted(map(str, with_next(df, ["g", "k"], order, ["i"], max_group_rows=n).collect()))
+        for n in (10, 10**6)
+    )
+    assert got == plain and len(got) == len(rows)
+
+
 def test_split_beyond_the_broadcast_bound(spark, monkeypatch):
     monkeypatch.setattr("farewind.operators.ordering.MAX_BROADCAST_KEYS", 1)
     rows = points(seed=3)
