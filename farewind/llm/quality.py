@@ -5,12 +5,14 @@ Words are runs of characters other than blank and U+0009 to U+000D. Lines are sp
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
-BLANK = r"[\x20\x09-\x0D]"
-SYMBOL = r"[#*$%&|<>]"
+BLANKS = " \t\n\x0b\f\r"
+SYMBOLS = "#*$%&|<>"
 
 MIN_WORDS = 20
 MAX_REPEATED_PCT = 30
@@ -18,19 +20,47 @@ MIN_KEPT_PCT = 40
 WINDOW = 8
 
 # What the line rules look for.
-SENTENCE_END = r"""[.!?…"'”’»)\]。！？][\x20\x09-\x0D]*$"""
-NAVIGATION = r"(?:\S*\s*[|»›→•·>]\s*\S+){3,}|^\s*(?:home|menu|login|log in|sign in|sign up|next|previous|back to top|read more|share)\s*$"
-BOILERPLATE = (
-    r"all rights reserved|terms of (?:use|service)|privacy policy|cookie policy|uses? cookies"
-    r"|enable javascript|lorem ipsum|click here|subscribe to our|©|licensed under|released under"
-)
+SENTENCE_ENDS = ".!?…\"'”’»)]。！？"
+SEPARATORS = "|»›→•·>"
+SEPARATED = r"(?:\S*\s*[|»›→•·>]\s*\S+){3,}"
+MENU_WORDS = [
+    "home", "menu", "login", "log in", "sign in", "sign up", "next", "previous", "back to top",
+    "read more", "share",
+]
+BOILERPLATE = [
+    "all rights reserved", "terms of use", "terms of service", "privacy policy", "cookie policy",
+    "use cookies", "uses cookies", "enable javascript", "lorem ipsum", "click here",
+    "subscribe to our", "©", "licensed under", "released under",
+]
 
 
-def word_array(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
+def _count_of(text: Column, characters: str) -> Column:
+    return F.length(text) - F.length(F.translate(text, characters, ""))
 
 
-def measure(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+def lines_of(text: Column) -> Column:
+    """The lines of a text, each with its words' hashes, their number and their characters.
+
+    No word crosses a line, so this is the one pass of a pattern over the text.
+    """
+    found = F.transform(
+        F.split(text, "\n"),
+        lambda line: F.struct(
+            line.alias("line"), F.regexp_extract_all(line, F.lit(WORD), F.lit(0)).alias("words")
+        ),
+    )
+    return F.transform(
+        found,
+        lambda x: F.struct(
+            x["line"].alias("line"),
+            F.size(x["words"]).alias("n"),
+            F.length(F.array_join(x["words"], "")).alias("chars"),
+            F.transform(x["words"], lambda w: F.xxhash64(w)).alias("hashes"),
+        ),
+    )
+
+
+def _measured(docs: DataFrame, text: str, window: int) -> DataFrame:
     """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (null text: all 0).
 
     Windows of words are compared by 64-bit hashes. Only a text that holds a window twice is
@@ -38,21 +68,19 @@ def measure(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFr
     words covered. Names of the added columns win over columns of the same name in ``docs``.
     """
     body = F.coalesce(F.col(text), F.lit(""))
-    lines = F.filter(F.split(body, "\n"), lambda line: line.rlike(WORD))
-    docs = docs.withColumns({
-        "_hashes": F.transform(word_array(body), lambda w: F.xxhash64(w)),
-        "_lines": lines,
-    })
+    docs = docs.withColumn("_lines", lines_of(body))
+    docs = docs.withColumn("_hashes", F.flatten(F.transform("_lines", lambda x: x["hashes"])))
+    worded = F.transform(F.filter("_lines", lambda x: x["n"] > 0), lambda x: x["line"])
     docs = docs.withColumns({
         "n_words": F.size("_hashes").cast("long"),
-        "word_chars": (F.length(body) - F.regexp_count(body, F.lit(BLANK))).cast("long"),
-        "n_symbols": F.regexp_count(body, F.lit(SYMBOL)).cast("long"),
-        "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
+        "word_chars": F.aggregate("_lines", F.lit(0).cast("long"), lambda n, x: n + x["chars"]),
+        "n_symbols": _count_of(body, SYMBOLS).cast("long"),
+        "n_dup_lines": (F.size(worded) - F.size(F.array_distinct(worded))).cast("long"),
         "_windows": F.when(
             F.size("_hashes") > window,
             F.transform(
-                F.sequence(F.lit(1), F.size("_hashes") - (window - 1)),
-                lambda i: F.xxhash64(F.slice("_hashes", i, window)),
+                F.slice("_hashes", F.lit(1), F.size("_hashes") - (window - 1)),
+                lambda h, i: F.xxhash64(h, *[F.get("_hashes", i + k) for k in range(1, window)]),
             ),
         ),
     })
@@ -87,21 +115,27 @@ def measure(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFr
         lambda total, step: total + step,
     )
     return docs.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)).cast("long")).drop(
-        "_hashes", "_lines", "_windows", "_placed", "_starts"
+        "_hashes", "_windows", "_placed", "_starts"
     )
 
 
-def line_passes(line: Column) -> Column:
-    """A line stays if it ends like a sentence or is long, and is neither navigation nor boilerplate."""
-    low = F.lower(line)
-    ends = line.rlike(SENTENCE_END) | (F.regexp_count(line, F.lit(WORD)) >= 12)
-    return ends & ~low.rlike(NAVIGATION) & ~low.rlike(BOILERPLATE)
+def measure(docs: DataFrame, text: str = "text", window: int = WINDOW) -> DataFrame:
+    """Adds n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words to ``docs``."""
+    return _measured(docs, text, window).drop("_lines")
 
 
-def clean_lines(text: Column) -> Column:
-    """The text without the lines that fail; lines without a word stay as they are."""
-    kept = F.filter(F.split(text, "\n"), lambda line: ~line.rlike(WORD) | line_passes(line))
-    return F.array_join(kept, "\n")
+def line_passes(line: Column, n_words: Column) -> Column:
+    """A line stays if it ends like a sentence or is long, and is neither navigation nor boilerplate.
+
+    Separators are counted before the pattern that needs three of them in a row is tried.
+    """
+    bare = F.trim(line, F.lit(BLANKS))
+    ends = (n_words >= 12) | (F.instr(F.lit(SENTENCE_ENDS), F.right(bare, F.lit(1))) > 0)
+    low = F.lower(line)
+    separated = (_count_of(line, SEPARATORS) >= 3) & low.rlike(SEPARATED)
+    menu = F.lower(bare).isin(MENU_WORDS)
+    told = functools.reduce(lambda a, b: a | b, [low.contains(phrase) for phrase in BOILERPLATE])
+    return ends & ~separated & ~menu & ~told
 
 
 def judge_documents(docs: DataFrame, text: str = "text", min_kept_pct: int = MIN_KEPT_PCT) -> DataFrame:
@@ -113,13 +147,32 @@ def judge_documents(docs: DataFrame, text: str = "text", min_kept_pct: int = MIN
     8-word windows) rejects beforehand. A null text has no words and fails; repeated rows are
     judged alike; columns of ``docs`` with the names of added ones are replaced.
     """
-    docs = measure(docs, text)
+    docs = _measured(docs, text, WINDOW)
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEATED_PCT * F.col("n_words")
     )
-    docs = docs.withColumns({
+    docs = docs.withColumn(
+        "_passed", F.filter("_lines", lambda x: (x["n"] == 0) | line_passes(x["line"], x["n"]))
+    )
+    passed = F.col("_passed")
+    n_left = F.aggregate(passed, F.lit(0), lambda n, x: n + x["n"])
+    return docs.withColumns({
         "base_failed": failed,
-        "clean_text": clean_lines(F.coalesce(F.col(text), F.lit(""))),
-    })
-    enough = 100 * F.regexp_count("clean_text", F.lit(WORD)) >= min_kept_pct * F.col("n_words")
-    return docs.withColumn("kept", ~F.col("base_failed") & enough)
+        "clean_text": F.array_join(F.transform(passed, lambda x: x["line"]), "\n"),
+        "kept": ~failed & (100 * n_left >= min_kept_pct * F.col("n_words")),
+    }).drop("_lines", "_passed")
+
+
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The kept documents with their texts cleaned; the columns of ``docs``, n_chars made right."""
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
+    # the number of the row keeps Spark from moving the filter below the measures, where they
+    # would be worked out anew for every use of one in another
+    judged = judge_documents(whole).withColumn("_row", F.monotonically_increasing_id())
+    judged = judged.filter("kept and _row >= 0")
+    changed = {"text": F.col("clean_text"), "n_chars": F.length("clean_text")}
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
+    return judged.select(*[
+        changed[c].cast(kinds[c]).alias(c) if c in changed else F.col("row")[c].alias(c)
+        for c in docs.columns
+    ])
