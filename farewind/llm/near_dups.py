@@ -106,7 +106,6 @@ def _per_text(size: int, full_sets: bool):
     return run
 
 
-@F.pandas_udf("boolean")
 def _minima_agree(a: pd.Series, b: pd.Series) -> pd.Series:
     if not len(a):
         return pd.Series([], dtype=bool)
@@ -124,7 +123,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, pct: int) -
         pairs = pairs.join(told, end)
     sized = 100 * F.least("na", "nb") >= pct * F.greatest("na", "nb")
     likely = stored(
-        pairs.filter(sized).filter(_minima_agree("la", "lb")).select("a", "b", "na", "nb"), "likely"
+        pairs.filter(sized).filter(F.pandas_udf(_minima_agree, "boolean")("la", "lb")).select("a", "b", "na", "nb"), "likely"
     )
     for end in "ba":
         likely = likely.join(

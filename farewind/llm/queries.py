@@ -3,9 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from farewind.llm import chat, decontaminate, quality, sql, warc
+from farewind.llm import (
+    chat,
+    decontaminate,
+    language,
+    mixing_model,
+    near_dups,
+    quality,
+    sql,
+    token_counts,
+    warc,
+)
 from farewind.scratch import new_folder
 
 
@@ -13,6 +22,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_table(spark, sf_dir, "documents"))
+
+
+def op2_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.deduplicate(_table(spark, sf_dir, "documents"), size=2)
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "archive")
     warc.write_archive(_table(spark, sf_dir, "pages"), folder)
@@ -32,6 +49,10 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(_table(spark, sf_dir, "conversations"))
 
 
+def op7_mixing_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_model.score_documents(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge_documents(docs).select(
@@ -40,9 +61,21 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_counts(
+    spark: SparkSession, sf_dir: str, vocabulary: str = "/opt/tokenizers/piece_bpe_32k.model"
+) -> DataFrame:
+    return token_counts.count_tokens(
+        _table(spark, sf_dir, "documents"), token_counts.read_vocabulary(vocabulary)
+    )
+
+
 QUERIES = {
+    "op1_language": (op1_language, None),
+    "op2_near_dups": (op2_near_dups, sql.NEAR_DUPS),
     "op3_warc": (op3_warc, sql.WARC),
     "op4_decontaminate": (op4_decontaminate, sql.DECONTAMINATE),
     "op6_chat": (op6_chat, sql.CHAT),
+    "op7_mixing_model": (op7_mixing_model, None),
     "op9_quality": (op9_quality, sql.QUALITY),
+    "op10_token_counts": (op10_token_counts, None),
 }

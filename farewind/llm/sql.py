@@ -110,3 +110,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND 100 * coalesce(n_kept, 0) >= 40 * n_words AS kept
 FROM r
 """
+
+NEAR_DUPS = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w
+    ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS sh
+  FROM w
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+b AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+  FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY ALL
+), e AS (
+  SELECT a, b FROM b JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * both >= 80 * (na.n + nb.n - both)
+), both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r AS (
+  SELECT a AS node, a AS reached FROM both_ways
+  UNION
+  SELECT r.node, e.b FROM r JOIN both_ways e ON e.a = r.reached
+), c AS (SELECT node, min(reached) AS component_id FROM r GROUP BY node)
+SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
+  coalesce(component_id, w.doc_id) AS component_id,
+  coalesce(component_id, w.doc_id) = w.doc_id AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.node = w.doc_id
+"""
