@@ -80,6 +80,7 @@ class Words:
         n = len(raw)
         inside = np.zeros(n + 2, bool)
         inside[1:-1] = ~_BLANK[raw]
+        self.inside = inside[1:-1]
         begins, stops = inside[1:-1] & ~inside[:-2], inside[1:-1] & ~inside[2:]
         cuts = self.offsets[1:-1]
         cuts = cuts[(cuts > 0) & (cuts < n)]

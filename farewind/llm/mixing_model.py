@@ -19,23 +19,28 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farewind.llm.arrow_text import Words, hash_word, mix, pieces
+from farewind.llm.arrow_text import Words, hash_word, pieces
 from farewind.scratch import stored
 
 END = 256
 SYMBOLS = 257
 #: log2 of the rows of each predictor's table: 2, 3 and 4 symbols, word so far.
-ROW_BITS = (14, 15, 16, 16)
-START_WEIGHTS = (0.15, 0.25, 0.35, 0.45)
-RATE = 0.02
+ROW_BITS = (14, 15, 16, 17)
+#: Letters of a word that its predictor tells apart; further in, it sees the last ones only.
+WORD_LETTERS = 6
+START_WEIGHTS = (0.08, 0.25, 0.48, 0.40)
+RATE = 0.01
 _RATE_BITS = 64  # a block moves the weights as this many bits at most
 #: Symbols in the blocks after which weights are refined; the last size repeats.
 BLOCKS = (128, 128, 256, 512, 1024)
+#: Added to the count of either branch.
+_PRIOR = 0.1
 _STEP = 1 / 12  # log-odds are kept as multiples of this, in one byte
 #: Most frequent words whose counts every task holds; the others are joined.
 HOT_WORDS = 200_000
 
 _BASES = np.concatenate([[0], np.cumsum([1 << b for b in ROW_BITS])]) * SYMBOLS
+_DIGITS = np.array([SYMBOLS**k for k in range(8)], np.uint64)
 _SALTS = [np.uint64(x) for x in (0x9E3779B97F4A7C55, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -61,56 +66,39 @@ class Stream:
         letters = np.ones(total, bool)
         letters[begin + sizes] = False
         letters[ends_at] = False
-        inside = np.zeros(len(words.data) + 1, np.int64)
-        np.add.at(inside, words.starts, 1)
-        np.add.at(inside, words.ends, -1)
-        self.symbols[letters] = words.data[np.cumsum(inside)[:-1].astype(bool)]
+        self.symbols[letters] = words.data[words.inside]
         self.symbols[ends_at] = END
-        self.rows = self._contexts(begin, sizes, words)
+        self.rows = self._contexts(begin)
 
-    def _contexts(self, begin: np.ndarray, sizes: np.ndarray, words: Words) -> list[np.ndarray]:
-        total = len(self.symbols)
-        before = []
-        starts = self.first[:-1]
-        for k in (1, 2, 3, 4):
-            prior = np.full(total, END, np.uint64)
-            prior[k:] = self.symbols[:-k]
-            for j in range(k):  # nothing of another text counts as context
-                at = starts[self.lengths > j] + j
-                prior[at] = END
-            before.append(prior)
-        key = before[0] + np.uint64(SYMBOLS) * before[1]
-        keys = [key]
-        for prior in before[2:]:
-            key = key * np.uint64(SYMBOLS) + prior
-            keys.append(key)
-        keys.append(self._word_so_far(begin, sizes, words))
-        return [
-            (mix(key * salt) >> np.uint64(64 - bits)).astype(np.int64)
-            for key, salt, bits in zip(keys, _SALTS, ROW_BITS)
-        ]
+    def _contexts(self, begin: np.ndarray) -> list[np.ndarray]:
+        """Rows of each place: the symbols before it as digits, the nearest one lowest, hashed.
 
-    def _word_so_far(self, begin: np.ndarray, sizes: np.ndarray, words: Words) -> np.ndarray:
-        """Hash of the letters since the last blank; at a word's begin, of the word before."""
+        The digits of a number are cut where the text begins, and for the predictor of words
+        where the word begins.
+        """
         n = len(self.symbols)
-        step = np.uint64(0x9E3779B97F4A7C55)
+        starts = self.first[:-1]
+        symbols = self.symbols.astype(np.uint64)
+        digits = np.zeros(n, np.uint64)
+        keys = []
+        for k in range(1, WORD_LETTERS + 1):
+            digits[k:] += symbols[:-k] * _DIGITS[k - 1] if k < n else 0
+            if 2 <= k <= 4:
+                key = digits.copy()
+                for j in range(k):
+                    at = starts[self.lengths > j] + j
+                    key[at] = digits[at] % _DIGITS[j] + _DIGITS[k]
+                keys.append(key)
         origin = np.zeros(n, np.int64)  # where the word of each place begins
         origin[begin] = begin
-        origin[self.first[1:] - 1] = self.first[1:] - 1
-        origin = np.maximum.accumulate(origin)
-        up = np.full(n, step, np.uint64)
-        up[:1] = 1
-        up = np.cumprod(up)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum((self.symbols + 1).astype(np.uint64) * up)])
-        down = np.full(n, pow(int(step), -1, 2**64), np.uint64)
-        down[:1] = 1
-        down = np.cumprod(down)
-        key = (sums[np.arange(n)] - sums[origin]) * down[origin]
-        previous = np.zeros(len(begin), np.uint64)
-        same = words.text[1:] == words.text[:-1]
-        previous[1:][same] = words.hash[:-1][same]
-        key[begin] = previous | np.uint64(1)
-        return key
+        ends = self.first[1:] - 1
+        origin[ends] = ends
+        letters = np.arange(n) - np.maximum.accumulate(origin)
+        keys.append(digits % _DIGITS[np.minimum(letters, WORD_LETTERS)] + (letters > WORD_LETTERS) * _DIGITS[7])
+        return [
+            ((key + np.uint64(1)) * salt >> np.uint64(64 - bits)).astype(np.int64)
+            for key, salt, bits in zip(keys, _SALTS, ROW_BITS)
+        ]
 
     def cells(self) -> list[np.ndarray]:
         """Per predictor, the cell (row, symbol) of each place among the cells of all tables."""
@@ -119,14 +107,14 @@ class Stream:
 
 def _counted(batches):
     """Of all training texts of a partition: cells (kind 0) and words (kind 1), with counts."""
-    table = np.zeros(_BASES[-1], np.uint32)
+    table, one = np.zeros(_BASES[-1], np.uint32), np.uint32(1)
     held: list[tuple[np.ndarray, np.ndarray]] = []
     n_held = ends = 0
     for batch in batches:
         for piece in pieces(batch):
             words = Words(piece.column("text"))
             for cells in Stream(words).cells():
-                np.add.at(table, cells, 1)
+                np.add.at(table, cells, one)
             ends += words.n_texts
             held.append(np.unique(words.hash, return_counts=True))
             n_held += len(held[-1][0])
@@ -219,7 +207,7 @@ class Tree:
         low, middle, high = np.array(self.ranges).T
         zeros = sums[:, middle] - sums[:, low]
         ones = sums[:, high] - sums[:, middle]
-        steps = (np.log(ones + 0.3) - np.log(zeros + 0.3)) / _STEP
+        steps = (np.log(ones + _PRIOR) - np.log(zeros + _PRIOR)) / _STEP
         return np.clip(np.rint(steps), -127, 127).astype(np.int8)
 
 

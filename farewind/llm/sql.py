@@ -123,11 +123,11 @@ WITH RECURSIVE w AS (
   FROM w
 ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 b AS (
-  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS both
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
   FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id < y.doc_id GROUP BY ALL
 ), e AS (
   SELECT a, b FROM b JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
-  WHERE 100 * both >= 80 * (na.n + nb.n - both)
+  WHERE 100 * common >= 80 * (na.n + nb.n - common)
 ), both_ways AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
 r AS (
   SELECT a AS node, a AS reached FROM both_ways
