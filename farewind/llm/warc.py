@@ -79,13 +79,14 @@ def write_archive(pages: DataFrame, folder: str, min_bytes: int = 0) -> None:
         "page_id", "address", _header(kind, F.when(revisit, F.col("first_id"))).alias("header")
     ).write.parquet(f"{folder}/headers")
 
-    owners = first.select("address", F.col("first_id").alias("page_id"))
-    keyed = records.select("address", "page_id", "payload")
-    once = keyed.join(
-        owners,
-        (keyed["address"] == owners["address"]) & keyed["page_id"].eqNullSafe(owners["page_id"]),
-        "left_semi",
-    ).dropDuplicates(["address", "page_id"])
+    # one key for the join and for leaving out repeated rows, so that payloads move once
+    who = F.coalesce(F.col("page_id").cast("string"), F.lit("")).alias("who")
+    owners = first.select("address", F.col("first_id").alias("page_id")).select("address", who)
+    once = (
+        records.select("address", who, "payload")
+        .join(owners, ["address", "who"], "left_semi")
+        .dropDuplicates(["address", "who"])
+    )
     once.select("address", "payload").write.option("compression", "zstd").parquet(f"{folder}/payloads")
 
 
