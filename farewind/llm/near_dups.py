@@ -197,19 +197,9 @@ def link_classes(classes: DataFrame, sets_of, pct: int, rounds: int = PIVOT_ROUN
     return found
 
 
-def deduplicate(docs: DataFrame, size: int = 5, pct: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text).
-
-    Two texts are linked if the shingles they share are ``pct`` percent of their union or more.
-    Words are runs of characters other than blank and U+0009 to U+000D, with A to Z in lower
-    case; a text of fewer than ``size`` words has them all as its one shingle; a null text or
-    one without words has none and is linked with nothing. component_id is the smallest doc_id
-    that can be reached by links, and the row with it is kept. Rows with one doc_id and
-    different texts are different documents; repeated rows are judged alike. A row without a
-    doc_id is no document to link: it has no component and is kept. Other columns are ignored.
-    Runs jobs when called.
-    """
-    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+def _judge(rows: DataFrame, size: int, pct: int) -> tuple[DataFrame, DataFrame, bool]:
+    """Features of each row of ``rows`` (id, text); of each class the smallest id within reach
+    (least) and whether it is the class of that id (lead); whether rows repeat."""
     features = stored(
         rows.mapInArrow(
             _per_text(size, False),
@@ -234,17 +224,69 @@ def deduplicate(docs: DataFrame, size: int = 5, pct: int = 80) -> DataFrame:
         return sets.dropDuplicates(["node"]) if repeats else sets
 
     found = link_classes(classes, sets_of, pct)
-    by_class = classes.select("node", "first")
-    if found is not None:
-        told = stored(by_class.join(found, "node"), "told")
-        smallest = told.groupBy("component").agg(F.min("first").alias("least"))
-        linked = told.join(smallest, "component").select("node", "least")
-        by_class = by_class.join(linked, "node", "left").select("node", F.coalesce("least", "first").alias("least"))
+    judged = classes.select("node", "first")
+    if found is None:
+        judged = judged.select("node", F.col("first").alias("least"), F.lit(True).alias("lead"))
     else:
-        by_class = by_class.withColumnRenamed("first", "least")
-    joined = features.select("id", "node", "n_shingles").join(by_class, "node", "left")
+        told = stored(judged.join(found, "node"), "told")
+        best = told.groupBy("component").agg(F.min(F.struct("first", "node")).alias("best"))
+        linked = told.join(best, "component").select(
+            "node", F.col("best.first").alias("least"), (F.col("node") == F.col("best.node")).alias("lead")
+        )
+        judged = judged.join(linked, "node", "left").select(
+            "node", F.coalesce("least", "first").alias("least"), F.coalesce("lead", F.lit(True)).alias("lead")
+        )
+    return features.select("id", "node", "n_shingles"), judged, repeats
+
+
+def deduplicate(docs: DataFrame, size: int = 5, pct: int = 80) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of each row of ``docs`` (doc_id, text).
+
+    Two texts are linked if the shingles they share are ``pct`` percent of their union or more.
+    Words are runs of characters other than blank and U+0009 to U+000D, with A to Z in lower
+    case; a text of fewer than ``size`` words has them all as its one shingle; a null text or
+    one without words has none and is linked with nothing. component_id is the smallest doc_id
+    that can be reached by links, and the row with it is kept. Rows with one doc_id and
+    different texts are different documents; repeated rows are judged alike. A row without a
+    doc_id is no document to link: it has no component and is kept. Other columns are ignored.
+    Runs jobs when called.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    features, judged, _ = _judge(rows, size, pct)
+    joined = features.join(judged, "node", "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("least", "id"))
     return joined.select(
         F.col("id").alias("doc_id"), "n_shingles", component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
     )
+
+
+def _with_node(batches):
+    for batch in batches:
+        for piece in pieces(batch):
+            words = Words(piece.column("text"))
+            own = [words.hash[a:b] for a, b in zip(words.first, words.first[1:])]
+            nodes = pa.array([_sequence_hash(w) if len(w) else None for w in own], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [piece.column("row"), piece.column("id"), nodes], names=["row", "id", "node"]
+            )
+
+
+def keep_one(docs: DataFrame, size: int = 5, pct: int = 80) -> DataFrame:
+    """One row of each group of near duplicates of ``docs`` (doc_id, text), columns as they were.
+
+    It is the row with the group's smallest doc_id. Of rows that repeat a doc_id and the words
+    of its text one stays. Rows without a doc_id or without words all stay.
+    """
+    rows = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    features, judged, repeats = _judge(rows, size, pct)
+    gone = features.filter("id is not null").join(judged, "node").filter("not lead or id <> least").select("id", "node").distinct()
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    whole = docs.select(row, F.col("doc_id").cast("long").alias("id"), "text")
+    kind = whole.schema["row"].dataType.simpleString()
+    marked = whole.mapInArrow(_with_node, f"row {kind}, id bigint, node bigint")
+    rest = marked.join(gone, ["id", "node"], "left_anti")
+    if repeats:
+        told = "id is not null and node is not null"
+        rest = rest.filter(told).dropDuplicates(["id", "node"]).unionByName(rest.filter(f"not ({told})"))
+    return rest.select("row.*")

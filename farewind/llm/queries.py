@@ -8,6 +8,8 @@ from farewind.llm import (
     chat,
     decontaminate,
     language,
+    main_text,
+    mixing,
     mixing_model,
     near_dups,
     quality,
@@ -45,6 +47,11 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return mixing.mix(docs, _table(spark, sf_dir, "labels")).drop("text")
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(_table(spark, sf_dir, "conversations"))
 
@@ -53,6 +60,10 @@ def op7_mixing_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_model.score_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return quality.judge_documents(docs).select(
@@ -74,8 +85,10 @@ QUERIES = {
     "op2_near_dups": (op2_near_dups, sql.NEAR_DUPS),
     "op3_warc": (op3_warc, sql.WARC),
     "op4_decontaminate": (op4_decontaminate, sql.DECONTAMINATE),
+    "op5_mixing": (op5_mixing, None),
     "op6_chat": (op6_chat, sql.CHAT),
     "op7_mixing_model": (op7_mixing_model, None),
+    "op8_main_text": (op8_main_text, None),
     "op9_quality": (op9_quality, sql.QUALITY),
     "op10_token_counts": (op10_token_counts, None),
 }
