@@ -18,6 +18,8 @@ MIN_WORDS = 20
 MAX_REPEATED_PCT = 30
 MIN_KEPT_PCT = 40
 WINDOW = 8
+#: Words from which on a line that holds a boilerplate phrase is prose, not a notice.
+NOTICE_WORDS = 30
 
 # What the line rules look for.
 SENTENCE_ENDS = ".!?…\"'”’»)]。！？"
@@ -135,7 +137,7 @@ def line_passes(line: Column, n_words: Column) -> Column:
     separated = (_count_of(line, SEPARATORS) >= 3) & low.rlike(SEPARATED)
     menu = F.lower(bare).isin(MENU_WORDS)
     told = functools.reduce(lambda a, b: a | b, [low.contains(phrase) for phrase in BOILERPLATE])
-    return ends & ~separated & ~menu & ~told
+    return ends & ~separated & ~menu & ~((n_words < NOTICE_WORDS) & told)
 
 
 def judge_documents(docs: DataFrame, text: str = "text", min_kept_pct: int = MIN_KEPT_PCT) -> DataFrame:

@@ -76,7 +76,7 @@ _WORD = r"[^\x20\x09-\x0D]+"
 _LINE_OK = r"""(
   (regexp_matches(l, '[.!?…"''”’»)\]。！？][\x20\x09-\x0D]*$') OR len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) >= 12)
   AND NOT regexp_matches(lower(l), '(?:\S*\s*[|»›→•·>]\s*\S+){3,}|^\s*(?:home|menu|login|log in|sign in|sign up|next|previous|back to top|read more|share)\s*$')
-  AND NOT regexp_matches(lower(l), 'all rights reserved|terms of (?:use|service)|privacy policy|cookie policy|uses? cookies|enable javascript|lorem ipsum|click here|subscribe to our|©|licensed under|released under'))"""
+  AND NOT (len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) < 30 AND regexp_matches(lower(l), 'all rights reserved|terms of (?:use|service)|privacy policy|cookie policy|uses? cookies|enable javascript|lorem ipsum|click here|subscribe to our|©|licensed under|released under')))"""
 
 QUALITY = rf"""
 WITH d AS (

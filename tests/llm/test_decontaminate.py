@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from farewind.llm import decontaminate
+from tests.llm.tables import benchmark_df, docs_df, documents, prose
+
+ITEMS = [
+    (1, "What is a, very common question that the Test asks of all models?"),
+    (2, "Short item here"),
+    (3, None), (4, ""), (5, "?!"), (6, "Short item here"),
+    (None, "an item without id but with words"),
+    (7, prose(200, 45)), (20, prose(201, 12)), (3, "id three again with other words in a row of ten or more"),
+]
+
+
+def words(text):
+    low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def brute(doc_id, text, items):
+    own, hit, found = words(text), set(), set()
+    for item_id, item in items:
+        w = words(item)
+        for window in {tuple(w[i : i + 10]) for i in range(max(1, len(w) - 9))} if w else ():
+            for at in range(len(own) - len(window) + 1):
+                if tuple(own[at : at + len(window)]) == window:
+                    hit.update(range(at, at + len(window)))
+                    if item_id is not None:
+                        found.add(str(item_id))
+    digest = hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
+    return doc_id, len(own), len(hit), len(found), digest, bool(hit)
+
+
+def rows():
+    long = prose(200, 45)
+    return documents() + [
+        (500, f"Intro words. {long} And a tail.", "en", "s", 0),
+        (501, "so, SHORT   item-here; then short item here", "en", "s", 0),
+        (502, "shorter item here, short items here", "en", "s", 0),
+        (503, " ".join(long.split()[3:14]) + " " + " ".join(long.split()[8:30]), "en", "s", 0),
+        (504, "xx an item without id but with words yy", "en", "s", 0),
+        (505, prose(201, 12) * 3, "en", "s", 0),
+    ]
+
+
+@pytest.mark.parametrize("block_chars", [300_000, 40])
+def test_matches_brute_force(spark, block_chars):
+    """One automaton or one for every few items: the same rows."""
+    found = decontaminate.scan_documents(docs_df(spark, rows()), benchmark_df(spark, ITEMS), block_chars=block_chars)
+    got = sorted((tuple(r) for r in decontaminate.digest(found).collect()), key=repr)
+    assert got == sorted((brute(r[0], r[1], ITEMS) for r in rows()), key=repr)
+
+
+def test_random_texts_match_brute_force(spark):
+    rng = random.Random(1)
+    pick = lambda n: " ".join(rng.choice("ab") for _ in range(n))
+    items = [(i, pick(rng.randint(1, 14))) for i in range(8)]
+    docs = [(i, pick(rng.randint(0, 60)), None, None, 0) for i in range(60)]
+    found = decontaminate.digest(decontaminate.scan_documents(docs_df(spark, docs), benchmark_df(spark, items)))
+    assert sorted(tuple(r) for r in found.collect()) == [brute(d[0], d[1], items) for d in docs]
+
+
+def test_spans_are_of_the_original(spark):
+    text = "Àé — so: SHORT   item-here! end"
+    docs = docs_df(spark, [(1, text, None, None, 0)])
+    row = decontaminate.scan_documents(docs, benchmark_df(spark, [(2, "Short item here")])).first()
+    (start, end), = row["spans"]
+    assert text[start:end] == "SHORT   item-here"
+
+
+@pytest.mark.parametrize("block_chars", [300_000, 40])
+def test_drop_contaminated(spark, block_chars):
+    docs = docs_df(spark, rows())
+    kept = decontaminate.drop_contaminated(docs, benchmark_df(spark, ITEMS), block_chars=block_chars)
+    assert kept.schema == docs.schema
+    expected = [r[0] for r in rows() if not brute(r[0], r[1], ITEMS)[-1]]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == sorted(expected, key=repr)
+
+
+def test_empty(spark):
+    docs, none = docs_df(spark, []), benchmark_df(spark, [])
+    assert decontaminate.scan_documents(docs, benchmark_df(spark, ITEMS)).collect() == []
+    assert decontaminate.drop_contaminated(docs_df(spark), none).count() == len(documents())
+    found = decontaminate.digest(decontaminate.scan_documents(docs_df(spark), none)).collect()
+    assert {(r["n_hit"], r["contaminated"]) for r in found} == {(0, False)}
