@@ -25,7 +25,7 @@ from farewind.scratch import stored
 END = 256
 SYMBOLS = 257
 #: log2 of the rows of each predictor's table: 2, 3 and 4 symbols, word so far.
-ROW_BITS = (14, 15, 16, 17)
+ROW_BITS = (13, 15, 16, 17)
 #: Letters of a word that its predictor tells apart; further in, it sees the last ones only.
 WORD_LETTERS = 6
 START_WEIGHTS = (0.08, 0.25, 0.48, 0.40)
@@ -200,6 +200,16 @@ class Tree:
                 open_ranges[rest[0]][2] = len(self.leaves)
         self.ranges = [tuple(r) for r in open_ranges]
 
+    def drop_unseen(self, frequencies: np.ndarray) -> int:
+        """Number the nodes that pass seen symbols from 1 on, and all others 0; how many there are."""
+        sums = np.concatenate([[0], np.cumsum(frequencies[self.leaves])])
+        low, _, high = np.array(self.ranges).T
+        seen = sums[high] > sums[low]
+        number = np.where(seen, np.cumsum(seen), 0)
+        self.node = number[self.node]
+        self.ranges = [(0, 0, 0), *(r for r, s in zip(self.ranges, seen) if s)]
+        return len(self.ranges)
+
     def log_odds(self, counts: np.ndarray) -> np.ndarray:
         """Rows of symbol counts as rows of steps of log-odds of bit 1, one per node."""
         sums = np.zeros((len(counts), SYMBOLS + 1), np.float32)
@@ -220,17 +230,18 @@ class Model:
         first = slice(0, np.searchsorted(cells, _BASES[1]))
         symbols = np.bincount(cells[first] % SYMBOLS, counts[first], SYMBOLS)
         self.tree = Tree(symbols)
-        self.n_nodes = len(self.tree.ranges)
+        # nodes below which no symbol was seen share one column, in which both branches are alike
+        self.n_nodes = self.tree.drop_unseen(symbols)
         self.tables = []
         for base, bits in zip(_BASES, ROW_BITS):
             table = np.zeros((1 << bits, self.n_nodes), np.int8)
-            for row in range(0, 1 << bits, 4096):
+            for row in range(0, 1 << bits, 1024):
                 low = base + row * SYMBOLS
-                high = low + min(4096, (1 << bits) - row) * SYMBOLS
+                high = low + 1024 * SYMBOLS
                 part = slice(*np.searchsorted(cells, [low, high]))
                 dense = np.zeros(high - low, np.float32)
                 dense[cells[part] - low] = counts[part]
-                table[row : row + 4096] = self.tree.log_odds(dense.reshape(-1, SYMBOLS))
+                table[row : row + 1024] = self.tree.log_odds(dense.reshape(-1, SYMBOLS))
             self.tables.append(table.reshape(-1))
         self.hot_keys, self.hot_counts = hot
 
@@ -313,6 +324,19 @@ def _scorer(shared):
     return run
 
 
+def _least_hot(words: DataFrame, hot_words: int) -> int:
+    """The smallest count of frequent words, so that they are ``hot_words`` at most."""
+    steps = words.groupBy(F.floor(4 * F.log2("n")).cast("int").alias("step")).agg(
+        F.count("*").alias("words"), F.min("n").alias("least")
+    )
+    least, room = 2**62, hot_words
+    for row in steps.orderBy(F.desc("step")).collect():
+        if row["words"] > room:
+            break
+        least, room = row["least"], room - row["words"]
+    return least
+
+
 def fit(texts: DataFrame, hot_words: int = HOT_WORDS) -> tuple[DataFrame, Model, int, int, int]:
     """Counts of words (key, n), the model, and the tokens, kinds of token and ends in ``texts``.
 
@@ -328,7 +352,7 @@ def fit(texts: DataFrame, hot_words: int = HOT_WORDS) -> tuple[DataFrame, Model,
         F.coalesce(F.sum("n"), F.lit(0)), F.count("*"),
         F.coalesce(F.sum(F.when(F.col("key") == int(_END_KEY.view(np.int64)), F.col("n"))), F.lit(0)),
     ).first()
-    hot = words.orderBy(F.desc("n"), "key").limit(hot_words).toPandas()
+    hot = words.filter(F.col("n") >= _least_hot(words, hot_words)).toPandas()
     keys = hot["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
     cells = counts.filter("kind = 0").select("key", "n").toPandas()
@@ -359,10 +383,9 @@ def score_documents(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
         ).withColumn("row", F.monotonically_increasing_id()),
         "scored",
     )
-    rare = scored.select("row", F.explode("rare").alias("key")).groupBy("row", "key").count()
+    rare = scored.select("row", F.explode("rare").alias("key"))
     known = rare.join(words, "key").groupBy("row").agg(
-        F.sum(F.col("count") * F.log10(F.col("n") + 1.0)).alias("rare_sum"),
-        F.sum("count").alias("n_rare"),
+        F.sum(F.log10(F.col("n") + 1.0)).alias("rare_sum"), F.count("*").alias("n_rare")
     )
     n_tokens = F.col("n_words") + 1
     gains = F.col("hot_sum") + F.coalesce("rare_sum", F.lit(0.0)) + F.log10(F.lit(ends + 1.0))

@@ -4,15 +4,14 @@ A text's set holds its distinct shingles of ``size`` words (64-bit hashes of the
 equal words are one class from the start. ``HASHES`` multiply-shift hashes give the minima of a
 class; ``ROWS`` minima are a band's key, and classes that share a key may be linked. With 6
 rows and 36 bands a pair of similarity 0.8 shares none with probability 2e-5. Before full sets
-are compared, the low bytes of all minima must agree as pairs of 0.8 do.
+are compared, the lowest bits of all minima must agree as those of pairs of 0.8 do.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farewind.llm.arrow_text import Words, mix, pieces
@@ -21,11 +20,13 @@ from farewind.scratch import stored
 
 BANDS, ROWS = 36, 6
 HASHES = BANDS * ROWS
-#: Share of low bytes of the minima that must agree: 0.8 less six standard deviations.
-MIN_AGREEING = 0.63
+#: Lowest bits of the minima that may differ: of a pair of similarity 0.8 a tenth do, and six
+#: standard deviations more.
+MAX_DIFFERING = HASHES // 10 + 27
+SKETCH = ["s0", "s1", "s2", "s3"]
 #: Rounds at most in which the members of a bucket are compared with one of them, before all
 #: that are still in different components are compared with each other.
-PIVOT_ROUNDS = 6
+PIVOT_ROUNDS = 3
 
 _rng = np.random.default_rng(20240917)
 _FACTORS = (_rng.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1))[:, None]
@@ -65,6 +66,13 @@ def band_keys(least: np.ndarray) -> np.ndarray:
     return mix(rows.sum(axis=1, dtype=np.uint64) + _BAND_NUMBER).view(np.int64)
 
 
+def sketch(least: np.ndarray) -> np.ndarray:
+    """The lowest bits of all minima, as four numbers."""
+    bits = np.zeros(256, np.uint8)
+    bits[:HASHES] = least & np.uint32(1)
+    return np.packbits(bits).view(np.int64)
+
+
 def _sequence_hash(words: np.ndarray) -> int:
     """A 64-bit hash of the words in their order: the class of the text."""
     place = mix(np.arange(1, len(words) + 1, dtype=np.uint64))
@@ -91,7 +99,7 @@ def _per_text(size: int, full_sets: bool):
                     firsts.append(len(found))
                     least = minima(found) if len(found) else None
                     seconds.append(None if least is None else band_keys(least))
-                    thirds.append(None if least is None else least.astype(np.uint8).tobytes())
+                    thirds.append(sketch(least) if least is not None else np.zeros(4, np.int64))
                 known = [piece.column("id"), pa.array(nodes, pa.int64())]
                 if full_sets:
                     yield pa.RecordBatch.from_arrays(
@@ -99,43 +107,50 @@ def _per_text(size: int, full_sets: bool):
                     )
                 else:
                     yield pa.RecordBatch.from_arrays(
-                        [*known, pa.array(firsts, pa.int64()), pa.array(seconds, longs), pa.array(thirds, pa.binary())],
-                        names=["id", "node", "n_shingles", "bands", "low"],
+                        [
+                            *known, pa.array(firsts, pa.int64()), pa.array(seconds, longs),
+                            *[pa.array(part) for part in np.array(thirds, np.int64).reshape(-1, 4).T.copy()],
+                        ],
+                        names=["id", "node", "n_shingles", "bands", *SKETCH],
                     )
 
     return run
 
 
-def _minima_agree(a: pd.Series, b: pd.Series) -> pd.Series:
-    if not len(a):
-        return pd.Series([], dtype=bool)
-    left = np.frombuffer(b"".join(a), np.uint8).reshape(len(a), -1)
-    right = np.frombuffer(b"".join(b), np.uint8).reshape(len(a), -1)
-    return pd.Series((left == right).mean(axis=1) >= MIN_AGREEING)
+def _differing(left: str, right: str) -> Column:
+    """In how many of their lowest bits two sketches differ."""
+    parts = [F.bit_count(F.col(f"{left}{c}").bitwiseXOR(F.col(f"{right}{c}"))) for c in SKETCH]
+    return parts[0] + parts[1] + parts[2] + parts[3]
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
-    """The pairs (a, b) of classes that are linked: by sizes, minima, and then full sets."""
-    for end in "ab":
-        told = classes.select(
-            F.col("node").alias(end), F.col("n_shingles").alias(f"n{end}"), F.col("low").alias(f"l{end}")
-        )
-        pairs = pairs.join(told, end)
-    sized = 100 * F.least("na", "nb") >= pct * F.greatest("na", "nb")
-    likely = stored(
-        pairs.filter(sized).filter(F.pandas_udf(_minima_agree, "boolean")("la", "lb")).select("a", "b", "na", "nb"), "likely"
-    )
+def _told(pairs: DataFrame, classes: DataFrame, end: str) -> DataFrame:
+    """Pairs with the size and the sketch of one end, whose names begin with the end's."""
+    names = {"node": end, "n_shingles": f"{end}n", **{c: f"{end}{c}" for c in SKETCH}}
+    return pairs.join(classes.select(*[F.col(old).alias(new) for old, new in names.items()]), end)
+
+
+def _likely(pct: int) -> Column:
+    sized = 100 * F.least("an", "bn") >= pct * F.greatest("an", "bn")
+    return sized & (_differing("a", "b") <= MAX_DIFFERING)
+
+
+def _verified(likely: DataFrame, sets: DataFrame, pct: int, whole: bool = False) -> DataFrame:
+    """The pairs (a, b, an, bn) that are linked by their full sets; ``whole``: most are needed."""
+    if not whole:
+        needed = likely.select(F.col("a").alias("node")).union(likely.select("b")).distinct()
+        sets = sets.join(needed, "node", "left_semi")
     for end in "ba":
-        likely = likely.join(
-            sets.select(F.col("node").alias(end), F.col("shingles").alias(f"s{end}")), end
-        )
-    both = F.size(F.array_intersect("sa", "sb"))
-    return likely.filter(100 * both >= pct * (F.col("na") + F.col("nb") - both)).select("a", "b")
+        own = sets.select(F.col("node").alias(end), F.col("shingles").alias(f"{end}s"))
+        likely = likely.join(own, end)
+    both = F.size(F.array_intersect("as", "bs"))
+    return likely.filter(100 * both >= pct * (F.col("an") + F.col("bn") - both)).select("a", "b")
 
 
-def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
+def _open_members(members: DataFrame, found: DataFrame | None) -> DataFrame:
     """Members (bucket, node, company) with their component, of buckets that hold several."""
-    named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = members.withColumn("component", F.col("node"))
+    if found is not None:
+        named = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = (
         named.groupBy("bucket")
         .agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
@@ -144,24 +159,26 @@ def _open_members(members: DataFrame, found: DataFrame) -> DataFrame:
     return named.join(mixed, "bucket")
 
 
-def _open_pairs(members: DataFrame) -> int:
-    """How many pairs of one bucket are in different components."""
-    parts = members.groupBy("bucket", "component").count()
-    buckets = parts.groupBy("bucket").agg(
-        F.sum("count").alias("n"), F.sum(F.col("count") * F.col("count")).alias("same")
+def _pivots(members: DataFrame) -> DataFrame:
+    """Of each bucket the member with most company, with its component."""
+    best = members.groupBy("bucket").agg(F.max(F.struct("company", "node", "component")).alias("p"))
+    return best.select(
+        "bucket", F.col("p.node").alias("a"), F.col("p.component").alias("ca"), F.col("p.company").alias("most")
     )
-    return buckets.agg(F.sum((F.col("n") * F.col("n") - F.col("same")) / 2)).first()[0] or 0
 
 
 def link_classes(classes: DataFrame, sets_of, pct: int, rounds: int = PIVOT_ROUNDS) -> DataFrame | None:
-    """node and component of the classes (node, n_shingles, bands, low) that are linked to others.
-
-    Buckets hold the classes of a band's key. In each round the members of a bucket are
-    compared with one of them, its pivot: the one with most company over all its buckets. The
-    pivot then leaves the bucket, as nothing in it is left to compare with. Linked classes are
-    one component, and a bucket whose members are all in one is done. When what is left is
-    few pairs, or after the last round, every two members of a bucket in different components
-    are compared. So each pair that shares a bucket is compared, unless it is connected.
+    """node and component of the classes (node, n_shingles, bands, sketch) linked to others.
+
+    Buckets hold the classes of a band's key; a bucket's pivot is its member with most company
+    over all buckets. First every class is compared with the one pivot of its buckets that has
+    most company, which links most of a group of copies by one comparison each. Then, in up to
+    ``rounds`` rounds, all members of a bucket are compared with its pivot, which then leaves
+    the bucket, as nothing in it is left to compare with. Linked classes are one component; a
+    bucket whose members are all in one is done. Last, every two members of a bucket in
+    different components are compared: by size and sketch inside the join, so that only likely
+    pairs come out of it, and these by full sets. So each pair that shares a bucket is
+    compared, unless it is connected already.
     """
     rows = classes.select("node", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").count().filter("count > 1")
@@ -171,28 +188,41 @@ def link_classes(classes: DataFrame, sets_of, pct: int, rounds: int = PIVOT_ROUN
     sets = stored(sets_of(involved), "shingles")
     members = stored(in_company.drop("count").join(company, "node"), "open").withColumn("component", F.col("node"))
 
-    links = found = None
-    for number in range(rounds + 1):
-        size = members.count()
-        if not size:
+    found = None
+    for number in range(rounds + 2):
+        if members.isEmpty():
             break
-        last = number == rounds or (number and _open_pairs(members) <= 2 * size)
-        if last:
-            left = members.select("bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
-            right = members.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
-            pairs = left.join(right, "bucket").filter("a < b and ca <> cb")
-        else:
-            best = members.groupBy("bucket").agg(F.max(F.struct("company", "node", "component")).alias("p"))
-            best = best.select("bucket", F.col("p.node").alias("a"), F.col("p.component").alias("ca"))
+        if number <= rounds:
+            best = _pivots(members)
             pairs = members.withColumnRenamed("node", "b").join(best, "bucket").filter("component <> ca")
-        new = stored(_verified(pairs.select("a", "b").distinct(), involved, sets, pct), "links")
-        links = new if links is None else links.unionByName(new)
-        found = connected_components(links)
-        if last:
+            if number == 0:
+                chosen = pairs.groupBy("b").agg(F.max(F.struct("most", "a")).alias("p"))
+                pairs = chosen.select(F.col("p.a").alias("a"), "b")
+            pairs = _told(_told(pairs.select("a", "b").distinct(), involved, "a"), involved, "b")
+            likely = pairs.filter(_likely(pct))
+        else:
+            wide = members.select("bucket", "node", "component").join(involved, "node")
+            left, right = (
+                wide.select(
+                    "bucket", F.col("component").alias(f"c{end}"), F.col("node").alias(end),
+                    F.col("n_shingles").alias(f"{end}n"), *[F.col(c).alias(f"{end}{c}") for c in SKETCH],
+                )
+                for end in "ab"
+            )
+            condition = (left["bucket"] == right["bucket"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+            likely = left.join(right, condition & _likely(pct)).select("a", "b", "an", "bn").distinct()
+        likely = stored(likely.select("a", "b", "an", "bn"), "likely")
+        links = stored(_verified(likely, sets, pct, whole=number == 0), "links")
+        if not links.isEmpty():
+            known = links if found is None else links.unionByName(
+                found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+            )
+            found = connected_components(known)
+        if number > rounds:
             break
-        rest = members.drop("component").join(
-            best.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti"
-        )
+        rest = members.drop("component")
+        if number:
+            rest = rest.join(best.select("bucket", F.col("a").alias("node")), ["bucket", "node"], "left_anti")
         members = stored(_open_members(rest, found), "open")
     return found
 
@@ -203,14 +233,14 @@ def _judge(rows: DataFrame, size: int, pct: int) -> tuple[DataFrame, DataFrame,
     features = stored(
         rows.mapInArrow(
             _per_text(size, False),
-            "id bigint, node bigint, n_shingles bigint, bands array<bigint>, low binary",
+            f"id bigint, node bigint, n_shingles bigint, bands array<bigint>, {' bigint, '.join(SKETCH)} bigint",
         ),
         "features",
     )
     named = features.filter("id is not null and node is not null")
     classes = stored(
         named.groupBy("node").agg(
-            F.min("id").alias("first"), F.min_by(F.struct("n_shingles", "bands", "low"), "id").alias("s")
+            F.min("id").alias("first"), F.min_by(F.struct("n_shingles", "bands", *SKETCH), "id").alias("s")
         ).select("node", "first", "s.*"),
         "classes",
     )

@@ -77,7 +77,7 @@ def test_the_rest_of_a_bucket_is_compared_whole(spark):
     """Without a pivot round every pair in a bucket is compared; the result is the same."""
     rows = [(i, text) for i, (_, text) in enumerate(family(25))]
     df = spark.createDataFrame(rows, "id long, text string")
-    schema = "id bigint, node bigint, n_shingles bigint, bands array<bigint>, low binary"
+    schema = "id bigint, node bigint, n_shingles bigint, bands array<bigint>, s0 bigint, s1 bigint, s2 bigint, s3 bigint"
     features = df.mapInArrow(near_dups._per_text(2, False), schema)
 
     def sets_of(_):
