@@ -24,7 +24,7 @@ TARGETS = {"good": 0.8, "poor": 0.17, "toxic": 0.03}
 SAMPLE_ROWS = 20_000
 #: Words per domain that it looks for, and documents that must hold one.
 WORDS_PER_DOMAIN, MIN_DOCUMENTS = 32, 5
-MAX_STEPS, TOLERANCE = 60, 1e-4
+MAX_STEPS, TOLERANCE = 200, 1e-4
 
 _BLANK = r"[\x20\x09-\x0D]+"
 
