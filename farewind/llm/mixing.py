@@ -113,8 +113,9 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float]) ->
     """The steps of the fit and the step size, from which ``rate_of`` makes every row's rate.
 
     ``rows`` has n_tokens and posterior. ``targets`` are weights; their sum need not be 1.
-    A step holds, per domain, the relative error at that time divided by the domain's tokens
-    at rate 1. The budget of tokens is that of rate 1 for all. A domain without tokens, or
+    A step holds, per domain, the error at that time divided by the domain's tokens at rate 1,
+    and its momentum: the next slope is taken ahead of the rates, along the way they came. The
+    budget of tokens is that of rate 1 for all. A domain without tokens, or
     without a target, is left out of the errors.
     """
     k = range(len(domains))
@@ -131,31 +132,41 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float]) ->
     bound = max((sum(sums[f"g{i}_{j}"] / math.sqrt(size[i] * size[j]) for j in active) for i in active), default=1.0)
     pace = 1.0 / bound
     steps: list[list[float]] = []
-    for _ in range(MAX_STEPS):
-        rate = rate_of(F.col("posterior"), steps, pace)
-        now = rows.agg(*[F.coalesce(F.sum(tokens[i] * rate), F.lit(0.0)).alias(f"s{i}") for i in k]).first()
-        errors = [(now[f"s{i}"] - goal[i]) if goal[i] > 0 else 0.0 for i in k]
-        if all(abs(errors[i]) <= TOLERANCE * goal[i] for i in active):
+    for number in range(MAX_STEPS):
+        rate, ahead = _rate_and_ahead(F.col("posterior"), steps, pace)
+        at = rows.select("n_tokens", "posterior", rate.alias("rate"), ahead.alias("ahead"))
+        now = at.agg(*[
+            F.coalesce(F.sum(tokens[i] * F.col(c)), F.lit(0.0)).alias(f"{c}{i}") for c in ("rate", "ahead") for i in k
+        ]).first()
+        if all(abs(now[f"rate{i}"] - goal[i]) <= TOLERANCE * goal[i] for i in active):
             break
-        steps.append([errors[i] / size[i] if size[i] > 0 else 0.0 for i in k])
+        errors = [(now[f"ahead{i}"] - goal[i]) / size[i] if i in active else 0.0 for i in k]
+        steps.append([*errors, number / (number + 3)])
     return steps, pace
 
 
-def rate_of(posterior: Column, steps: list[list[float]], pace: float) -> Column:
-    """The rate after all steps, begun at 1 and kept from falling below 0."""
+def _rate_and_ahead(posterior: Column, steps: list[list[float]], pace: float) -> tuple[Column, Column]:
+    """The rate after all steps, and the place ahead of it where the next slope is taken."""
+    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
     if not steps:
-        return F.lit(1.0)
+        return F.lit(1.0), F.lit(1.0)
     moves = F.array(*[_doubles(step) for step in steps])
 
-    def move(rate, step):
-        slope = F.aggregate(F.zip_with(posterior, step, lambda p, e: p * e), F.lit(0.0), lambda a, x: a + x)
-        return F.greatest(F.lit(0.0), rate - F.lit(pace) * slope)
+    def move(state, step):
+        errors = F.slice(step, 1, len(steps[0]) - 1)
+        slope = F.aggregate(F.zip_with(posterior, errors, lambda p, e: p * e), F.lit(0.0), lambda a, x: a + x)
+        rate = F.greatest(F.lit(0.0), state["ahead"] - F.lit(pace) * slope)
+        return F.struct(
+            rate.alias("rate"), (rate + F.element_at(step, -1) * (rate - state["rate"])).alias("ahead")
+        )
 
-    return F.aggregate(moves, F.lit(1.0), move)
+    state = F.aggregate(moves, start, move)
+    return state["rate"], state["ahead"]
 
 
-#: Parts of the tokens that each domain is to have.
-TARGETS = {"good": 0.8, "poor": 0.17, "toxic": 0.03}
+def rate_of(posterior: Column, steps: list[list[float]], pace: float) -> Column:
+    """The rate after all steps, begun at 1 and kept from falling below 0."""
+    return _rate_and_ahead(posterior, steps, pace)[0]
 
 
 def _fitted(docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> tuple[dict, list[list[float]], float]:

@@ -337,6 +337,22 @@ def _least_hot(words: DataFrame, hot_words: int) -> int:
     return least
 
 
+def _packed(batches):
+    for batch in batches:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([batch.column(c).to_numpy().tobytes()], pa.binary()) for c in ("key", "n")],
+            names=["keys", "counts"],
+        )
+
+
+def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """key and n of all rows as arrays on the driver; they travel as bytes, sixteen a row."""
+    rows = counts.select("key", "n").mapInArrow(_packed, "keys binary, counts binary").collect()
+    parts = [(np.frombuffer(r["keys"], np.int64), np.frombuffer(r["counts"], np.int64)) for r in rows]
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate([none, *column]) for column in zip(*parts)) if parts else (none, none)
+
+
 def fit(texts: DataFrame, hot_words: int = HOT_WORDS) -> tuple[DataFrame, Model, int, int, int]:
     """Counts of words (key, n), the model, and the tokens, kinds of token and ends in ``texts``.
 
@@ -352,14 +368,10 @@ def fit(texts: DataFrame, hot_words: int = HOT_WORDS) -> tuple[DataFrame, Model,
         F.coalesce(F.sum("n"), F.lit(0)), F.count("*"),
         F.coalesce(F.sum(F.when(F.col("key") == int(_END_KEY.view(np.int64)), F.col("n"))), F.lit(0)),
     ).first()
-    hot = words.filter(F.col("n") >= _least_hot(words, hot_words)).toPandas()
-    keys = hot["key"].to_numpy(np.int64).view(np.uint64)
+    keys, times = _collected(words.filter(F.col("n") >= _least_hot(words, hot_words)))
+    keys = keys.view(np.uint64)
     order = np.argsort(keys)
-    cells = counts.filter("kind = 0").select("key", "n").toPandas()
-    model = Model(
-        cells["key"].to_numpy(np.int64), cells["n"].to_numpy(np.int64),
-        (keys[order], hot["n"].to_numpy(np.int64)[order]),
-    )
+    model = Model(*_collected(counts.filter("kind = 0")), (keys[order], times[order]))
     return words, model, n_tokens, n_kinds, ends
 
 

@@ -26,7 +26,7 @@ MAX_DIFFERING = HASHES // 10 + 27
 SKETCH = ["s0", "s1", "s2", "s3"]
 #: Rounds at most in which the members of a bucket are compared with one of them, before all
 #: that are still in different components are compared with each other.
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 1
 
 _rng = np.random.default_rng(20240917)
 _FACTORS = (_rng.integers(0, 2**32, HASHES, dtype=np.uint32) | np.uint32(1))[:, None]
@@ -167,6 +167,34 @@ def _pivots(members: DataFrame) -> DataFrame:
     )
 
 
+def _rest_of_buckets(members: DataFrame, involved: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+    """Pairs (a, b, an, bn) of members of one bucket in different components that look linked.
+
+    All are compared inside the join, first by size and sketch, then by their sets in 31 bits
+    a shingle, with room for two that coincide. A pair is compared in its first common bucket
+    only; where that bucket is done or one of the two has left it, it was compared before.
+    """
+    short = sets.select("node", F.transform("shingles", lambda x: x.bitwiseAND(2**31 - 1).cast("int")).alias("short"))
+    told = involved.join(members.select("node").distinct(), "node", "left_semi").join(short, "node")
+    wide = members.select("bucket", "node", "component").join(told, "node")
+    left, right = (
+        wide.select(
+            F.col("bucket").alias(f"{end}bucket"), F.col("component").alias(f"c{end}"), F.col("node").alias(end),
+            F.col("n_shingles").alias(f"{end}n"), F.col("short").alias(f"{end}s"), F.col("bands").alias(f"{end}bands"),
+            *[F.col(c).alias(f"{end}{c}") for c in SKETCH],
+        )
+        for end in "ab"
+    )
+    both = F.size(F.array_intersect("as", "bs")) + 2
+    condition = (
+        (F.col("abucket") == F.col("bbucket"))
+        & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _likely(pct)
+        & (F.array_min(F.array_intersect("abands", "bbands")) == F.col("abucket"))
+        & (100 * both >= pct * (F.col("an") + F.col("bn") - both))
+    )
+    return left.join(right, condition).select("a", "b", "an", "bn")
+
+
 def link_classes(classes: DataFrame, sets_of, pct: int, rounds: int = PIVOT_ROUNDS) -> DataFrame | None:
     """node and component of the classes (node, n_shingles, bands, sketch) linked to others.
 
@@ -176,15 +204,14 @@ def link_classes(classes: DataFrame, sets_of, pct: int, rounds: int = PIVOT_ROUN
     ``rounds`` rounds, all members of a bucket are compared with its pivot, which then leaves
     the bucket, as nothing in it is left to compare with. Linked classes are one component; a
     bucket whose members are all in one is done. Last, every two members of a bucket in
-    different components are compared: by size and sketch inside the join, so that only likely
-    pairs come out of it, and these by full sets. So each pair that shares a bucket is
+    different components are compared, inside a join that only likely pairs leave. So each pair that shares a bucket is
     compared, unless it is connected already.
     """
     rows = classes.select("node", F.explode("bands").alias("bucket"))
     shared = rows.groupBy("bucket").count().filter("count > 1")
     in_company = stored(rows.join(shared, "bucket"), "members")
     company = in_company.groupBy("node").agg(F.sum("count").alias("company"))
-    involved = stored(classes.join(company.select("node"), "node", "left_semi").drop("bands"), "involved")
+    involved = stored(classes.join(company.select("node"), "node", "left_semi"), "involved")
     sets = stored(sets_of(involved), "shingles")
     members = stored(in_company.drop("count").join(company, "node"), "open").withColumn("component", F.col("node"))
 
@@ -201,16 +228,7 @@ def link_classes(classes: DataFrame, sets_of, pct: int, rounds: int = PIVOT_ROUN
             pairs = _told(_told(pairs.select("a", "b").distinct(), involved, "a"), involved, "b")
             likely = pairs.filter(_likely(pct))
         else:
-            wide = members.select("bucket", "node", "component").join(involved, "node")
-            left, right = (
-                wide.select(
-                    "bucket", F.col("component").alias(f"c{end}"), F.col("node").alias(end),
-                    F.col("n_shingles").alias(f"{end}n"), *[F.col(c).alias(f"{end}{c}") for c in SKETCH],
-                )
-                for end in "ab"
-            )
-            condition = (left["bucket"] == right["bucket"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-            likely = left.join(right, condition & _likely(pct)).select("a", "b", "an", "bn").distinct()
+            likely = _rest_of_buckets(members, involved, sets, pct)
         likely = stored(likely.select("a", "b", "an", "bn"), "likely")
         links = stored(_verified(likely, sets, pct, whole=number == 0), "links")
         if not links.isEmpty():

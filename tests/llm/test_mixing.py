@@ -55,9 +55,10 @@ def test_fit_matches_plain_numpy(spark):
     size = tokens @ p
     goal = tokens.sum() * np.array([0.7, 0.25, 0.05])
     gram = (p * tokens[:, None]).T @ p / np.sqrt(np.outer(size, size))
-    rate, step = np.ones(200), 1 / gram.sum(axis=1).max()
-    for _ in range(len(steps)):
-        rate = np.maximum(0, rate - step * (p @ (((tokens * rate) @ p - goal) / size)))
+    rate, ahead, step = np.ones(200), np.ones(200), 1 / gram.sum(axis=1).max()
+    for t in range(len(steps)):
+        new = np.maximum(0, ahead - step * (p @ (((tokens * ahead) @ p - goal) / size)))
+        rate, ahead = new, new + t / (t + 3) * (new - rate)
     assert np.allclose(found, rate)
     assert np.allclose((tokens * found) @ p, goal, rtol=2e-3)
 
