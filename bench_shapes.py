@@ -1,7 +1,7 @@
 """Times some operators next to the plainer way to write the same job.
 
-The plainer forms are one scan per look-back time, row-at-a-time Python functions, one
-indexer fit per label column, and a full outer join for an upsert. Prints one JSON line.
+The plainer forms are one scan per look-back time, and a full outer join for an upsert.
+Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -11,14 +11,12 @@ import os
 import statistics
 from functools import reduce
 
-from pyspark.ml.feature import StringIndexer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bench import run
-from farewind.functions import duration_minutes
 from farewind.operators import changelog
-from farewind.plans import change_queries, fare_queries
+from farewind.plans import change_queries
 from farewind.plans.bindings import QUOTE_ORDER, fares, quotes
 from farewind.schemas import FARE, FARE_KEYS, QUOTE_KEYS
 from farewind.session import build_session
@@ -38,27 +36,6 @@ def frames_by_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def bands_by_python(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def band(price):
-        low = price // 500 * 500
-        return f"{low}~{low + 500}"
-
-    return fares(spark, sf_dir).select(
-        "l_orderkey", "l_linenumber", "Price", F.udf(band, "string")("Price").alias("price_range")
-    )
-
-
-def ratings_by_python(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def rate(price, minutes, preference):
-        return 0.7 * preference + 0.2 * (1 / (price + 1)) + 0.1 * (1 / (minutes + 1))
-
-    rows = fares(spark, sf_dir).withColumn("minutes", duration_minutes("Duration"))
-    for column, output in (("Airline", "airline_index"), ("Route", "route_index")):
-        rows = StringIndexer(inputCol=column, outputCol=output).fit(rows).transform(rows)
-    rating = F.udf(rate, "float")("Price", "minutes", "airline_index")
-    return rows.select("l_orderkey", "l_linenumber", rating.alias("rating"))
-
-
 def upsert_by_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _outer_join(spark, sf_dir, change_queries._fare_update(spark, sf_dir))
 
@@ -87,8 +64,6 @@ def small_upsert_by_outer_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PAIRS = {
     "compare_time_frames": (change_queries.compare_time_frames, frames_by_union),
-    "fare_price_bands": (fare_queries.fare_price_bands, bands_by_python),
-    "fare_ratings_preference": (fare_queries.fare_ratings_preference, ratings_by_python),
     "merge_upsert": (change_queries.merge_upsert, upsert_by_outer_join),
     "merge_upsert of one day": (small_upsert, small_upsert_by_outer_join),
 }

@@ -28,7 +28,11 @@ def _count(digits: Column) -> Column:
     return F.when(digits == "", F.lit(0)).otherwise(digits.try_cast("bigint"))
 
 
-def price_band(price: Column | str, width: int = 500) -> Column:
+# Fixed value: the width of a band.
+BAND_WIDTH = 500
+
+
+def price_band(price: Column | str, width: int = BAND_WIDTH) -> Column:
     """``"lo~hi"`` of the band of ``width`` that holds the price; bands start at multiples."""
     whole = as_column(price).cast("bigint")
     low = whole - F.pmod(whole, F.lit(width))
@@ -42,6 +46,7 @@ def rating_delay(
 
     ``delay`` may be text, as events carry it; ``airline`` is the index of its label.
     """
+    # fixed values: the weights
     rating = (
         0.3 * as_column(delay).try_cast("double")
         + 0.5 * _inverse(price)
@@ -55,6 +60,7 @@ def rating_preference(
     price: Column | str, minutes: Column | str, preference: Column | str
 ) -> Column:
     """Rating that weighs the preference for an airline first, then price and duration."""
+    # fixed values: the weights
     rating = (
         0.7 * as_column(preference).cast("double")
         + 0.2 * _inverse(price)

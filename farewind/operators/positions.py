@@ -12,6 +12,7 @@ from farewind.functions import epoch_text
 from farewind.operators.filters import ALL, where_equal
 from farewind.operators.ordering import MAX_GROUP_ROWS, with_next
 
+# The columns shown of a position and of a point of a track.
 POSITION_COLUMNS = (
     "icao24", "callsign", "origin_country", "longitude", "latitude", "baro_altitude", "velocity",
 )

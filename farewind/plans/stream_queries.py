@@ -10,12 +10,20 @@ from pyspark.sql import functions as F
 
 from farewind import sinks, sources, streaming
 from farewind.functions import body_text, days_after, decode_body, encode_body, hash_bucket
-from farewind.plans.bindings import FARES_SQL, comparable, fares, table
+from farewind.plans.bindings import (
+    FARES,
+    FARES_SQL,
+    NEW_FARES,
+    NEW_FARES_SQL,
+    comparable,
+    fares,
+    table,
+)
 from farewind.plans.fare_queries import line_key, bucket_sql
 from farewind.schemas import BROKER_ENVELOPE, FARE, STREAMED_FARE
 from farewind.scratch import new_folder
 
-_TIMEOUT_S = 3600
+_MAX_FILES = 8  # files of a given table in one batch
 _IDS = ("l_orderkey", "l_linenumber")
 _FIRST_DAY = "2024-01-01"
 _UNREADABLE = "AIR_AO"
@@ -24,7 +32,10 @@ _MISPRICED = "AIR_RF"
 
 def _events(spark, sf_dir, body="body"):
     """Fares as messages: one airline sends no JSON, one sends prices that are not numbers."""
-    rows = fares(spark, sf_dir)
+    return _messages(fares(spark, sf_dir), body)
+
+
+def _messages(rows, body="body"):
     price_text = F.struct(*FARE.names[:-1], F.lit("n/a").alias("Price"))
     message = (
         F.when(F.col("Airline") == _UNREADABLE, F.concat(F.lit("offer "), "Route"))
@@ -46,20 +57,22 @@ def decode_events_batch(spark, sf_dir):
     return comparable(_decoded(_events(spark, sf_dir)))
 
 
-def _landed_stream(spark, rows, name):
-    """Rows written to a folder, and the folder as a stream."""
-    path = new_folder(spark, name)
-    sinks.write_table(rows, path)
-    return sources.stream_table(spark, path, rows.schema)
+def _arriving(spark, sf_dir, name):
+    """A given table as a stream; the glob matches it as one file or as a folder."""
+    schema = table(spark, sf_dir, name).schema
+    return sources.stream_table(spark, f"{sf_dir}/{name}.parque[t]", schema, max_files=_MAX_FILES)
+
+
+def _arriving_fares(spark, sf_dir):
+    return _arriving(spark, sf_dir, "lineitem").selectExpr(*FARES)
 
 
 def _finish(query):
-    if not streaming.run_available(query, _TIMEOUT_S):
-        raise TimeoutError("the stream did not finish in time")
+    streaming.run_available(query)
 
 
 def decode_events_stream(spark, sf_dir):
-    events = _landed_stream(spark, _events(spark, sf_dir), "events")
+    events = _messages(_arriving_fares(spark, sf_dir))
     out = new_folder(spark, "decoded")
     _finish(
         streaming.stream_batches_to_table(_decoded(events), out, new_folder(spark, "checkpoint"))
@@ -79,7 +92,7 @@ def broker_envelope_decode(spark, sf_dir):
     )
     path = new_folder(spark, "envelopes")
     sinks.write_table(rows, path)
-    envelopes = sources.stream_table(spark, path, BROKER_ENVELOPE)
+    envelopes = sources.stream_broker(spark, {"path": path}, fmt="parquet", schema=BROKER_ENVELOPE)
     decoded = _decoded(envelopes, body="value", key=body_text("key"), keep=())
     out = new_folder(spark, "decoded")
     _finish(streaming.stream_to_table(decoded, out, new_folder(spark, "checkpoint")))
@@ -111,9 +124,7 @@ def explode_struct_array(spark, sf_dir):
 
 
 def stream_append_parquet(spark, sf_dir):
-    # The glob matches the one table, stored as a file or as a folder.
-    schema = table(spark, sf_dir, "lineitem").schema
-    lines = sources.stream_table(spark, f"{sf_dir}/lineitem.parque[t]", schema)
+    lines = _arriving(spark, sf_dir, "lineitem")
     out = new_folder(spark, "lines")
     wanted = lines.select("l_orderkey", "l_linenumber", "l_extendedprice", "l_returnflag")
     _finish(streaming.stream_to_table(wanted, out, new_folder(spark, "checkpoint")))
@@ -121,11 +132,13 @@ def stream_append_parquet(spark, sf_dir):
 
 
 def stream_foreach_batch(spark, sf_dir):
-    rows = fares(spark, sf_dir).select(*FARE.names)
+    """Two streams with a checkpoint each append to one table: fares, and new fares."""
     out = new_folder(spark, "fares")
-    stream = _landed_stream(spark, rows, "arriving")
-    _finish(streaming.stream_batches_to_table(stream, out, new_folder(spark, "checkpoint")))
-    return streaming.read_batches(spark, out)
+    lines = _arriving_fares(spark, sf_dir).select(*FARE.names)
+    orders = _arriving(spark, sf_dir, "orders").selectExpr(*NEW_FARES)
+    for stream in (lines, orders):
+        _finish(streaming.stream_batches_to_table(stream, out, new_folder(spark, "checkpoint")))
+    return streaming.read_batches(spark, out, FARE)
 
 
 def csv_stream(spark, sf_dir):
@@ -139,23 +152,26 @@ def csv_stream(spark, sf_dir):
 
 def stream_delay_summary(spark, sf_dir):
     """The delays in the table that the event stream writes."""
-    events = _landed_stream(spark, _events(spark, sf_dir), "events")
+    events = _messages(_arriving_fares(spark, sf_dir))
     written = new_folder(spark, "decoded")
     decoded = _decoded(events, keep=())
     _finish(streaming.stream_to_table(decoded, written, new_folder(spark, "checkpoint")))
     out = new_folder(spark, "delays")
-    growing = sources.stream_table(spark, written, STREAMED_FARE)
+    growing = sources.stream_table(spark, written, STREAMED_FARE, max_files=_MAX_FILES)
     _finish(streaming.stream_delay_summary(growing, out, new_folder(spark, "checkpoint")))
     return streaming.read_delay_summary(spark, out)
 
 
 def stream_preview_rows(spark, sf_dir):
+    """The cheapest rows of a table written in several files, one batch each."""
+    path = new_folder(spark, "arriving")
     rows = fares(spark, sf_dir).select("Airline", "Source", "Price")
+    sinks.write_table(rows.repartition(4), path)
+    stream = sources.stream_table(spark, path, rows.schema, max_files=1)
     out = new_folder(spark, "preview")
-    stream = _landed_stream(spark, rows, "arriving")
     order = [F.asc("Price"), F.asc("Airline"), F.asc("Source")]
     _finish(streaming.stream_preview(stream, out, new_folder(spark, "checkpoint"), order))
-    return streaming.read_batches(spark, out)
+    return streaming.read_preview(spark, out, order)
 
 
 _FARE_COLUMNS = ", ".join(FARE.names)
@@ -202,7 +218,8 @@ QUERIES = {
     ),
     "stream_foreach_batch": (
         stream_foreach_batch,
-        f"WITH {FARES_SQL} SELECT {_FARE_COLUMNS} FROM fares",
+        f"WITH {FARES_SQL}, {NEW_FARES_SQL} SELECT {_FARE_COLUMNS} FROM fares"
+        f" UNION ALL SELECT {_FARE_COLUMNS} FROM new_fares",
     ),
     "csv_stream": (csv_stream, f"WITH {FARES_SQL} SELECT {_FARE_COLUMNS} FROM fares"),
     "stream_delay_summary": (

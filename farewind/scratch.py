@@ -2,47 +2,61 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_roots: dict[str, str] = {}
+#: Folders made so far, by application; ``release`` empties its entry.
+_made: dict[str, list[str]] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local-mode session may do without the setting; it gets one temporary folder
-    per application, because there all tasks share the machine.
+    Only a session in local mode may do without the setting: it gets a folder below its
+    warehouse, because there all tasks share the machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="farewind-")
-    return _local_roots[app]
+    warehouse = re.sub("^file:(//)?(?=/)", "", spark.conf.get("spark.sql.warehouse.dir"))
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path below the shared folder that no other run uses (not created yet)."""
-    return f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    app = spark.sparkContext.applicationId
+    path = f"{shared_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _made.setdefault(app, []).append(path)
+    return path
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """The rows of ``df``, computed once and written to a table in the shared folder.
 
     Later steps neither recompute them nor depend on the executors that did, and the size of
-    the table is known when they are planned.
+    the table is known when they are planned. ``release`` deletes it.
     """
     path = new_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete every folder made for this application so far; how many there were.
+
+    For the end of a job: DataFrames that read one of them can no longer be computed.
+    """
+    paths = _made.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return len(paths)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Let the ALS solver cut its lineage in the shared folder."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -36,10 +36,17 @@ def stream_table(
     return (reader.schema(schema) if schema is not None else reader).load(name)
 
 
-def stream_broker(spark: SparkSession, options: Mapping[str, str], fmt: str = "kafka") -> DataFrame:
+def stream_broker(
+    spark: SparkSession,
+    options: Mapping[str, str],
+    fmt: str = "kafka",
+    schema: T.StructType | None = None,
+) -> DataFrame:
     """The raw envelopes of a message broker.
 
     Needs the broker's connector on the class path. ``options`` go to it unchanged, e.g.
-    ``kafka.bootstrap.servers`` and ``subscribe``.
+    ``kafka.bootstrap.servers`` and ``subscribe``. Files of envelopes are read by naming their
+    format and passing ``schema``, which a broker has of itself.
     """
-    return spark.readStream.format(fmt).options(**options).load()
+    reader = spark.readStream.format(fmt).options(**options)
+    return (reader if schema is None else reader.schema(schema)).load()

@@ -4,6 +4,7 @@ from farewind.streaming.decode import decode_fare_events, flatten_struct
 from farewind.streaming.writers import (
     read_batches,
     read_delay_summary,
+    read_preview,
     run_available,
     stream_batches_to_table,
     stream_delay_summary,
@@ -17,6 +18,7 @@ __all__ = [
     "flatten_struct",
     "read_batches",
     "read_delay_summary",
+    "read_preview",
     "run_available",
     "stream_batches_to_table",
     "stream_delay_summary",

@@ -11,9 +11,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-_BATCH = "batch_id"
+# Names of the folders of a batch: the query that its checkpoint belongs to, and its number.
+_QUERY, _BATCH = "_farewind_query", "_farewind_batch"
 
 
 def stream_to_table(
@@ -34,15 +36,17 @@ def stream_batches_to_table(
 ) -> StreamingQuery:
     """Append batch by batch, each to its own folder.
 
-    A batch that is run again after a failure replaces its folder, so nothing is doubled.
-    Batch numbers belong to the checkpoint: a new checkpoint needs a new output path.
+    A batch that is run again after a failure replaces its folder, so nothing is doubled. The
+    folder carries the identity of the query, which lives in its checkpoint: a stream with
+    another checkpoint appends to what is there.
     """
     return _each_batch(sdf, path, checkpoint, lambda batch: batch, available_now)
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """The table written by ``stream_batches_to_table``."""
-    return spark.read.parquet(path).drop(_BATCH)
+def read_batches(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The table written by ``stream_batches_to_table``; without ``schema`` it is taken from a file."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).drop(_QUERY, _BATCH)
 
 
 def stream_delay_summary(
@@ -81,7 +85,7 @@ def stream_preview(
     rows: int = 20,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Keep the first ``rows`` rows of each batch for a live view."""
+    """Keep the first ``rows`` rows of each batch for a live view (see ``read_preview``)."""
 
     def head(batch: DataFrame) -> DataFrame:
         return batch.orderBy(*order).limit(rows)
@@ -89,6 +93,11 @@ def stream_preview(
     return _each_batch(sdf, path, checkpoint, head, available_now)
 
 
+def read_preview(spark: SparkSession, path: str, order: Sequence[Column], rows: int = 20) -> DataFrame:
+    """The first ``rows`` rows of all batches so far, out of the heads that each has kept."""
+    return read_batches(spark, path).orderBy(*order).limit(rows)
+
+
 def stream_to_console(
     sdf: DataFrame, checkpoint: str, rows: int = 20, available_now: bool = True
 ) -> StreamingQuery:
@@ -97,12 +106,15 @@ def stream_to_console(
     return _prepared(writer, checkpoint, available_now).start()
 
 
-def run_available(query: StreamingQuery, timeout_s: float) -> bool:
-    """Wait for a query, but no longer than ``timeout_s``; then stop it.
+def run_available(query: StreamingQuery, timeout_s: float | None = None) -> bool:
+    """Wait for a query, but no longer than ``timeout_s`` (None: to its end); then stop it.
 
     True if it had finished by itself. An error in the query is raised here.
     """
     try:
+        if timeout_s is None:
+            query.awaitTermination()
+            return True
         return bool(query.awaitTermination(timeout_s))
     finally:
         query.stop()
@@ -116,7 +128,9 @@ def _each_batch(
     available_now: bool,
 ) -> StreamingQuery:
     def write(batch: DataFrame, batch_id: int) -> None:
-        shape(batch).write.mode("overwrite").parquet(f"{path}/{_BATCH}={batch_id}")
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        folder = f"{path}/{_QUERY}={query}/{_BATCH}={batch_id}"
+        shape(batch).write.mode("overwrite").parquet(folder)
 
     return _prepared(sdf.writeStream.foreachBatch(write), checkpoint, available_now).start()
 

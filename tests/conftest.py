@@ -7,6 +7,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
+from farewind.scratch import release  # noqa: E402
 from farewind.session import build_session  # noqa: E402
 
 
@@ -21,4 +22,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()

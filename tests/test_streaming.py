@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -83,12 +84,40 @@ def test_a_stream_resumes_where_it_stopped(spark):
         assert streaming.read_batches(spark, out).count() == expected
 
 
-def test_a_repeated_batch_replaces_itself(spark):
+def test_another_checkpoint_appends(spark):
     path, out = landed(spark, fare_table(spark)), new_folder(spark, "out")
-    for _ in range(2):  # the second run knows nothing of the first and repeats its batch
+    for expected in (20, 40):  # the second run knows nothing of the first
         stream = sources.stream_table(spark, path, schemas.FARE)
         finish(streaming.stream_batches_to_table(stream, out, new_folder(spark, "checkpoint")))
-    assert streaming.read_batches(spark, out).count() == 20
+        assert streaming.read_batches(spark, out, schemas.FARE).count() == expected
+
+
+def test_a_repeated_batch_replaces_itself(spark):
+    path, out = landed(spark, fare_table(spark, files=2)), new_folder(spark, "out")
+    checkpoint = new_folder(spark, "checkpoint")
+    for _ in range(2):
+        stream = sources.stream_table(spark, path, schemas.FARE, max_files=1)
+        finish(streaming.stream_batches_to_table(stream, out, checkpoint))
+        assert streaming.read_batches(spark, out).count() == 20
+        commits = Path(checkpoint) / "commits"  # as if the last batch had not been committed
+        for name in ("1", ".1.crc"):
+            (commits / name).unlink()
+
+
+def test_a_column_named_like_a_batch_stays(spark):
+    df = spark.createDataFrame([(7, 1)], "batch_id int, v int")
+    out = new_folder(spark, "out")
+    stream = sources.stream_table(spark, landed(spark, df), df.schema)
+    finish(streaming.stream_batches_to_table(stream, out, new_folder(spark, "checkpoint")))
+    assert [tuple(r) for r in streaming.read_batches(spark, out, df.schema).collect()] == [(7, 1)]
+
+
+def test_preview_of_several_batches(spark):
+    stream = sources.stream_table(spark, landed(spark, fare_table(spark, 4)), schemas.FARE, max_files=1)
+    out, order = new_folder(spark, "out"), [F.asc("Price")]
+    finish(streaming.stream_preview(stream, out, new_folder(spark, "checkpoint"), order, rows=3))
+    assert streaming.read_batches(spark, out).count() > 3
+    assert [r.Price for r in streaming.read_preview(spark, out, order, rows=3).collect()] == [1, 1, 1]
 
 
 def test_csv_stream(spark):
