@@ -4,6 +4,10 @@ A change log is an ordinary append-only table: the columns of the table plus ``_
 (number of the commit), ``_commit_ts`` (its time) and ``_op`` (``I`` inserted, ``U`` updated,
 ``D`` deleted). The state at any time is an aggregate over it. One writer at a time numbers
 the commits; a key occurs at most once in a commit unless ``order`` says how to break ties.
+
+Tables without a unique key are kept by row: ``append_commit`` gives every inserted row a
+``_row_id``, update and delete rows carry the id of the row they replace, and the id is the
+key (``keys=[ROW_ID]``) of every read. Nothing is lost then, whatever keys repeat or are null.
 """
 
 from __future__ import annotations
@@ -18,10 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from farewind.scratch import stored
+from farewind.scratch import fits_broadcast, path_exists, stored
 
-# Source rows of an upsert up to which their keys may be sent to every executor.
-MAX_BROADCAST_SOURCE = 500_000
+ROW_ID = "_row_id"
 
 CHANGE_ORDER = ("_commit_ts", "_version")
 _LOG_COLUMNS = ("_version", "_commit_ts", "_op")
@@ -33,94 +36,122 @@ LOOK_BACK_HOURS = (1, 2, 3, 4, 6, 8, 10, 12, 14, 16, 18, 20)
 # --- writing -----------------------------------------------------------------------------
 
 
-def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def merge_upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str = "error"
+) -> DataFrame:
     """The target after an upsert: matching rows take the source's values, others are added.
 
     Keys compare with ``=``: a row with a null key matches nothing, so it stays (target) or
-    is added (source). A target row matched by two source rows is an error, raised when the
-    result is computed.
+    is added (source). Source rows that repeat a key are added like others when no target row
+    has it. When one has, that is an error, raised here; with ``on_duplicate="largest"`` the
+    source row with the largest values is taken instead.
 
-    The source is stored first, because it is used three times. The target is read twice (all
-    columns, then keys only) and is not shuffled unless the source is large; then its crowded
-    keys can still be split at run time, which a full outer join would rule out.
+    Runs jobs when called: the source is stored, because it is used several times, and its
+    repeated keys are looked for. The target is read twice (all columns, then keys only).
     """
-    source, small = _stored(source)
+    source = _ready(target, source, keys, on_duplicate)
     values = [name for name in target.columns if name not in keys]
-    once = _one_per_key(source, keys, values).withColumn("__spread", F.lit(0))
-    once = F.broadcast(once) if small else once
-    hit = F.col("__matches").isNotNull()
-    # Rows without a full key would all meet in one task of a shuffled join.
-    spread = F.when(_no_nulls(keys), F.lit(0)).otherwise(1 + F.abs(F.hash(*target.columns) % 1000))
+    hit = F.col("__hit").isNotNull()
     updated = (
-        target.withColumn("__spread", spread)
-        .join(once, [*keys, "__spread"], "left")
+        _spread(target, keys)
+        .join(_one_per_key(source, keys, values), [*keys, "__spread"], "left")
         .select(
             *[
                 F.col(name)
                 if name in keys
-                else F.when(hit, _checked(F.col(f"__new_{name}")))
-                .otherwise(F.col(name))
-                .alias(name)
+                else F.when(hit, F.col(f"__new_{name}")).otherwise(F.col(name)).alias(name)
                 for name in target.columns
             ]
         )
     )
-    added = source.select(*target.columns).join(
-        _matched_keys(target, source, keys, small), list(keys), "left_anti"
-    )
-    return updated.unionByName(added.select(*target.columns))
-
-
-def merge_changes(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Only the rows an upsert would write, with ``_op`` ``U`` (matched) or ``I`` (added)."""
-    source, small = _stored(source)
-    matched = _matched_keys(target, source, keys, small)
-    hit = F.col("__matches").isNotNull()
-    keyed = (
-        source.filter(_no_nulls(keys))
-        .join(matched, list(keys), "left")
-        .withColumn("_op", F.when(hit, _checked(F.lit("U"))).otherwise(F.lit("I")))
+    return updated.unionByName(_added(target, source, keys).select(*target.columns))
+
+
+def merge_changes(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str = "error"
+) -> DataFrame:
+    """Only the rows an upsert would write, with ``_op`` ``U`` (matched) or ``I`` (added).
+
+    If the target has a ``_row_id``, there is one ``U`` row for every target row that matches,
+    with its id, and added rows have none yet. Otherwise there is one row per source row.
+    Errors and jobs as in ``merge_upsert``.
+    """
+    source = _ready(target, source, keys, on_duplicate)
+    if ROW_ID not in target.columns:
+        matched = _matched_keys(target, source, keys).withColumn("__hit", F.lit(True))
+        keyed = source.filter(_no_nulls(keys)).join(matched, list(keys), "left")
+        op = F.when(F.col("__hit").isNotNull(), F.lit("U")).otherwise(F.lit("I"))
+        unkeyed = source.filter(~_no_nulls(keys)).withColumn("_op", F.lit("I"))
+        columns = [*target.columns, "_op"]
+        return keyed.withColumn("_op", op).select(*columns).unionByName(unkeyed.select(*columns))
+    values = [name for name in target.columns if name not in (*keys, ROW_ID)]
+    replaced = (
+        target.filter(_no_nulls(keys))
+        .join(_one_per_key(source, keys, values).drop("__spread"), list(keys))
+        .select(
+            *[F.col(f"__new_{name}").alias(name) if name in values else F.col(name) for name in target.columns],
+            F.lit("U").alias("_op"),
+        )
     )
-    unkeyed = source.filter(~_no_nulls(keys)).withColumn("_op", F.lit("I"))
-    columns = [*target.columns, "_op"]
-    return keyed.select(*columns).unionByName(unkeyed.select(*columns))
+    no_id = F.lit(None).cast(target.schema[ROW_ID].dataType)
+    added = _added(target, source, keys).withColumns({ROW_ID: no_id, "_op": F.lit("I")})
+    return replaced.unionByName(added.select(*replaced.columns))
 
 
-def _stored(source: DataFrame) -> tuple[DataFrame, bool]:
-    """The source computed once, and whether its keys may be sent to every executor."""
+def _ready(target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str) -> DataFrame:
+    """The source, stored; repeated keys that match a target row are an error or settled."""
+    if on_duplicate not in ("error", "largest"):
+        raise ValueError(f"unknown choice for duplicates: {on_duplicate}")
     rows = stored(source, "upsert-source")
-    return rows, rows.count() <= MAX_BROADCAST_SOURCE
+    if on_duplicate == "error":
+        repeated = rows.filter(_no_nulls(keys)).groupBy(*keys).count().filter("count > 1").select(*keys)
+        if not repeated.isEmpty() and not target.join(repeated, list(keys), "left_semi").isEmpty():
+            raise ValueError("more than one source row matches a target row")
+    return rows
 
 
 def _no_nulls(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in keys])
 
 
+def _spread(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows without a full key would all meet in one task of a shuffled join."""
+    apart = 1 + F.abs(F.hash(*rows.columns) % 1000)
+    return rows.withColumn("__spread", F.when(_no_nulls(keys), F.lit(0)).otherwise(apart))
+
+
 def _one_per_key(source: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    return (
-        source.filter(_no_nulls(keys))
-        .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("__matches"),
-            *[F.first(name).alias(f"__new_{name}") for name in values],
-        )
+    """Each full key of the source once, with its (largest) values under new names."""
+    largest = F.max(F.struct(F.lit(True).alias("hit"), *values)).alias("__row")
+    once = source.filter(_no_nulls(keys)).groupBy(*keys).agg(largest)
+    return once.select(
+        *keys,
+        F.col("__row.hit").alias("__hit"),
+        *[F.col(f"__row.{name}").alias(f"__new_{name}") for name in values],
+        F.lit(0).alias("__spread"),
     )
 
 
-def _checked(value: Column) -> Column:
-    problem = F.raise_error(F.lit("more than one source row matches a target row"))
-    return F.when(F.col("__matches") > 1, problem).otherwise(value)
+def _matched_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keys present on both sides, each once.
 
+    A source that Spark will broadcast thins out the target first. Otherwise the target's keys
+    are made distinct before the join, so that a crowded key is combined where it is read and
+    never meets in one task.
+    """
+    wanted = source.filter(_no_nulls(keys)).select(*keys).distinct()
+    own = target.select(*keys)
+    if fits_broadcast(source):
+        return own.join(wanted, list(keys), "left_semi").distinct()
+    return own.distinct().join(wanted, list(keys), "left_semi")
 
-def _matched_keys(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], small: bool
-) -> DataFrame:
-    """Keys present on both sides, each once, with their number of source rows."""
-    wanted = (
-        source.filter(_no_nulls(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("__matches"))
+
+def _added(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Source rows that match nothing; those without a full key do not go through the join."""
+    keyed = source.filter(_no_nulls(keys)).join(
+        _matched_keys(target, source, keys), list(keys), "left_anti"
     )
-    wanted = F.broadcast(wanted) if small else wanted
-    return target.select(*keys).join(wanted, list(keys)).distinct()
+    return keyed.unionByName(source.filter(~_no_nulls(keys)))
 
 
 def update_where(
@@ -170,19 +201,68 @@ def reprice(
 
 
 def append_commit(
-    rows: DataFrame, path: str, version: int, at: Column | str | datetime, op: str | None = None
+    rows: DataFrame,
+    path: str,
+    version: int,
+    at: Column | str | datetime,
+    op: str | None = None,
+    token: str | None = None,
+    row_ids: bool = False,
 ) -> None:
     """Write rows as commit ``version`` of the change log at ``path``.
 
     A commit is one directory, written as a whole: repeating it after a failure replaces it.
-    ``op`` is for rows without their own ``_op``.
+    ``token`` tells a repetition from another commit of the same number, which is an error;
+    by default it is a fingerprint of the rows (one more pass over them). ``op`` is for rows
+    without their own ``_op``. With ``row_ids``, or if the rows have a ``_row_id``, rows
+    without an id get one from the version and their place, fixed by being written.
     """
+    spark = rows.sparkSession
     if op is not None:
         rows = rows.withColumn("_op", F.lit(op))
+    _claim(spark, path, version, token or _fingerprint(rows))
+    if row_ids or ROW_ID in rows.columns:
+        known = F.col(ROW_ID) if ROW_ID in rows.columns else F.lit(None).cast("string")
+        fresh = F.concat(F.lit(f"{int(version)}-"), F.monotonically_increasing_id().cast("string"))
+        rows = rows.withColumn(ROW_ID, F.coalesce(known, fresh))
     stamped = rows.withColumn("_commit_ts", moment(at).cast("timestamp"))
     stamped.write.mode("overwrite").parquet(f"{path}/_version={int(version)}")
 
 
+def _fingerprint(rows: DataFrame) -> str:
+    columns = [F.col(f"`{name}`") for name in sorted(rows.columns)]
+    row = rows.agg(
+        F.count(F.lit(1)), F.bit_xor(F.xxhash64(*columns)), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
+    ).first()
+    return "-".join(map(str, row))
+
+
+def _claim(spark: SparkSession, path: str, version: int, token: str) -> None:
+    """Note which commit has the number; readers skip the folder of these notes."""
+    note = f"{path}/_tokens/{int(version)}"
+    if path_exists(spark, f"{note}/_SUCCESS"):
+        if spark.read.text(note).first()["value"] != token:
+            raise ValueError(f"version {version} is another commit")
+    else:
+        spark.createDataFrame([(token,)], "value string").coalesce(1).write.mode("overwrite").text(note)
+
+
+def compact(changes: DataFrame, keys: Sequence[str], keep_after: Column | str | datetime, order: Sequence[str] = CHANGE_ORDER) -> DataFrame:
+    """The log with all changes up to a time replaced by the rows they had led to.
+
+    States from then on read the same from the result, which is as long as the table plus the
+    later changes. Store it as another log; a baseline row keeps its last change's columns.
+    """
+    cutoff = _cutoff(changes, "_commit_ts", keep_after)
+    rest = [name for name in changes.columns if name not in keys]
+    newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("__row")
+    baseline = changes.filter(F.col("_commit_ts") <= cutoff).groupBy(*keys).agg(newest)
+    baseline = baseline.filter(F.col("__row._op") != "D").select(
+        *[F.col(name) if name in keys else F.col(f"__row.{name}").alias(name) for name in changes.columns]
+    )
+    return baseline.unionByName(changes.filter(F.col("_commit_ts") > cutoff))
+
+
 def read_changes(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The change log at ``path``; ``schema`` includes the log columns."""
     return spark.read.schema(schema).parquet(path).select(*schema.names)
@@ -253,9 +333,12 @@ def compare_time_frames(
     now: Column | str | datetime,
     hours: Sequence[int] = LOOK_BACK_HOURS,
     order: Sequence[str] = CHANGE_ORDER,
+    until_now: bool = False,
 ) -> DataFrame:
     """Current rows next to the rows of some hours ago, tagged in ``time_frame``.
 
+    ``Current`` is the newest state, or with ``until_now`` the state at ``now``.
+
     Filter the log by key columns beforehand to compare one connection.
     """
     start = _cutoff(changes, "_commit_ts", now)
@@ -263,7 +346,7 @@ def compare_time_frames(
         (f"{back}hrs Ago", start - F.make_dt_interval(hours=F.lit(back)))
         for back in sorted(hours, reverse=True)
     ]
-    return states_at(changes, keys, [*marks, ("Current", None)], "time_frame", order)
+    return states_at(changes, keys, [*marks, ("Current", start if until_now else None)], "time_frame", order)
 
 
 def union_versions(

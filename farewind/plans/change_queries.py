@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farewind.operators import changelog, trends
 from farewind.operators.changelog import LOOK_BACK_HOURS
@@ -17,7 +18,8 @@ from farewind.plans.bindings import (
     quotes,
     table,
 )
-from farewind.schemas import FARE, FARE_KEYS, QUOTE_KEYS
+from farewind.schemas import CHANGE_COLUMNS, FARE, FARE_KEYS, QUOTE_KEYS
+from farewind.scratch import new_folder, stored
 
 _NOW = "2001-08-02 00:00:00"
 _THEN = "1998-01-01 00:00:00"
@@ -42,17 +44,51 @@ def merge_changes(spark, sf_dir):
     return changelog.merge_changes(target, _fare_update(spark, sf_dir), FARE_KEYS)
 
 
+def _through_log(spark, target, source, keys):
+    """An upsert kept in a change log by row, and the log's newest state."""
+    path = new_folder(spark, "upsert-log")
+    names = target.columns
+    schema = T.StructType([*target.schema.fields, T.StructField(changelog.ROW_ID, T.StringType()), *CHANGE_COLUMNS.fields])
+    changelog.append_commit(target, path, 0, "2024-01-01 00:00:00", op="I", row_ids=True)
+    log = changelog.read_changes(spark, path, schema)
+    before = changelog.as_of(log, [changelog.ROW_ID])
+    changes = changelog.merge_changes(before, source, keys)
+    changelog.append_commit(changes, path, 1, "2024-01-02 00:00:00")
+    log = changelog.read_changes(spark, path, schema)
+    return changelog.as_of(log, [changelog.ROW_ID]).select(*names)
+
+
+def upsert_through_log(spark, sf_dir):
+    target = fares(spark, sf_dir).select(*FARE.names)
+    return _through_log(spark, target, _fare_update(spark, sf_dir), FARE_KEYS)
+
+
 _SEGMENT = "nullif(c_mktsegment, 'BUILDING') AS segment"
 
 
-def merge_null_keys(spark, sf_dir):
+def _accounts(spark, sf_dir):
+    """Customers with null keys among them, and an update of them with suppliers added."""
     customers = table(spark, sf_dir, "customer")
     target = customers.selectExpr("c_name AS name", _SEGMENT, "c_acctbal AS balance")
     source = customers.selectExpr("c_name AS name", _SEGMENT, "c_acctbal + 1 AS balance")
     suppliers = table(spark, sf_dir, "supplier").selectExpr(
         "s_name AS name", "'SUPPLIER' AS segment", "s_acctbal AS balance"
     )
-    return changelog.merge_upsert(target, source.unionByName(suppliers), ["name", "segment"])
+    return target, source.unionByName(suppliers), ["name", "segment"]
+
+
+def merge_null_keys(spark, sf_dir):
+    return changelog.merge_upsert(*_accounts(spark, sf_dir))
+
+
+def upsert_null_keys_through_log(spark, sf_dir):
+    return _through_log(spark, *_accounts(spark, sf_dir))
+
+
+def as_of_compacted(spark, sf_dir):
+    """A state read from a log whose older changes have been compacted."""
+    short = changelog.compact(_log(spark, sf_dir), QUOTE_KEYS, "1997-01-01 00:00:00", QUOTE_ORDER)
+    return _state(changelog.as_of(stored(short, "short-log"), QUOTE_KEYS, _THEN, QUOTE_ORDER))
 
 
 def update_where(spark, sf_dir):
@@ -185,6 +221,20 @@ WITH {QUOTES_SQL}, commits AS (
   FROM quotes GROUP BY _version)
 SELECT * FROM commits"""
 
+_UPSERTED = f"""{_FARE_MERGE}
+SELECT {", ".join(f"t.{key}" for key in FARE_KEYS)}, coalesce(s.Price, t.Price) AS Price
+FROM t LEFT JOIN s ON {_SAME_FARE}
+UNION ALL SELECT {_FARE_COLUMNS} FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE {_SAME_FARE})"""
+
+_NULL_KEYS = f"""
+WITH t AS (SELECT c_name AS name, {_SEGMENT}, c_acctbal AS balance FROM customer),
+s AS (SELECT c_name AS name, {_SEGMENT}, c_acctbal + 1 AS balance FROM customer
+  UNION ALL SELECT s_name, 'SUPPLIER', s_acctbal FROM supplier)
+SELECT t.name, t.segment, coalesce(s.balance, t.balance) AS balance
+FROM t LEFT JOIN s ON t.name = s.name AND t.segment = s.segment
+UNION ALL SELECT name, segment, balance FROM s
+WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.name = s.name AND t.segment = s.segment)"""
+
 QUERIES = {
     "merge_upsert": (
         merge_upsert,
@@ -202,15 +252,10 @@ FROM s""",
     ),
     "merge_null_keys": (
         merge_null_keys,
-        f"""
-WITH t AS (SELECT c_name AS name, {_SEGMENT}, c_acctbal AS balance FROM customer),
-s AS (SELECT c_name AS name, {_SEGMENT}, c_acctbal + 1 AS balance FROM customer
-  UNION ALL SELECT s_name, 'SUPPLIER', s_acctbal FROM supplier)
-SELECT t.name, t.segment, coalesce(s.balance, t.balance) AS balance
-FROM t LEFT JOIN s ON t.name = s.name AND t.segment = s.segment
-UNION ALL SELECT name, segment, balance FROM s
-WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.name = s.name AND t.segment = s.segment)""",
+        _NULL_KEYS,
     ),
+    "upsert_through_log": (upsert_through_log, _UPSERTED),
+    "upsert_null_keys_through_log": (upsert_null_keys_through_log, _NULL_KEYS),
     "update_where": (
         update_where,
         f"""WITH {FARES_SQL} SELECT {_FARE_KEY_LIST},
@@ -231,6 +276,10 @@ WHERE Airline = 'AIR_NO' AND Source = 'S1'""",
         quotes_as_of,
         f"WITH {QUOTES_SQL} {_state_sql(f'''_commit_ts <= timestamp '{_THEN}' ''')}",
     ),
+    "as_of_compacted": (
+        as_of_compacted,
+        f"WITH {QUOTES_SQL} {_state_sql(f'''_commit_ts <= timestamp '{_THEN}' ''')}",
+    ),
     "quotes_current": (quotes_current, f"WITH {QUOTES_SQL} {_state_sql()}"),
     "change_history": (change_history, _HISTORY_SQL),
     "history_version_zero": (history_version_zero, f"{_HISTORY_SQL} WHERE version = 0"),

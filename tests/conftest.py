@@ -24,3 +24,12 @@ def spark():
     yield session
     release(session)
     session.stop()
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """A function after which Spark shuffles every join, until the test ends."""
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    yield lambda: spark.conf.set(name, "-1")
+    spark.conf.set(name, before)

@@ -6,6 +6,7 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from farewind import schemas
 from farewind.operators import changelog, trends
@@ -69,11 +70,56 @@ def test_two_source_rows_for_a_target_row_are_an_error(spark):
     assert sorted(map(tuple, merged)) == [(1, 10), (2, 20), (3, 11), (3, 12)]
 
 
+def test_duplicates_are_found_before_any_column_is_read(spark):
+    target = spark.createDataFrame([(1, 10), (2, 20)], "k int, p int")
+    twice = spark.createDataFrame([(1, 11), (1, 12)], "k int, p int")
+    for merge in (changelog.merge_upsert, changelog.merge_changes):
+        with pytest.raises(ValueError, match="more than one source row"):
+            merge(target, twice, ["k"]).count()
+    largest = changelog.merge_upsert(target, twice, ["k"], on_duplicate="largest")
+    assert as_set(largest) == {(1, 12), (2, 20)}
+    with pytest.raises(ValueError, match="unknown choice"):
+        changelog.merge_upsert(target, twice, ["k"], on_duplicate="guess")
+
+
+def test_an_upsert_kept_by_row_loses_nothing(spark):
+    """Keys that repeat and keys that are null: the log gives what the upsert gives."""
+    fields = "a string, b string, p int"
+    target = spark.createDataFrame([("x", None, 1), ("x", None, 2), ("k", "k", 5), ("k", "k", 6)], fields)
+    source = spark.createDataFrame([("x", None, 9), ("n", "n", 7), ("n", "n", 8), ("k", "k", 50)], fields)
+    expected = sorted(map(str, map(tuple, changelog.merge_upsert(target, source, ["a", "b"]).collect())))
+    assert len(expected) == 8 - 1
+    path = new_folder(spark, "row-log")
+    schema = T.StructType([*target.schema.fields, T.StructField("_row_id", T.StringType()), *schemas.CHANGE_COLUMNS.fields])
+    changelog.append_commit(target, path, 0, START, op="I", row_ids=True)
+    state = changelog.as_of(changelog.read_changes(spark, path, schema), [changelog.ROW_ID])
+    changes = changelog.merge_changes(state, source, ["a", "b"])
+    assert sorted(r._op for r in changes.collect()) == ["I", "I", "I", "U", "U"]
+    for _ in range(2):  # a retry replaces the commit
+        changelog.append_commit(changes, path, 1, START + timedelta(hours=1))
+    log = changelog.read_changes(spark, path, schema)
+    after = changelog.as_of(log, [changelog.ROW_ID]).drop("_row_id")
+    assert sorted(map(str, map(tuple, after.collect()))) == expected
+    then = changelog.as_of(log, [changelog.ROW_ID], START).drop("_row_id")
+    assert sorted(map(str, map(tuple, then.collect()))) == sorted(map(str, map(tuple, target.collect())))
+
+
+def test_another_commit_of_the_same_number_is_an_error(spark):
+    path = new_folder(spark, "quote-log")
+    changelog.append_commit(quote_table(spark), path, 0, START, op="I")
+    with pytest.raises(ValueError, match="another commit"):
+        changelog.append_commit(quote_table(spark).limit(3), path, 0, START, op="I")
+    changelog.append_commit(quote_table(spark), path, 1, START, op="U", token="a")
+    with pytest.raises(ValueError, match="another commit"):
+        changelog.append_commit(quote_table(spark), path, 1, START, op="U", token="b")
+    assert changelog.read_changes(spark, path, schemas.QUOTE_CHANGES).count() == 48
+
+
 @pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("small", [True, False])
-def test_upsert_against_a_dictionary(spark, monkeypatch, seed, small):
+def test_upsert_against_a_dictionary(spark, no_broadcast, seed, small):
     if not small:
-        monkeypatch.setattr(changelog, "MAX_BROADCAST_SOURCE", 0)
+        no_broadcast()
     chance = random.Random(seed)
 
     def key():
@@ -234,6 +280,22 @@ def test_time_frames_are_as_of_reads(spark, log):
     assert sorted(current.collect()) == sorted(changelog.as_of(log, KEYS).collect())
 
 
+def test_current_may_end_now(log):
+    now = START + timedelta(hours=2)
+    frames = changelog.compare_time_frames(log, KEYS, now, hours=[1], until_now=True)
+    current = frames.filter("time_frame = 'Current'").drop("time_frame")
+    assert sorted(current.collect()) == sorted(changelog.as_of(log, KEYS, now).collect())
+
+
+def test_compacted_logs_read_the_same_later(spark, log):
+    cut = START + timedelta(hours=4)
+    short = changelog.compact(log, KEYS, cut)
+    assert short.count() < log.count()
+    for hours in (4, 5, 10, 11, 12):
+        at = START + timedelta(hours=hours)
+        assert sorted(changelog.as_of(short, KEYS, at).collect()) == sorted(changelog.as_of(log, KEYS, at).collect())
+
+
 def test_current_includes_commits_after_now(log):
     frames = changelog.compare_time_frames(log, KEYS, START + timedelta(hours=2), hours=[1])
     assert sorted(price(frames, "SEA", "TYO")) == [Decimal("244.00"), Decimal("334.00")]
