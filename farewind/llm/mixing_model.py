@@ -3,7 +3,7 @@
 A text is read as its words (A to Z in lower case), each followed by a blank, then an end
 mark. A symbol is coded as the path to its leaf in a binary tree; every step of the path is a
 bit to predict. Predictors are tables of how often each branch was taken in the training texts
-after a hashed context: the last two, three or four symbols, or the word so far. At each step
+after a hashed context: the last three, four or six symbols, or the word so far. At each step
 their log-odds are added up with weights and squashed. The depth in the tree is the gate that
 chooses the weights; every text starts with the same ones, which are then refined on the text
 itself: after each block of symbols the weights move against the coding error of that block,
@@ -22,20 +22,30 @@ from pyspark.sql import functions as F
 from farewind.llm.arrow_text import Words, hash_word, pieces
 from farewind.scratch import stored
 
-END = 256
-SYMBOLS = 257
-#: log2 of the rows of each predictor's table: 2, 3 and 4 symbols, word so far.
-ROW_BITS = (13, 15, 16, 17)
+#: Bytes that a lower-cased word in UTF-8 can hold, and the blank; the end mark comes after.
+_BYTES = [b for b in range(256) if not (65 <= b <= 90 or 9 <= b <= 13 or b in (0xC0, 0xC1) or b >= 0xF5)]
+_SYMBOL_OF = np.zeros(256, np.int64)
+_SYMBOL_OF[_BYTES] = np.arange(len(_BYTES))
+END = len(_BYTES)
+SYMBOLS = END + 1
+#: Symbols that each of the first predictors looks back.
+ORDERS = (3, 4, 6)
+#: log2 of the rows of each predictor's table, the last for the word so far.
+ROW_BITS = (14, 16, 16, 17)
 #: Letters of a word that its predictor tells apart; further in, it sees the last ones only.
 WORD_LETTERS = 6
-START_WEIGHTS = (0.08, 0.25, 0.48, 0.40)
-RATE = 0.01
+START_WEIGHTS = (0.25, 0.35, 0.25, 0.40)
+RATE = 0.006
 _RATE_BITS = 64  # a block moves the weights as this many bits at most
 #: Symbols in the blocks after which weights are refined; the last size repeats.
-BLOCKS = (128, 128, 256, 512, 1024)
+BLOCKS = (128, 128, 256, 512, 1024, 2048, 4096)
 #: Added to the count of either branch.
 _PRIOR = 0.1
 _STEP = 1 / 12  # log-odds are kept as multiples of this, in one byte
+#: Cells that travel together.
+_BLOCK_CELLS = 1 << 16
+#: Bytes of text counted at once; a task also holds a table of all cells.
+_COUNTED_BYTES = 300_000
 #: Most frequent words whose counts every task holds; the others are joined.
 HOT_WORDS = 200_000
 
@@ -61,12 +71,12 @@ class Stream:
         total = int(self.first[-1])
         # a word's place: the words before it with their blanks, and the end marks before it
         begin = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1] + words.text
-        self.symbols = np.full(total, 32, np.int64)
+        self.symbols = np.full(total, _SYMBOL_OF[32], np.int64)
         ends_at = self.first[1:] - 1
         letters = np.ones(total, bool)
         letters[begin + sizes] = False
         letters[ends_at] = False
-        self.symbols[letters] = words.data[words.inside]
+        self.symbols[letters] = _SYMBOL_OF[words.data[words.inside]]
         self.symbols[ends_at] = END
         self.rows = self._contexts(begin)
 
@@ -81,9 +91,9 @@ class Stream:
         symbols = self.symbols.astype(np.uint64)
         digits = np.zeros(n, np.uint64)
         keys = []
-        for k in range(1, WORD_LETTERS + 1):
+        for k in range(1, max(*ORDERS, WORD_LETTERS) + 1):
             digits[k:] += symbols[:-k] * _DIGITS[k - 1] if k < n else 0
-            if 2 <= k <= 4:
+            if k in ORDERS:
                 key = digits.copy()
                 for j in range(k):
                     at = starts[self.lengths > j] + j
@@ -106,39 +116,70 @@ class Stream:
 
 
 def _counted(batches):
-    """Of all training texts of a partition: cells (kind 0) and words (kind 1), with counts."""
+    """Of all training texts of a partition: blocks of cells (kind 0) and words (kind 1)."""
     table, one = np.zeros(_BASES[-1], np.uint32), np.uint32(1)
     held: list[tuple[np.ndarray, np.ndarray]] = []
     n_held = ends = 0
     for batch in batches:
-        for piece in pieces(batch):
+        for piece in pieces(batch, limit=_COUNTED_BYTES):
             words = Words(piece.column("text"))
             for cells in Stream(words).cells():
                 np.add.at(table, cells, one)
             ends += words.n_texts
             held.append(np.unique(words.hash, return_counts=True))
             n_held += len(held[-1][0])
-            if n_held > 4_000_000:
+            if n_held > 1_000_000:
                 held = [_summed(held)]
                 n_held = len(held[0][0])
     if ends:
         held.append((np.array([_END_KEY], np.uint64), np.array([ends])))
     found, counts = _summed(held)
     for at in range(0, len(found), 500_000):
-        yield _rows(1, found[at : at + 500_000].view(np.int64), counts[at : at + 500_000])
-    cells = np.flatnonzero(table)
-    for at in range(0, len(cells), 500_000):
-        part = cells[at : at + 500_000]
-        yield _rows(0, part, table[part])
-
-
-def _rows(kind: int, keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        part = slice(at, at + 500_000)
+        keys, times = found[part].view(np.int64), counts[part].astype(np.int64)
+        yield _rows(1, keys, times, [None] * len(keys))
+    for first in range(0, len(table), 64 * _BLOCK_CELLS):
+        numbers, packed = [], []
+        for at in range(first, min(first + 64 * _BLOCK_CELLS, len(table)), _BLOCK_CELLS):
+            for data in _pack(table[at : at + _BLOCK_CELLS]):
+                numbers.append(at // _BLOCK_CELLS)
+                packed.append(data)
+        if numbers:
+            yield _rows(0, np.array(numbers, np.int64), np.zeros(len(numbers), np.int64), packed)
+
+
+def _rows(kind: int, keys: np.ndarray, counts: np.ndarray, packed: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(counts.astype(np.int64))],
-        names=["kind", "key", "n"],
+        [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(counts), pa.array(packed, pa.binary())],
+        names=["kind", "key", "n", "packed"],
     )
 
 
+def _pack(cells: np.ndarray):
+    """The cells of a block that are not zero, as places and counts of 16 bits; large counts in parts."""
+    cells = cells.copy()
+    while len(places := np.flatnonzero(cells)):
+        part = np.minimum(cells[places], 65535)
+        cells[places] -= part
+        yield places.astype(np.uint16).tobytes() + part.astype(np.uint16).tobytes()
+
+
+def _merged(batches):
+    """Blocks of cells added up; a partition holds as many dense blocks as are dealt to it."""
+    blocks: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for number, data in zip(batch.column("key").to_pylist(), batch.column("packed").to_pylist()):
+            places, counts = np.frombuffer(data, np.uint16).reshape(2, -1)
+            blocks.setdefault(number, np.zeros(_BLOCK_CELLS, np.int64))[places] += counts
+    for number, block in blocks.items():
+        places = np.flatnonzero(block)
+        cells = (places + number * _BLOCK_CELLS).astype(np.uint32)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([cells.tobytes()], pa.binary()), pa.array([block[places].astype(np.float32).tobytes()], pa.binary())],
+            names=["keys", "counts"],
+        )
+
+
 def _summed(held) -> tuple[np.ndarray, np.ndarray]:
     if not held:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64)
@@ -228,7 +269,7 @@ class Model:
         order = np.argsort(cells)
         cells, counts = cells[order], counts[order]
         first = slice(0, np.searchsorted(cells, _BASES[1]))
-        symbols = np.bincount(cells[first] % SYMBOLS, counts[first], SYMBOLS)
+        symbols = np.bincount(cells[first].astype(np.int64) % SYMBOLS, counts[first], SYMBOLS)
         self.tree = Tree(symbols)
         # nodes below which no symbol was seen share one column, in which both branches are alike
         self.n_nodes = self.tree.drop_unseen(symbols)
@@ -238,7 +279,7 @@ class Model:
             for row in range(0, 1 << bits, 1024):
                 low = base + row * SYMBOLS
                 high = low + 1024 * SYMBOLS
-                part = slice(*np.searchsorted(cells, [low, high]))
+                part = slice(*np.searchsorted(cells, np.array([low, high]).astype(cells.dtype)))
                 dense = np.zeros(high - low, np.float32)
                 dense[cells[part] - low] = counts[part]
                 table[row : row + 1024] = self.tree.log_odds(dense.reshape(-1, SYMBOLS))
@@ -277,19 +318,19 @@ class Model:
             if not len(symbol):
                 return
             node, bit = self.tree.node[k].take(symbol), self.tree.bit[k].take(symbol)
-            odds = [t.take(row + node).astype(np.float32) * np.float32(_STEP) for t, row in zip(self.tables, rows)]
+            odds = [t.take(row + node).astype(np.float32) for t, row in zip(self.tables, rows)]  # in steps
             mine = weights[k]
             begins = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
             texts = text[begins]
             counts = np.diff(np.append(begins, len(text)))
             mixed = np.zeros(len(symbol), np.float32)
             for c, x in enumerate(odds):
-                mixed += np.repeat(mine[texts, c], counts) * x
+                mixed += np.repeat(mine[texts, c] * np.float32(_STEP), counts) * x
             np.clip(mixed, -16, 16, out=mixed)
             one = 1 / (1 + np.exp(-mixed))
             error = bit - one
             total[texts] += np.add.reduceat(np.log1p(-np.abs(error)), begins, dtype=np.float64)
-            step = RATE * np.minimum(1, _RATE_BITS / counts)
+            step = (RATE * _STEP) * np.minimum(1, _RATE_BITS / counts)
             for c, x in enumerate(odds):
                 mine[texts, c] += step * np.add.reduceat(error * x, begins)
 
@@ -345,12 +386,13 @@ def _packed(batches):
         )
 
 
-def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """key and n of all rows as arrays on the driver; they travel as bytes, sixteen a row."""
-    rows = counts.select("key", "n").mapInArrow(_packed, "keys binary, counts binary").collect()
-    parts = [(np.frombuffer(r["keys"], np.int64), np.frombuffer(r["counts"], np.int64)) for r in rows]
-    none = np.zeros(0, np.int64)
-    return tuple(np.concatenate([none, *column]) for column in zip(*parts)) if parts else (none, none)
+def _collected(packed: DataFrame, keys: type, counts: type) -> tuple[np.ndarray, np.ndarray]:
+    """Packed keys and counts of all rows as arrays on the driver."""
+    rows = packed.collect()
+    return (
+        np.concatenate([np.zeros(0, keys), *[np.frombuffer(r["keys"], keys) for r in rows]]),
+        np.concatenate([np.zeros(0, counts), *[np.frombuffer(r["counts"], counts) for r in rows]]),
+    )
 
 
 def fit(texts: DataFrame, hot_words: int = HOT_WORDS) -> tuple[DataFrame, Model, int, int, int]:
@@ -359,19 +401,24 @@ def fit(texts: DataFrame, hot_words: int = HOT_WORDS) -> tuple[DataFrame, Model,
     Every text counts. The tables have a fixed number of rows whatever the corpus, which
     bounds what the driver and the tasks hold.
     """
-    counted = texts.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-        _counted, "kind int, key bigint, n bigint"
+    counted = stored(
+        texts.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
+            _counted, "kind int, key bigint, n bigint, packed binary"
+        ),
+        "counted",
     )
-    counts = stored(counted.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
-    words = counts.filter("kind = 1").select("key", "n")
+    summed = counted.filter("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
+    words = stored(summed, "words")
     n_tokens, n_kinds, ends = words.agg(
         F.coalesce(F.sum("n"), F.lit(0)), F.count("*"),
         F.coalesce(F.sum(F.when(F.col("key") == int(_END_KEY.view(np.int64)), F.col("n"))), F.lit(0)),
     ).first()
-    keys, times = _collected(words.filter(F.col("n") >= _least_hot(words, hot_words)))
-    keys = keys.view(np.uint64)
+    packed = "keys binary, counts binary"
+    hot = words.filter(F.col("n") >= _least_hot(words, hot_words)).mapInArrow(_packed, packed)
+    keys, times = _collected(hot, np.uint64, np.int64)
     order = np.argsort(keys)
-    model = Model(*_collected(counts.filter("kind = 0")), (keys[order], times[order]))
+    blocks = counted.filter("kind = 0").select("key", "packed").repartition("key").mapInArrow(_merged, packed)
+    model = Model(*_collected(blocks, np.uint32, np.float32), (keys[order], times[order]))
     return words, model, n_tokens, n_kinds, ends
 
 

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import pytest
 
 from farewind.llm import mixing_model as mm
@@ -43,12 +44,24 @@ def test_base_score_matches_brute_force(spark, hot_words):
 
 def small_model(texts):
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
-    out = [b for b in mm._counted([batch])]
-    cells = np.concatenate([b["key"].to_numpy() for b in out if b["kind"][0].as_py() == 0])
-    counts = np.concatenate([b["n"].to_numpy() for b in out if b["kind"][0].as_py() == 0])
+    counted = [b.filter(pa.compute.equal(b["kind"], 0)) for b in mm._counted([batch])]
+    merged = list(mm._merged(counted))
+    cells = np.concatenate([np.frombuffer(b["keys"][0].as_py(), np.uint32) for b in merged])
+    counts = np.concatenate([np.frombuffer(b["counts"][0].as_py(), np.float32) for b in merged])
     return mm.Model(cells, counts, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
 
 
+def test_counts_of_cells_survive_packing():
+    cells = np.zeros(mm._BLOCK_CELLS, np.uint32)
+    cells[[0, 7, mm._BLOCK_CELLS - 1]] = [1, 200_000, 65_535]
+    rows = [mm._rows(0, np.array([3]), np.array([0]), [data]) for data in mm._pack(cells)]
+    (merged,) = mm._merged(rows + rows)
+    keys = np.frombuffer(merged["keys"][0].as_py(), np.uint32)
+    counts = np.frombuffer(merged["counts"][0].as_py(), np.float32)
+    assert (keys - 3 * mm._BLOCK_CELLS).tolist() == [0, 7, mm._BLOCK_CELLS - 1]
+    assert counts.tolist() == [2, 400_000, 131_070]
+
+
 def plain_score(model, text):
     """The model's probability of one text, bit by bit, with the same blocks of refinement."""
     stream = mm.Stream(Words(pa.array([text])))
