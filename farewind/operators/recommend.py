@@ -14,11 +14,6 @@ from farewind.functions import price_band
 from farewind.operators.ordering import with_rank
 from farewind.scratch import ensure_checkpoint_dir, stored
 
-# Label tables up to this many rows may be ranked by one task and sent to every executor.
-MAX_BROADCAST_LABELS = 500_000
-# Recommendations (users times routes each) up to this many rows, likewise.
-MAX_BROADCAST_RECOMMENDATIONS = 200_000
-
 NULL_POLICIES = ("error", "skip", "keep")
 
 
@@ -26,26 +21,42 @@ NULL_POLICIES = ("error", "skip", "keep")
 
 
 def label_index(df: DataFrame, column: str) -> DataFrame:
-    """(label, frequency, idx): the most frequent label is 0, ties go alphabetically.
+    """(label, frequency, idx): the most frequent label is 0, ties go alphabetically."""
+    return label_indexes(df, [column]).drop("column")
+
 
-    The ranking is distributed, so the number of labels is not limited by one machine.
+def label_indexes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, label, frequency, idx) of several columns, from one pass over the data.
+
+    The ranking is distributed, so the number of labels is not limited by one machine: all
+    labels get places in one order, and a column's indexes are counted from its first place.
+    With several columns their frequencies are stored first, by a job when called.
     """
-    return _ranked(_label_counts(df, [column]).drop("column"), small=False)
+    order = [F.asc("column"), F.desc("frequency"), F.asc("label")]
+    counts = _label_counts(df, columns)
+    if len(columns) > 1:
+        counts = stored(counts, "label-counts")
+    placed = with_rank(counts, order, "__place")
+    if len(columns) > 1:
+        sizes = counts.groupBy("column").count()
+        before = Window.orderBy("column").rowsBetween(Window.unboundedPreceding, -1)
+        begins = sizes.select("column", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__first"))
+        placed = placed.join(F.broadcast(begins), "column")  # one row per column
+    else:
+        placed = placed.withColumn("__first", F.lit(0))
+    return placed.select(
+        "column", "label", "frequency", (F.col("__place") - F.col("__first")).cast("double").alias("idx")
+    )
 
 
 def stored_label_indexes(df: DataFrame, columns: Sequence[str]) -> dict[str, LabelIndex]:
-    """``label_index`` of several columns, for repeated use.
-
-    The frequencies of all columns come from one pass over the data and are kept in a table.
-    """
-    counts = stored(_label_counts(df, columns), "label-counts")
-    sizes = {row["column"]: row["count"] for row in counts.groupBy("column").count().collect()}
-    indexes = {}
-    for column in columns:
-        size = sizes.get(column, 0)
-        own = counts.filter(F.col("column") == column).drop("column")
-        indexes[column] = LabelIndex(_ranked(own, size <= MAX_BROADCAST_LABELS), size)
-    return indexes
+    """``label_index`` of several columns, kept in a table for repeated use. Runs jobs when called."""
+    table = stored(label_indexes(df, columns), "labels")
+    sizes = {row["column"]: row["count"] for row in table.groupBy("column").count().collect()}
+    return {
+        column: LabelIndex(table.filter(F.col("column") == column).drop("column"), sizes.get(column, 0))
+        for column in columns
+    }
 
 
 def _label_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -63,15 +74,6 @@ def _label_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def _ranked(counts: DataFrame, small: bool) -> DataFrame:
-    order = [F.desc("frequency"), F.asc("label")]
-    if small:
-        ranked = counts.withColumn("idx", F.row_number().over(Window.orderBy(*order)) - 1)
-    else:
-        ranked = with_rank(counts, order, "idx")
-    return ranked.withColumn("idx", F.col("idx").cast("double"))
-
-
 @dataclass(frozen=True)
 class LabelIndex:
     """A label table (label, frequency, idx) whose number of rows is known."""
@@ -80,9 +82,8 @@ class LabelIndex:
     size: int
 
     def columns(self, **names: str) -> DataFrame:
-        """Some columns under other names, marked for broadcast if the table is small."""
-        chosen = self.table.select(*[F.col(old).alias(new) for old, new in names.items()])
-        return F.broadcast(chosen) if self.size <= MAX_BROADCAST_LABELS else chosen
+        """Some columns under other names."""
+        return self.table.select(*[F.col(old).alias(new) for old, new in names.items()])
 
 
 def index_labels(
@@ -91,7 +92,8 @@ def index_labels(
     """Add an index column per label column; also return the label tables.
 
     ``outputs`` maps label columns to index columns. A null label is an error unless
-    ``on_null`` says ``skip`` (leave the row out) or ``keep`` (one index past the last).
+    ``on_null`` says ``skip`` (leave the row out) or ``keep`` (one index past the last). Runs
+    jobs when called.
     """
     indexes = stored_label_indexes(df, list(outputs))
     for column, output in outputs.items():
@@ -133,8 +135,12 @@ def fit_routes(
     reg: float = 0.01,
     dedupe: str | None = None,
     blocks: int | None = None,
+    on_null: str = "skip",
 ) -> ALSModel:
-    """ALS over (userId, route_index, rating).
+    """ALS over (userId, route_index, rating); the defaults are fixed values.
+
+    Rows with a null among the three cannot be rated: they are left out, or with
+    ``on_null="error"`` the fit fails.
 
     By default every row is one observation. ``dedupe="mean"`` first averages the rows of
     each (user, route), on the map side, so that a user with very many rows contributes at
@@ -145,7 +151,15 @@ def fit_routes(
         F.col("userId").cast("int").alias("userId"),
         F.col("route_index").cast("int").alias("route_index"),
         F.col("rating").cast("float").alias("rating"),
-    ).na.drop()
+    )
+    if on_null == "error":
+        missing = F.greatest(*[F.col(name).isNull() for name in rows.columns])
+        problem = F.raise_error(F.lit("a row without user, route or rating")).cast("float")
+        rows = rows.withColumn("rating", F.when(missing, problem).otherwise(F.col("rating")))
+    elif on_null == "skip":
+        rows = rows.na.drop()
+    else:
+        raise ValueError(f"unknown policy for nulls: {on_null}")
     if dedupe == "mean":
         rows = rows.groupBy("userId", "route_index").agg(
             F.avg("rating").cast("float").alias("rating")
@@ -214,20 +228,20 @@ def recommend_with_source(recs: DataFrame, fares: DataFrame) -> DataFrame:
 def attach_fares(recs: DataFrame, fares: DataFrame) -> DataFrame:
     """Every recommendation of a user next to every fare of that user, with the price band.
 
-    The result is the product of the two per user. The recommendations are stored first. If
-    they are few, they go to every executor and the fares are joined where they are read;
-    otherwise both sides are shuffled, and a crowded user's fares are split at run time
-    (adaptive skew join), each piece meeting the user's few recommendations.
+    The result is the product of the two per user. Spark broadcasts recommendations that are
+    small by their bytes; otherwise both sides are shuffled, and a crowded user's fares are
+    split at run time, each piece meeting the user's few recommendations.
     """
-    kept = stored(recs, "recommendations")
-    if kept.count() <= MAX_BROADCAST_RECOMMENDATIONS:
-        kept = F.broadcast(kept)
     offers = fares.select("userId", "Airline", "Price")
-    return kept.join(offers, "userId").withColumn("price_range", price_band("Price"))
+    return recs.join(offers, "userId").withColumn("price_range", price_band("Price"))
 
 
 def recommend_with_prices(
-    model: ALSModel, labels: LabelIndex, fares: DataFrame, k: int = 10
+    model: ALSModel, labels: LabelIndex, fares: DataFrame, k: int = 10, lists: bool = True
 ) -> DataFrame:
-    """The recommendation table: nested lists, route, fares of the user and price bands."""
-    return attach_fares(recommendation_arrays(model, labels, k), fares)
+    """The recommendation table: routes, fares of the user and price bands.
+
+    ``lists`` repeats a user's whole list, and the entry as a struct, on each of its rows.
+    """
+    recs = recommendation_arrays(model, labels, k)
+    return attach_fares(recs if lists else recs.select("userId", "ridx", "route"), fares)

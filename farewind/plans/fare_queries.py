@@ -14,7 +14,7 @@ from farewind.functions import (
 from farewind.operators import fares as browse
 from farewind.operators import recommend
 from farewind.operators.filters import distinct_values, facet_values
-from farewind.plans.bindings import FARES_SQL, QUOTES_SQL, comparable, fares, quotes
+from farewind.plans.bindings import FARES_SQL, QUOTES_SQL, comparable, fares, quotes, table
 
 _LINE_KEY_SQL = "concat(cast(l_orderkey as varchar), '-', cast(l_linenumber as varchar))"
 
@@ -63,31 +63,41 @@ def fare_price_bands(spark, sf_dir):
     )
 
 
-def rated_inputs(spark, sf_dir):
-    """Fares with minutes, the index of their airline, a delay and a user."""
+def rated_inputs(spark, sf_dir, *labels):
+    """Fares with minutes, a delay, the customer who bought them, and indexes of ``labels``."""
+    buyers = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").cast("int").alias("userId")
+    )
     rows = fares(spark, sf_dir).withColumns(
         {
             "minutes": duration_minutes("Duration"),
             "DelayTime": hash_bucket(line_key(), 61).cast("string"),
-            "userId": hash_bucket(line_key(), 100),
         }
     )
-    return recommend.index_labels(
-        rows, {"Airline": "airline_index", "Route": "route_index"},
-        on_null={"Airline": "keep", "Route": "skip"},
+    if not labels:
+        return rows.join(buyers, "l_orderkey"), {}
+    outputs = {name: f"{name.lower()}_index" for name in labels}
+    indexed, tables = recommend.index_labels(
+        rows, outputs, on_null={name: "skip" if name == "Route" else "keep" for name in labels}
+    )
+    return indexed.join(buyers, "l_orderkey"), tables
+
+
+def _rated(spark, sf_dir):
+    rows = fares(spark, sf_dir).withColumns(
+        {"minutes": duration_minutes("Duration"), "DelayTime": hash_bucket(line_key(), 61).cast("string")}
     )
+    return recommend.index_labels(rows, {"Airline": "airline_index"}, on_null={"Airline": "keep"})[0]
 
 
 def fare_ratings_delay(spark, sf_dir):
-    rows, _ = rated_inputs(spark, sf_dir)
     rating = rating_delay("Price", "minutes", "DelayTime", "airline_index")
-    return comparable(rows.select("l_orderkey", "l_linenumber", rating.alias("rating")))
+    return comparable(_rated(spark, sf_dir).select("l_orderkey", "l_linenumber", rating.alias("rating")))
 
 
 def fare_ratings_preference(spark, sf_dir):
-    rows, _ = rated_inputs(spark, sf_dir)
     rating = rating_preference("Price", "minutes", "airline_index")
-    return comparable(rows.select("l_orderkey", "l_linenumber", rating.alias("rating")))
+    return comparable(_rated(spark, sf_dir).select("l_orderkey", "l_linenumber", rating.alias("rating")))
 
 
 def distinct_destinations(spark, sf_dir):
@@ -115,12 +125,8 @@ def stable_user_bucket(spark, sf_dir):
 
 
 def label_index(spark, sf_dir):
-    rows = fares(spark, sf_dir)
-    tables = [
-        recommend.label_index(rows, name).withColumn("kind", F.lit(name))
-        for name in ("Airline", "Route", "Source")
-    ]
-    return tables[0].unionByName(tables[1]).unionByName(tables[2])
+    tables = recommend.label_indexes(fares(spark, sf_dir), ["Airline", "Route", "Source"])
+    return tables.withColumnRenamed("column", "kind")
 
 
 def route_sources(spark, sf_dir):

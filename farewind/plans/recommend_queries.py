@@ -1,4 +1,8 @@
-"""Route recommendations."""
+"""Route recommendations.
+
+What the model recommends cannot be worked out in SQL, but what must hold of it can; the tables
+built from recommendations are checked on each user's most frequent routes.
+"""
 
 from __future__ import annotations
 
@@ -8,31 +12,41 @@ from pyspark.sql.window import Window
 from farewind.functions import rating_preference
 from farewind.operators import recommend
 from farewind.plans.bindings import FARES_SQL, comparable
-from farewind.plans.fare_queries import PRICE_RANGE_SQL, bucket_sql, rated_inputs
+from farewind.plans.fare_queries import PRICE_RANGE_SQL, index_sql, rated_inputs
+from farewind.scratch import stored
 
-_K = 10
-_BLOCKS = 4
+_K, _OFTEN = 10, 3
 
 
-def _model(spark, sf_dir):
-    """The ALS model, the label table of its routes, and the rated fares."""
-    rows, tables = rated_inputs(spark, sf_dir)
-    rated = rows.withColumn("rating", rating_preference("Price", "minutes", "airline_index"))
-    # Averaged first: whatever the size of the table, the solver sees one rating per user and
-    # route, which fits few blocks.
-    model = recommend.fit_routes(rated, dedupe="mean", blocks=_BLOCKS)
-    return model, tables["Route"], rows
+def _recommended(spark, sf_dir):
+    """The model's recommendations, fitted to every rated fare, and the label table of routes."""
+    rows, tables = rated_inputs(spark, sf_dir, "Airline", "Route")
+    rated = rows.select(
+        "userId", "route_index", rating_preference("Price", "minutes", "airline_index").alias("rating")
+    )
+    model = recommend.fit_routes(stored(rated, "ratings"))
+    return recommend.recommend_routes(model, tables["Route"], _K), tables["Route"]
 
 
 def recommend_routes(spark, sf_dir):
-    model, labels, _ = _model(spark, sf_dir)
-    return comparable(recommend.recommend_routes(model, labels, _K))
+    """Per user: entries, entries whose index and route agree, and whether ratings fall with rank."""
+    recs, labels = _recommended(spark, sf_dir)
+    names = labels.columns(idx="ridx", label="label")
+    agree = recs.join(names.withColumn("ridx", F.col("ridx").cast("int")), "ridx", "left")
+    by_rank = F.transform(
+        F.sort_array(F.collect_list(F.struct("rank", "rating"))), lambda entry: entry["rating"]
+    )
+    falling = F.sort_array(F.collect_list("rating"), asc=False)
+    return agree.groupBy("userId").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("label") == F.col("route")).alias("named"),
+        (by_rank == falling).alias("falling"),
+    )
 
 
 def recommend_coverage(spark, sf_dir):
     """Per user: how many routes were recommended, how many of them differ, and their ranks."""
-    model, labels, _ = _model(spark, sf_dir)
-    recs = recommend.recommend_routes(model, labels, _K)
+    recs, _ = _recommended(spark, sf_dir)
     return recs.groupBy("userId").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_distinct("route").alias("routes"),
@@ -41,50 +55,76 @@ def recommend_coverage(spark, sf_dir):
     )
 
 
+def _most_frequent(rows):
+    """Each user's most frequent routes, as recommendations."""
+    often = rows.groupBy("userId", F.col("Route").alias("route")).agg(F.count(F.lit(1)).alias("n"))
+    best = Window.partitionBy("userId").orderBy(F.desc("n"), F.asc("route"))
+    return often.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= _OFTEN).drop("n")
+
+
+def attach_fares(spark, sf_dir):
+    """Each user's most frequent routes next to each of the user's fares."""
+    rows, _ = rated_inputs(spark, sf_dir)
+    return recommend.attach_fares(_most_frequent(rows).select("userId", "route"), rows)
+
+
 def recommend_with_source(spark, sf_dir):
-    model, labels, rows = _model(spark, sf_dir)
-    recs = recommend.recommend_routes(model, labels, _K)
-    return recommend.recommend_with_source(recs, rows)
+    rows, _ = rated_inputs(spark, sf_dir)
+    return recommend.recommend_with_source(_most_frequent(rows), rows)
 
 
 def recommend_with_prices(spark, sf_dir):
-    model, labels, rows = _model(spark, sf_dir)
-    full = recommend.recommend_with_prices(model, labels, rows, _K)
-    return full.select("userId", "route", "Airline", "Price", "price_range")
+    """The full table: rank, index and route of an entry next to the user's fares and their bands."""
+    rows, tables = rated_inputs(spark, sf_dir, "Route")
+    names = tables["Route"].columns(label="route", idx="ridx")
+    recs = _most_frequent(rows).join(names, "route")
+    return comparable(recommend.attach_fares(recs, rows))
 
 
-def attach_fares(spark, sf_dir):
-    """Each user's three most frequent routes next to each of the user's fares."""
-    rows, _ = rated_inputs(spark, sf_dir)
-    often = rows.groupBy("userId", F.col("Route").alias("route")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    best = Window.partitionBy("userId").orderBy(F.desc("n"), F.asc("route"))
-    top = often.withColumn("rn", F.row_number().over(best)).filter("rn <= 3")
-    return recommend.attach_fares(top.select("userId", "route"), rows)
+_BOUGHT = f"""{FARES_SQL}, bought AS (
+  SELECT fares.*, cast(o_custkey AS int) AS userId FROM fares JOIN orders ON l_orderkey = o_orderkey
+), top AS (
+  SELECT userId, Route AS route,
+    cast(row_number() OVER (PARTITION BY userId ORDER BY count(*) DESC, Route) AS int) AS rank
+  FROM bought GROUP BY userId, Route
+), recs AS (SELECT * FROM top WHERE rank <= {_OFTEN})"""
 
+_PER_USER = f"""
+WITH {FARES_SQL}, sizes AS (SELECT least({_K}, count(DISTINCT Route)) AS k FROM fares),
+users AS (SELECT DISTINCT cast(o_custkey AS int) AS userId FROM fares JOIN orders ON l_orderkey = o_orderkey)"""
 
 QUERIES = {
     "attach_fares": (
         attach_fares,
         f"""
-WITH {FARES_SQL}, rows AS (SELECT *, {bucket_sql(100)} AS userId FROM fares), top AS (
-  SELECT userId, Route AS route,
-    row_number() OVER (PARTITION BY userId ORDER BY count(*) DESC, Route) AS rn
-  FROM rows GROUP BY userId, Route)
-SELECT top.userId, top.route, rows.Airline, rows.Price, {PRICE_RANGE_SQL} AS price_range
-FROM top JOIN rows ON top.userId = rows.userId WHERE rn <= 3""",
+WITH {_BOUGHT}
+SELECT recs.userId, recs.route, b.Airline, b.Price, {PRICE_RANGE_SQL} AS price_range
+FROM recs JOIN bought b ON recs.userId = b.userId""",
+    ),
+    "recommend_routes": (
+        recommend_routes,
+        f"{_PER_USER} SELECT userId, k AS n, k AS named, true AS falling FROM users, sizes",
     ),
-    "recommend_routes": (recommend_routes, None),
     "recommend_coverage": (
         recommend_coverage,
+        f"""{_PER_USER}
+SELECT userId, k AS n, k AS routes, 1 AS first_rank, cast(k AS int) AS last_rank FROM users, sizes""",
+    ),
+    "recommend_with_source": (
+        recommend_with_source,
+        f"""
+WITH {_BOUGHT}, pairs AS (
+  SELECT Route, Source, row_number() OVER (PARTITION BY Route ORDER BY count(*) DESC, Source) AS rn
+  FROM bought GROUP BY Route, Source)
+SELECT pairs.Source AS source_des, recs.route FROM recs
+JOIN pairs ON pairs.Route = recs.route AND rn = 1""",
+    ),
+    "recommend_with_prices": (
+        recommend_with_prices,
         f"""
-WITH {FARES_SQL}, sizes AS (
-  SELECT least({_K}, count(DISTINCT Route)) AS k FROM fares)
-SELECT DISTINCT {bucket_sql(100)} AS userId, k AS n, k AS routes, 1 AS first_rank,
-  cast(k AS int) AS last_rank
-FROM fares, sizes""",
+WITH {_BOUGHT}, {index_sql("Route", "routes")}
+SELECT recs.userId, recs.route, recs.rank, idx AS ridx, b.Airline, b.Price,
+  {PRICE_RANGE_SQL} AS price_range
+FROM recs JOIN routes ON routes.label = recs.route JOIN bought b ON recs.userId = b.userId""",
     ),
-    "recommend_with_source": (recommend_with_source, None),
-    "recommend_with_prices": (recommend_with_prices, None),
 }

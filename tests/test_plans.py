@@ -60,3 +60,10 @@ def test_only_needed_columns_are_read(spark):
 def test_partition_folders_are_pruned(spark):
     text = plan(spark, "overwrite_partitioned")
     assert re.search(r"PartitionFilters: \[isnotnull\(origin_country#\d+\), \(origin_country", text)
+
+
+def test_labels_are_counted_in_one_scan(spark):
+    text = plan(spark, "label_index")
+    assert text.count("label-counts") and "lineitem" not in text
+    for name in ("fare_ratings_delay", "fare_ratings_preference", "attach_fares"):
+        assert plan(spark, name).count("lineitem.parquet") <= 2

@@ -25,9 +25,9 @@ def rated(spark):
 
 
 @pytest.mark.parametrize("small", [True, False])
-def test_labels_by_frequency_then_name(spark, monkeypatch, small):
+def test_labels_by_frequency_then_name(spark, no_broadcast, small):
     if not small:
-        monkeypatch.setattr(recommend, "MAX_BROADCAST_LABELS", 0)
+        no_broadcast()
     labels = ["b", "a", "c", "a", "d", "b", None, "e"]
     df = spark.createDataFrame([(v,) for v in labels], "v string")
     expected = {"a": 0.0, "b": 1.0, "c": 2.0, "d": 3.0, "e": 4.0}
@@ -87,12 +87,14 @@ def test_unratable_rows_are_left_out(rated):
     assert {r.id for r in users.collect()} == set(range(12)) - {3}
     with pytest.raises(ValueError):
         recommend.fit_routes(rows, dedupe="max")
+    with pytest.raises(Exception, match="without user, route or rating"):
+        recommend.fit_routes(holes, blocks=2, on_null="error")
 
 
 @pytest.mark.parametrize("small", [True, False])
-def test_tables_built_from_recommendations(rated, monkeypatch, small):
+def test_tables_built_from_recommendations(rated, no_broadcast, small):
     if not small:
-        monkeypatch.setattr(recommend, "MAX_BROADCAST_RECOMMENDATIONS", 0)
+        no_broadcast()
     rows, labels = rated
     model = recommend.fit_routes(rows, dedupe="mean", blocks=2)
     full = recommend.recommend_with_prices(model, labels, rows, k=4)
@@ -103,8 +105,12 @@ def test_tables_built_from_recommendations(rated, monkeypatch, small):
     assert full.count() == 4 * 600
     row = full.first()
     assert row.recommendation in row.recommendations and len(row.recommendations) == 4
-    low = row.Price // 500 * 500
-    assert row.price_range == f"{low}~{low + 500}"
+    bands = ["0~500", "500~1000", "1000~1500", "1500~2000", "2000~2500", "2500~3000"]
+    for row in full.select("Price", "price_range").collect():
+        low, high = map(int, row.price_range.split("~"))
+        assert row.price_range in bands and low <= row.Price < high
+    short = recommend.recommend_with_prices(model, labels, rows, k=4, lists=False)
+    assert "recommendations" not in short.columns and short.count() == 4 * 600
     recs = recommend.recommend_routes(model, labels, 4)
     pairs = recommend.recommend_with_source(recs, rows)
     assert pairs.columns == ["source_des", "route"] and pairs.count() == 48
