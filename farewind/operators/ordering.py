@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from farewind.scratch import stored
+
 # Rows of one group that a single task may sort.
 MAX_GROUP_ROWS = 2_000_000
 # Crowded keys that may be sent to every executor; beyond it they are joined by shuffle.
@@ -33,8 +35,9 @@ def with_next(
 ) -> DataFrame:
     """Add ``next_<value>`` from the following row of the group, and ``has_next``.
 
-    Counts the groups first (one pre-aggregated pass over the key columns). Groups within
-    ``max_group_rows`` take a plain window; larger ones are cut into slices.
+    Counts the groups first, by a job when called (one pre-aggregated pass over the key
+    columns). Groups within ``max_group_rows`` take a plain window. If there are larger ones,
+    the rows are stored once, and the larger groups are cut into slices.
     """
     roomy, crowded = split_crowded(df, group, max_group_rows)
     result = _next_in_window(roomy, group, order, values)
@@ -52,6 +55,7 @@ def split_crowded(
     found = large.limit(MAX_BROADCAST_KEYS + 1).collect()
     if not found:
         return df, None
+    df = stored(df, "crowded")
     if len(found) <= MAX_BROADCAST_KEYS:
         large = F.broadcast(df.sparkSession.createDataFrame(found, large.schema))
     large = large.alias("large")

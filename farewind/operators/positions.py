@@ -36,11 +36,16 @@ def top_callsigns(states: DataFrame, k: int = 50, label_nulls: bool = False) ->
     return top
 
 
-def last_contact_by_position(states: DataFrame, country: Any = ALL) -> DataFrame:
-    """Last contact of every aircraft at every position it reported, latest first."""
+def last_contact_by_position(
+    states: DataFrame, country: Any = ALL, ordered: bool = True
+) -> DataFrame:
+    """Last contact of every aircraft at every position it reported, latest first.
+
+    The order is for display; ``ordered=False`` saves the sort of the whole result.
+    """
     seen = where_equal(states, origin_country=country)
     latest = seen.groupBy(*POSITION_COLUMNS).agg(F.max("last_contact").alias("last_contact"))
-    return latest.orderBy(F.desc("last_contact"), *POSITION_COLUMNS)
+    return latest.orderBy(F.desc("last_contact"), *POSITION_COLUMNS) if ordered else latest
 
 
 def latest_positions(
@@ -58,12 +63,13 @@ def flight_track(
     country: Any = ALL,
     callsign: Any = ALL,
     ties: Sequence[str] = TRACK_TIES,
+    ordered: bool = True,
 ) -> DataFrame:
-    """All reported points of a flight, latest first."""
+    """All reported points of a flight, latest first unless ``ordered`` is false."""
     seen = where_equal(states, origin_country=country, callsign=callsign)
-    return seen.orderBy(F.desc("last_contact"), *[F.desc(name) for name in ties]).select(
-        *TRACK_COLUMNS
-    )
+    if ordered:
+        seen = seen.orderBy(F.desc("last_contact"), *[F.desc(name) for name in ties])
+    return seen.select(*TRACK_COLUMNS)
 
 
 def path_segments(
@@ -78,7 +84,7 @@ def path_segments(
 
     Points without time or place are left out before neighbours are found. A flight is a
     (country, callsign) pair, or an aircraft with ``per_aircraft``. ``time_utc`` is the time
-    of the point a line starts from.
+    of the point a line starts from. Counts the points of every flight when called.
     """
     group = ["icao24"] if per_aircraft else ["origin_country", "callsign"]
     needed = dict.fromkeys(

@@ -25,7 +25,7 @@ def callsign_labels(spark, sf_dir):
 
 
 def positions_last_contact(spark, sf_dir):
-    return positions.last_contact_by_position(states(spark, sf_dir))
+    return positions.last_contact_by_position(states(spark, sf_dir), ordered=False)
 
 
 def positions_last_contact_country(spark, sf_dir):

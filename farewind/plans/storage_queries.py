@@ -55,14 +55,21 @@ _GROUNDED = 'true,0.5,90.25,null,null,10.5,"1000",true,0'
 _FLYING = 'false,230.5,181.0,-1.5,[3,14],9000.0,null,false,"x"'
 
 
+_BROKEN = "concat('{\"time\":', cast(last_contact AS string), ',\"states\":[[')"
+
+
 def state_documents(spark, sf_dir):
     path = new_folder(spark, "state-documents")
     text = (
         "concat('{\"time\":', cast(last_contact AS string), ',\"states\":[', "
         f"{_state_text(_GROUNDED)}, ',', {_state_text(_FLYING)}, ']}}') AS value"
     )
-    sinks.write_table(states(spark, sf_dir).selectExpr(text), path, fmt="text")
-    read = sources.read_state_documents(spark, path)
+    rows = states(spark, sf_dir)
+    sinks.write_table(rows.selectExpr(text), path, fmt="text")
+    # every so often a transfer broke off
+    broken = rows.filter("event_id % 50 = 0").selectExpr(f"{_BROKEN} AS value")
+    sinks.write_table(broken, path, mode="append", fmt="text")
+    read = sources.read_state_documents(spark, path, on_malformed="keep")
     return read.withColumn("sensors", F.array_join(F.col("sensors").cast("array<string>"), " "))
 
 
@@ -126,10 +133,13 @@ QUERIES = {
         f"""WITH {STATES_SQL}
 SELECT {_STATE_COLUMNS}, true AS on_ground, 0.5::double AS velocity, 90.25::double AS true_track,
   cast(NULL AS double) AS vertical_rate, cast(NULL AS varchar) AS sensors,
-  10.5::double AS geo_altitude, '1000' AS squawk, true AS spi, 0 AS position_source FROM states
+  10.5::double AS geo_altitude, '1000' AS squawk, true AS spi, 0 AS position_source,
+  cast(NULL AS varchar) AS document FROM states
 UNION ALL
 SELECT {_STATE_COLUMNS}, false, 230.5::double, 181.0::double, -1.5::double, '3 14', 9000.0::double,
-  cast(NULL AS varchar), false, cast(NULL AS int) FROM states""",
+  cast(NULL AS varchar), false, cast(NULL AS int), NULL FROM states
+UNION ALL
+SELECT {", ".join(["NULL"] * 17)}, {_BROKEN} FROM states WHERE event_id % 50 = 0""",
     ),
     "append_table": (
         append_table,

@@ -31,21 +31,34 @@ def read_table(spark: SparkSession, name: str, fmt: str = "parquet") -> DataFram
     return spark.read.table(name)
 
 
-def read_state_documents(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_state_documents(
+    spark: SparkSession, path: str, multi_line: bool = False, on_malformed: str = "skip"
+) -> DataFrame:
     """Aircraft states from documents ``{"time": t, "states": [[...], ...]}``.
 
     Each state is an array whose positions have fixed meanings; values that do not fit their
-    column become null. ``multi_line`` is for files that hold one indented document.
+    column become null. ``multi_line`` is for files that hold one indented document. What is
+    no document at all is left out, is an error (``"fail"``, when rows are read), or is kept
+    (``"keep"``) as a row without a state whose added column ``document`` has the text.
     """
+    if on_malformed not in ("skip", "fail", "keep"):
+        raise ValueError(f"unknown choice for malformed documents: {on_malformed}")
     documents = (
-        spark.read.schema("time bigint, states array<array<string>>")
+        spark.read.schema("time bigint, states array<array<string>>, document string")
         .option("multiLine", multi_line)
+        .option("columnNameOfCorruptRecord", "document")
+        .option("mode", "FAILFAST" if on_malformed == "fail" else "PERMISSIVE")
         .json(path)
     )
-    states = documents.select(F.explode("states").alias("state"))
-    return states.select(
-        *[_position(place, field).alias(field.name) for place, field in enumerate(STATE)]
-    )
+    if on_malformed == "keep":
+        sound = F.when(F.col("document").isNull(), F.col("states"))
+        states = documents.filter("states is not null or document is not null").select(
+            F.explode_outer(sound).alias("state"), "document"
+        ).filter("state is not null or document is not null")
+    else:
+        states = documents.filter("document is null").select(F.explode("states").alias("state"))
+    columns = [_position(place, field).alias(field.name) for place, field in enumerate(STATE)]
+    return states.select(*columns, *(["document"] if on_malformed == "keep" else []))
 
 
 def _position(place: int, field: T.StructField) -> Column:

@@ -61,6 +61,28 @@ def test_documents_without_states(spark):
     assert sources.read_state_documents(spark, path).count() == 0
 
 
+def test_malformed_documents(spark):
+    lines = [json.dumps({"time": 1, "states": [STATE]}), '{"time": 2, "states": [[', '{"time": 3, "states": null}']
+    path = write(new_folder(spark, "docs"), "a.json", "\n".join(lines) + "\n")
+    assert sources.read_state_documents(spark, path).count() == 1
+    kept = sources.read_state_documents(spark, path, on_malformed="keep")
+    assert sorted((r.icao24 or "", r.document or "") for r in kept.collect()) == [("", lines[1]), (STATE[0], "")]
+    with pytest.raises(Exception, match="(?i)malformed"):
+        sources.read_state_documents(spark, path, on_malformed="fail").collect()
+    with pytest.raises(ValueError):
+        sources.read_state_documents(spark, path, on_malformed="guess")
+
+
+def test_release_leaves_nothing(spark):
+    before = scratch._made.pop(spark.sparkContext.applicationId, [])
+    path = Path(new_folder(spark, "gone"))
+    sinks.write_table(spark.range(3), str(path))
+    other = scratch.stored(spark.range(5), "gone").inputFiles()[0]
+    assert path.exists() and scratch.release(spark) == 2
+    assert not path.exists() and not Path(other.removeprefix("file://")).exists()
+    scratch._made[spark.sparkContext.applicationId] = before
+
+
 def test_path_tables(spark):
     df = sources.rows_to_df(spark, FARE_ROWS, schemas.FARE)
     path = new_folder(spark, "fares")
