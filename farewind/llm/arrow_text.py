@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text that one piece of a batch holds at most, unless a single text is longer.
-PIECE_BYTES = 1_000_000
+PIECE_BYTES = 500_000
 
 _P = 0x9E3779B97F4A7C55  # odd, hence invertible modulo 2**64
 _P_INVERSE = pow(_P, -1, 2**64)

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farewind.llm.arrow_text import pieces
+
 WINDOW = 10
 #: Characters of benchmark text in one automaton (about ten trie nodes each); a larger benchmark
 #: is scanned in several passes.
@@ -114,22 +116,25 @@ def _scanner(items, name: str, window: int):
             _built.clear()
             _built[name] = Automaton(items.value, window)
         automaton = _built[name]
-        for batch in batches:
-            counts, hits, spans, found = [], [], [], []
-            for text in batch.column("text"):
-                text = text.as_py()
-                n, ranges, ids = automaton.scan(text)
-                counts.append(n)
-                hits.append(ranges)
-                spans.append(original_spans(text, ranges) if ranges else [])
-                found.append(sorted(ids))
-            pairs = pa.list_(pa.list_(pa.int64()))
-            columns = [c for i, c in enumerate(batch.columns) if batch.schema.names[i] != "text"]
-            names = [c for c in batch.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(counts, pa.int64()), pa.array(hits, pairs), pa.array(spans, pairs), pa.array(found, pa.list_(pa.string()))],
-                names=[*names, "n_words", "hits", "spans", "items"],
-            )
+        for whole in batches:
+            for batch in pieces(whole):
+                counts, hits, spans, found = [], [], [], []
+                for text in batch.column("text"):
+                    text = text.as_py()
+                    n, ranges, ids = automaton.scan(text)
+                    counts.append(n)
+                    hits.append(ranges)
+                    spans.append(original_spans(text, ranges) if ranges else [])
+                    found.append(sorted(ids))
+                pairs = pa.list_(pa.list_(pa.int64()))
+                names = [c for c in batch.schema.names if c != "text"]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[batch.column(c) for c in names], pa.array(counts, pa.int64()), pa.array(hits, pairs),
+                        pa.array(spans, pairs), pa.array(found, pa.list_(pa.string())),
+                    ],
+                    names=[*names, "n_words", "hits", "spans", "items"],
+                )
 
     return scan
 

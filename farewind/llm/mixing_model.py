@@ -46,6 +46,8 @@ _STEP = 1 / 12  # log-odds are kept as multiples of this, in one byte
 _BLOCK_CELLS = 1 << 16
 #: Bytes of text counted at once; a task also holds a table of all cells.
 _COUNTED_BYTES = 300_000
+#: Bytes of text scored at once.
+_SCORED_BYTES = 1_000_000
 #: Most frequent words whose counts every task holds; the others are joined.
 HOT_WORDS = 200_000
 
@@ -117,14 +119,14 @@ class Stream:
 
 def _counted(batches):
     """Of all training texts of a partition: blocks of cells (kind 0) and words (kind 1)."""
-    table, one = np.zeros(_BASES[-1], np.uint32), np.uint32(1)
+    table = _Cells()
     held: list[tuple[np.ndarray, np.ndarray]] = []
     n_held = ends = 0
     for batch in batches:
         for piece in pieces(batch, limit=_COUNTED_BYTES):
             words = Words(piece.column("text"))
             for cells in Stream(words).cells():
-                np.add.at(table, cells, one)
+                table.count(cells)
             ends += words.n_texts
             held.append(np.unique(words.hash, return_counts=True))
             n_held += len(held[-1][0])
@@ -138,16 +140,40 @@ def _counted(batches):
         part = slice(at, at + 500_000)
         keys, times = found[part].view(np.int64), counts[part].astype(np.int64)
         yield _rows(1, keys, times, [None] * len(keys))
-    for first in range(0, len(table), 64 * _BLOCK_CELLS):
+    for first in range(0, int(_BASES[-1]), 64 * _BLOCK_CELLS):
         numbers, packed = [], []
-        for at in range(first, min(first + 64 * _BLOCK_CELLS, len(table)), _BLOCK_CELLS):
-            for data in _pack(table[at : at + _BLOCK_CELLS]):
+        for at in range(first, min(first + 64 * _BLOCK_CELLS, int(_BASES[-1])), _BLOCK_CELLS):
+            for data in _pack(table.block(at)):
                 numbers.append(at // _BLOCK_CELLS)
                 packed.append(data)
         if numbers:
             yield _rows(0, np.array(numbers, np.int64), np.zeros(len(numbers), np.int64), packed)
 
 
+class _Cells:
+    """Counts of all cells in 16 bits each; what comes near their limit is put into a dictionary."""
+
+    def __init__(self):
+        self.low = np.zeros(_BASES[-1], np.uint16)
+        self.high: dict[int, int] = {}
+
+    def count(self, cells: np.ndarray) -> None:
+        one = np.uint16(1)
+        for at in range(0, len(cells), 30_000):
+            part = cells[at : at + 30_000]
+            np.add.at(self.low, part, one)
+            for cell in np.unique(part[self.low[part] >= 32_768]).tolist():
+                self.high[cell] = self.high.get(cell, 0) + int(self.low[cell])
+                self.low[cell] = 0
+
+    def block(self, at: int) -> np.ndarray:
+        counts = self.low[at : at + _BLOCK_CELLS].astype(np.uint32)
+        for cell in self.high:
+            if at <= cell < at + len(counts):
+                counts[cell - at] += self.high[cell]
+        return counts
+
+
 def _rows(kind: int, keys: np.ndarray, counts: np.ndarray, packed: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(counts), pa.array(packed, pa.binary())],
@@ -339,7 +365,7 @@ def _scorer(shared):
     def run(batches):
         model = shared.value
         for batch in batches:
-            for piece in pieces(batch):
+            for piece in pieces(batch, limit=_SCORED_BYTES):
                 words = Words(piece.column("text"))
                 score = model.score(Stream(words)) / np.log(10)
                 at = np.searchsorted(model.hot_keys, words.hash)

@@ -62,6 +62,14 @@ def test_counts_of_cells_survive_packing():
     assert counts.tolist() == [2, 400_000, 131_070]
 
 
+def test_counts_past_sixteen_bits():
+    table = mm._Cells()
+    cells = np.concatenate([np.full(250_000, 9), np.arange(50_000), np.full(40_000, 9)])
+    table.count(cells)
+    assert table.block(0)[[8, 9, 10]].tolist() == [1, 290_001, 1]
+    assert table.block(0).sum() == len(cells)
+
+
 def plain_score(model, text):
     """The model's probability of one text, bit by bit, with the same blocks of refinement."""
     stream = mm.Stream(Words(pa.array([text])))
