@@ -14,6 +14,7 @@ import sys
 import time
 
 from farewind.plans.catalog import QUERIES
+from farewind.scratch import release
 from farewind.session import build_session
 
 HEADLINE = [
@@ -24,7 +25,8 @@ HEADLINE = [
     "quotes_as_of", "change_history", "union_versions", "reprice", "compare_time_frames",
     "price_trend_ols", "csv_roundtrip", "state_documents", "append_table",
     "decode_events_batch", "decode_events_stream", "stream_append_parquet",
-    "stream_foreach_batch", "stream_delay_summary", "attach_fares", "recommend_routes",
+    "stream_foreach_batch", "stream_delay_summary", "upsert_through_log", "attach_fares",
+    "recommend_routes",
     "recommend_with_prices",
 ]
 
@@ -55,6 +57,7 @@ def main() -> None:
         run(query, spark, sf_dir)
         seconds[name] = round(statistics.median(run(query, spark, sf_dir) for _ in range(runs)), 3)
         print(name, seconds[name], file=sys.stderr, flush=True)
+    release(spark)
     spark.stop()
     print(
         json.dumps(

@@ -19,6 +19,7 @@ from farewind.operators import changelog
 from farewind.plans import change_queries
 from farewind.plans.bindings import QUOTE_ORDER, fares, quotes
 from farewind.schemas import FARE, FARE_KEYS, QUOTE_KEYS
+from farewind.scratch import release
 from farewind.session import build_session
 
 
@@ -88,6 +89,7 @@ def main() -> None:
             run(query, spark, sf_dir)
             times.append(round(statistics.median(run(query, spark, sf_dir) for _ in range(3)), 2))
         result[name] = {"here": times[0], "plainer": times[1]}
+    release(spark)
     spark.stop()
     print(json.dumps(result))
 
