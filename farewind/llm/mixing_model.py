@@ -42,8 +42,9 @@ BLOCKS = (128, 128, 256, 512, 1024, 2048, 4096)
 #: Added to the count of either branch.
 _PRIOR = 0.1
 _STEP = 1 / 12  # log-odds are kept as multiples of this, in one byte
-#: Cells that travel together.
-_BLOCK_CELLS = 1 << 16
+#: Rows of the tables that travel together, and their cells: places fit 16 bits.
+_BLOCK_ROWS = 256
+_BLOCK_CELLS = _BLOCK_ROWS * SYMBOLS
 #: Bytes of text counted at once; a task also holds a table of all cells.
 _COUNTED_BYTES = 300_000
 #: Bytes of text scored at once.
@@ -118,14 +119,17 @@ class Stream:
 
 
 def _counted(batches):
-    """Of all training texts of a partition: blocks of cells (kind 0) and words (kind 1)."""
+    """Of all training texts of a partition: blocks of cells (kind 0), words (1), symbols (2)."""
     table = _Cells()
     held: list[tuple[np.ndarray, np.ndarray]] = []
     n_held = ends = 0
+    symbols = np.zeros(SYMBOLS, np.int64)
     for batch in batches:
         for piece in pieces(batch, limit=_COUNTED_BYTES):
             words = Words(piece.column("text"))
-            for cells in Stream(words).cells():
+            stream = Stream(words)
+            symbols += np.bincount(stream.symbols, minlength=SYMBOLS)
+            for cells in stream.cells():
                 table.count(cells)
             ends += words.n_texts
             held.append(np.unique(words.hash, return_counts=True))
@@ -135,6 +139,7 @@ def _counted(batches):
                 n_held = len(held[0][0])
     if ends:
         held.append((np.array([_END_KEY], np.uint64), np.array([ends])))
+    yield _rows(2, np.arange(SYMBOLS), symbols, [None] * SYMBOLS)
     found, counts = _summed(held)
     for at in range(0, len(found), 500_000):
         part = slice(at, at + 500_000)
@@ -190,20 +195,22 @@ def _pack(cells: np.ndarray):
         yield places.astype(np.uint16).tobytes() + part.astype(np.uint16).tobytes()
 
 
-def _merged(batches):
-    """Blocks of cells added up; a partition holds as many dense blocks as are dealt to it."""
-    blocks: dict[int, np.ndarray] = {}
-    for batch in batches:
-        for number, data in zip(batch.column("key").to_pylist(), batch.column("packed").to_pylist()):
-            places, counts = np.frombuffer(data, np.uint16).reshape(2, -1)
-            blocks.setdefault(number, np.zeros(_BLOCK_CELLS, np.int64))[places] += counts
-    for number, block in blocks.items():
-        places = np.flatnonzero(block)
-        cells = (places + number * _BLOCK_CELLS).astype(np.uint32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([cells.tobytes()], pa.binary()), pa.array([block[places].astype(np.float32).tobytes()], pa.binary())],
-            names=["keys", "counts"],
-        )
+def _tabled(tree: Tree):
+    """Blocks of cells added up and made log-odds; a partition holds the blocks dealt to it."""
+
+    def run(batches):
+        blocks: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, data in zip(batch.column("key").to_pylist(), batch.column("packed").to_pylist()):
+                places, counts = np.frombuffer(data, np.uint16).reshape(2, -1)
+                blocks.setdefault(number, np.zeros(_BLOCK_CELLS, np.int64))[places] += counts
+        for number, block in blocks.items():
+            odds = tree.log_odds(block.reshape(_BLOCK_ROWS, SYMBOLS).astype(np.float32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int64()), pa.array([odds.tobytes()], pa.binary())], names=["block", "odds"]
+            )
+
+    return run
 
 
 def _summed(held) -> tuple[np.ndarray, np.ndarray]:
@@ -242,6 +249,7 @@ class Tree:
         for s, path in paths.items():
             for k, (node, bit) in enumerate(path):
                 self.node[k, s], self.bit[k, s] = node, bit
+        self._drop_unseen(frequencies)
 
     def _walk(self, root, children, path, paths) -> None:
         stack = [(root, [])]
@@ -267,15 +275,15 @@ class Tree:
                 open_ranges[rest[0]][2] = len(self.leaves)
         self.ranges = [tuple(r) for r in open_ranges]
 
-    def drop_unseen(self, frequencies: np.ndarray) -> int:
-        """Number the nodes that pass seen symbols from 1 on, and all others 0; how many there are."""
+    def _drop_unseen(self, frequencies: np.ndarray) -> None:
+        """Number the nodes that pass seen symbols from 1 on, and all others 0: both their branches
+        are alike in every table."""
         sums = np.concatenate([[0], np.cumsum(frequencies[self.leaves])])
         low, _, high = np.array(self.ranges).T
         seen = sums[high] > sums[low]
         number = np.where(seen, np.cumsum(seen), 0)
         self.node = number[self.node]
         self.ranges = [(0, 0, 0), *(r for r, s in zip(self.ranges, seen) if s)]
-        return len(self.ranges)
 
     def log_odds(self, counts: np.ndarray) -> np.ndarray:
         """Rows of symbol counts as rows of steps of log-odds of bit 1, one per node."""
@@ -289,27 +297,19 @@ class Tree:
 
 
 class Model:
-    """What scoring needs: the tree, the predictors' tables, and the counts of frequent words."""
-
-    def __init__(self, cells: np.ndarray, counts: np.ndarray, hot: tuple[np.ndarray, np.ndarray]):
-        order = np.argsort(cells)
-        cells, counts = cells[order], counts[order]
-        first = slice(0, np.searchsorted(cells, _BASES[1]))
-        symbols = np.bincount(cells[first].astype(np.int64) % SYMBOLS, counts[first], SYMBOLS)
-        self.tree = Tree(symbols)
-        # nodes below which no symbol was seen share one column, in which both branches are alike
-        self.n_nodes = self.tree.drop_unseen(symbols)
-        self.tables = []
-        for base, bits in zip(_BASES, ROW_BITS):
-            table = np.zeros((1 << bits, self.n_nodes), np.int8)
-            for row in range(0, 1 << bits, 1024):
-                low = base + row * SYMBOLS
-                high = low + 1024 * SYMBOLS
-                part = slice(*np.searchsorted(cells, np.array([low, high]).astype(cells.dtype)))
-                dense = np.zeros(high - low, np.float32)
-                dense[cells[part] - low] = counts[part]
-                table[row : row + 1024] = self.tree.log_odds(dense.reshape(-1, SYMBOLS))
-            self.tables.append(table.reshape(-1))
+    """What scoring needs: the tree, the predictors' tables, and the counts of frequent words.
+
+    ``blocks`` are (number, log-odds) of the blocks of rows in which anything was counted.
+    """
+
+    def __init__(self, tree: Tree, blocks, hot: tuple[np.ndarray, np.ndarray]):
+        self.tree, self.n_nodes = tree, len(tree.ranges)
+        rows = np.zeros((int(_BASES[-1]) // SYMBOLS, self.n_nodes), np.int8)
+        for number, odds in blocks:
+            first = number * _BLOCK_ROWS
+            rows[first : first + _BLOCK_ROWS] = np.frombuffer(odds, np.int8).reshape(-1, self.n_nodes)
+        begins = _BASES // SYMBOLS
+        self.tables = [rows[a:b].reshape(-1) for a, b in zip(begins, begins[1:])]
         self.hot_keys, self.hot_counts = hot
 
     def score(self, stream: Stream) -> np.ndarray:
@@ -424,8 +424,9 @@ def _collected(packed: DataFrame, keys: type, counts: type) -> tuple[np.ndarray,
 def fit(texts: DataFrame, hot_words: int = HOT_WORDS) -> tuple[DataFrame, Model, int, int, int]:
     """Counts of words (key, n), the model, and the tokens, kinds of token and ends in ``texts``.
 
-    Every text counts. The tables have a fixed number of rows whatever the corpus, which
-    bounds what the driver and the tasks hold.
+    Every text counts. Tasks turn the counts into tables of log-odds; these have a fixed number
+    of rows whatever the corpus, 59 MB in all at most, which bounds what the driver and the
+    tasks hold.
     """
     counted = stored(
         texts.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
@@ -439,12 +440,19 @@ def fit(texts: DataFrame, hot_words: int = HOT_WORDS) -> tuple[DataFrame, Model,
         F.coalesce(F.sum("n"), F.lit(0)), F.count("*"),
         F.coalesce(F.sum(F.when(F.col("key") == int(_END_KEY.view(np.int64)), F.col("n"))), F.lit(0)),
     ).first()
-    packed = "keys binary, counts binary"
-    hot = words.filter(F.col("n") >= _least_hot(words, hot_words)).mapInArrow(_packed, packed)
+    hot = words.filter(F.col("n") >= _least_hot(words, hot_words)).mapInArrow(
+        _packed, "keys binary, counts binary"
+    )
     keys, times = _collected(hot, np.uint64, np.int64)
     order = np.argsort(keys)
-    blocks = counted.filter("kind = 0").select("key", "packed").repartition("key").mapInArrow(_merged, packed)
-    model = Model(*_collected(blocks, np.uint32, np.float32), (keys[order], times[order]))
+    seen = counted.filter("kind = 2").groupBy("key").agg(F.sum("n").alias("n")).collect()
+    frequencies = np.zeros(SYMBOLS, np.int64)
+    for row in seen:
+        frequencies[row["key"]] = row["n"]
+    tree = Tree(frequencies)
+    blocks = counted.filter("kind = 0").select("key", "packed").repartition("key")
+    blocks = blocks.mapInArrow(_tabled(tree), "block bigint, odds binary").collect()
+    model = Model(tree, blocks, (keys[order], times[order]))
     return words, model, n_tokens, n_kinds, ends
 
 

@@ -7,7 +7,6 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import pytest
 
 from farewind.llm import mixing_model as mm
@@ -44,22 +43,23 @@ def test_base_score_matches_brute_force(spark, hot_words):
 
 def small_model(texts):
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
-    counted = [b.filter(pa.compute.equal(b["kind"], 0)) for b in mm._counted([batch])]
-    merged = list(mm._merged(counted))
-    cells = np.concatenate([np.frombuffer(b["keys"][0].as_py(), np.uint32) for b in merged])
-    counts = np.concatenate([np.frombuffer(b["counts"][0].as_py(), np.float32) for b in merged])
-    return mm.Model(cells, counts, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    counted = list(mm._counted([batch]))
+    (symbols,) = [b["n"].to_numpy() for b in counted if b["kind"][0].as_py() == 2]
+    tree = mm.Tree(symbols)
+    cells = [b for b in counted if b["kind"][0].as_py() == 0]
+    blocks = [(b["block"][0].as_py(), b["odds"][0].as_py()) for b in mm._tabled(tree)(cells)]
+    return mm.Model(tree, blocks, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
 
 
-def test_counts_of_cells_survive_packing():
+def test_packed_counts_add_up_to_log_odds():
     cells = np.zeros(mm._BLOCK_CELLS, np.uint32)
     cells[[0, 7, mm._BLOCK_CELLS - 1]] = [1, 200_000, 65_535]
     rows = [mm._rows(0, np.array([3]), np.array([0]), [data]) for data in mm._pack(cells)]
-    (merged,) = mm._merged(rows + rows)
-    keys = np.frombuffer(merged["keys"][0].as_py(), np.uint32)
-    counts = np.frombuffer(merged["counts"][0].as_py(), np.float32)
-    assert (keys - 3 * mm._BLOCK_CELLS).tolist() == [0, 7, mm._BLOCK_CELLS - 1]
-    assert counts.tolist() == [2, 400_000, 131_070]
+    tree = mm.Tree(np.bincount(np.arange(mm._BLOCK_CELLS) % mm.SYMBOLS, cells).astype(np.int64))
+    (table,) = mm._tabled(tree)(rows + rows)
+    assert table["block"][0].as_py() == 3
+    expected = tree.log_odds(2 * cells.astype(np.float32).reshape(-1, mm.SYMBOLS))
+    assert table["odds"][0].as_py() == expected.tobytes()
 
 
 def test_counts_past_sixteen_bits():
