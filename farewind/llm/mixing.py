@@ -1,6 +1,6 @@
 """Mixing documents to target weights by soft membership in domains, as DataFrame operations.
 
-A labelled table gives domains. A naive Bayes classifier on the presence of informative words
+A labelled table gives domains. A naive Bayes classifier on the presence of telling words
 predicts every document's posterior over them. Rates (how often a document is to be drawn) are
 then fitted so that the expected tokens of each domain, the sum of rate * tokens * posterior,
 come to its target. The fit is projected gradient descent on the squared relative errors: each
@@ -11,6 +11,7 @@ rates set to zero.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -22,8 +23,9 @@ from farewind.scratch import stored
 TARGETS = {"good": 0.8, "poor": 0.17, "toxic": 0.03}
 #: Labelled rows that the classifier learns from at most (expected number).
 SAMPLE_ROWS = 20_000
-#: Words per domain that it looks for, and documents that must hold one.
-WORDS_PER_DOMAIN, MIN_DOCUMENTS = 32, 5
+#: Labelled documents that must hold a word, and the likelihood ratio statistic (G squared, one
+#: degree of freedom: 20 comes by chance once in 130,000 words) that its tie to a domain must reach.
+MIN_DOCUMENTS, MIN_EVIDENCE = 5, 20.0
 MAX_STEPS, TOLERANCE = 200, 1e-4
 
 _BLANK = r"[\x20\x09-\x0D]+"
@@ -44,8 +46,9 @@ def fit_classifier(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     """Priors, and for every informative word the log-odds of its presence in each domain.
 
     ``labelled`` has text and domain. Rows with a null in either are not used. A hash of the
-    text chooses ``sample_rows`` rows on average if there are more. The words are those whose
-    presence is most telling for a domain against the others.
+    text chooses ``sample_rows`` rows on average if there are more. The words are all that
+    MIN_DOCUMENTS rows hold and whose tie to a domain is evident (MIN_EVIDENCE), however many:
+    the others have no ascertained odds, and their chance odds add up over a long text.
     """
     usable = labelled.filter(F.col("text").isNotNull() & F.col("domain").isNotNull()).select("text", "domain")
     n = usable.count()
@@ -55,20 +58,15 @@ def fit_classifier(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     rows = stored(usable.select("domain", F.array_distinct(words_of(F.col("text"))).alias("words")), "labelled")
     sizes = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
     if not sizes:
-        return {"domains": [], "prior": [], "words": {}}
+        return {"domains": [], "prior": [], "words": {}, "hashes": []}
     domains = sorted(sizes)
     counted = rows.select("domain", F.explode("words").alias("word")).groupBy("word").agg(
         F.count("*").alias("n"), *[F.count_if(F.col("domain") == d).alias(f"n{i}") for i, d in enumerate(domains)]
     ).filter(F.col("n") >= MIN_DOCUMENTS)
-    counted = stored(counted, "words")
     total = sum(sizes.values())
-    chosen = {}
-    for i, d in enumerate(domains):
-        inside = (F.col(f"n{i}") + 0.5) / (sizes[d] + 1.0)
-        outside = (F.col("n") - F.col(f"n{i}") + 0.5) / (total - sizes[d] + 1.0)
-        telling = F.abs(inside - outside) * F.abs(F.log(inside / outside))
-        for row in counted.orderBy(F.desc(telling), "word").limit(WORDS_PER_DOMAIN).collect():
-            chosen[row["word"]] = row
+    evidence = [_evidence(F.col(f"n{i}"), F.col("n"), sizes[d], total) for i, d in enumerate(domains)]
+    told = counted.filter(functools.reduce(lambda x, y: x | y, [e >= MIN_EVIDENCE for e in evidence]))
+    chosen = {row["word"]: row for row in told.withColumn("hash", F.xxhash64("word")).collect()}
     words, prior = {}, [math.log(sizes[d] / total) for d in domains]
     for word, row in sorted(chosen.items()):
         odds = []
@@ -77,27 +75,80 @@ def fit_classifier(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
             prior[i] += math.log(1 - p)
             odds.append(math.log(p) - math.log(1 - p))
         words[word] = odds
-    return {"domains": domains, "prior": prior, "words": words}
+    return {"domains": domains, "prior": prior, "words": words, "hashes": [chosen[w]["hash"] for w in words]}
+
+
+def _evidence(inside: Column, n: Column, size: int, total: int) -> Column:
+    """G squared of a word that ``inside`` of a domain's ``size`` rows and ``n`` of all ``total`` hold."""
+    cells = [
+        (inside, n * (size / total)), (n - inside, n * (1 - size / total)),
+        (size - inside, (total - n) * (size / total)), (total - size - (n - inside), (total - n) * (1 - size / total)),
+    ]
+    parts = [F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0) for seen, expected in cells]
+    return 2 * functools.reduce(lambda x, y: x + y, parts)
 
 
 def _doubles(values) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
+def _literal(values, kind: str) -> Column:
+    """An array of many values as one constant, which the optimizer makes out of a string."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
+
+
+def _in_slots(model: dict) -> tuple[int, list[int]]:
+    """The number of slots, a power of two, and the model's words in the order of their slots."""
+    hashes = model["hashes"]
+    slots = 1 << (8 * len(hashes)).bit_length()
+    return slots, sorted(range(len(hashes)), key=lambda at: hashes[at] % slots)
+
+
+def _present(words: Column, model: dict) -> Column:
+    """Places of the model's words, in the order of slots, that are among ``words``.
+
+    Words are told by their 64-bit hash and looked up in place: ``keys`` holds the hashes by
+    slot, and ``first`` where each slot begins, so a lookup reads one slot however many words.
+    """
+    hashes = model["hashes"]
+    slots, order = _in_slots(model)
+    begins = [0] * (slots + 1)
+    for h in hashes:
+        begins[h % slots + 1] += 1
+    deepest = max(begins)
+    first, keys = _literal(itertools.accumulate(begins), "int"), _literal([hashes[at] for at in order], "bigint")
+
+    def place(h):
+        slot = F.pmod(h, F.lit(slots)).cast("int")
+        begin = F.get(first, slot)
+        n = F.get(first, slot + 1) - begin
+        # read one by one: a slice of an array copies the whole of it
+        found = [F.when((n > k) & (F.get(keys, begin + k) == h), begin + k) for k in range(deepest)]
+        return F.when(n > 0, F.coalesce(*found))
+
+    places = F.transform(F.transform(words, lambda w: F.xxhash64(w)), place)
+    return F.array_distinct(F.filter(places, lambda at: at.isNotNull()))
+
+
+def _scores(present: Column, model: dict) -> Column:
+    """Per domain the prior and the log-odds of the words at the places ``present``."""
+    odds = list(model["words"].values())
+    sums = []
+    for i, prior in enumerate(model["prior"]):
+        mine = _literal([odds[at][i] for at in _in_slots(model)[1]], "double")
+        sums.append(F.aggregate(present, F.lit(float(prior)), lambda so_far, at: so_far + F.get(mine, at)))
+    return F.array(*sums)
+
+
 def add_posteriors(docs: DataFrame, model: dict) -> DataFrame:
     """Adds n_tokens (long) and posterior (one double per domain of the model, summing to 1)."""
     found = words_of(F.col("text"))
     docs = docs.withColumn("_words", found)
     n_domains = len(model["domains"])
     if model["words"]:
-        words = F.array(*[F.lit(w) for w in model["words"]])
-        present = F.array_intersect("_words", words)
-        table = F.map_from_arrays(words, F.array(*[_doubles(v) for v in model["words"].values()]))
-        scores = F.aggregate(
-            present,
-            _doubles(model["prior"]),
-            lambda sums, w: F.zip_with(sums, F.element_at(table, w), lambda a, b: a + b),
-        )
+        # a column of its own, so that each document's words are looked up once for all domains
+        docs = docs.withColumn("_present", _present(F.col("_words"), model))
+        scores = _scores(F.col("_present"), model)
     else:
         scores = _doubles(model["prior"])
     docs = docs.withColumns({"n_tokens": F.size("_words").cast("long"), "_scores": scores})
@@ -106,7 +157,7 @@ def add_posteriors(docs: DataFrame, model: dict) -> DataFrame:
     whole = functools.reduce(lambda a, b: a + b, [F.col("_parts")[i] for i in range(n_domains)])
     return docs.withColumn("_whole", whole).withColumn(
         "posterior", F.transform("_parts", lambda p: p / F.col("_whole"))
-    ).drop("_words", "_scores", "_parts", "_whole")
+    ).drop("_words", "_present", "_scores", "_parts", "_whole")
 
 
 def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float]) -> tuple[list[list[float]], float]:
@@ -174,7 +225,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> tu
     named = labels.select("doc_id", label_domain(F.col("quality"), F.col("toxic")).alias("domain"))
     model = fit_classifier(docs.select("doc_id", "text").join(named, "doc_id").select("text", "domain"))
     if not model["domains"]:
-        model = {"domains": ["all"], "prior": [0.0], "words": {}}
+        model = {"domains": ["all"], "prior": [0.0], "words": {}, "hashes": []}
     rows = stored(add_posteriors(docs.select("text"), model).select("n_tokens", "posterior"), "posteriors")
     return model, *fit_rates(rows, model["domains"], targets)
 

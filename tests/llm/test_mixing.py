@@ -44,6 +44,31 @@ def test_posteriors_know_the_domains(spark):
     assert best >= 0.98 * len(rows)
 
 
+def test_domains_of_many_words_are_known_on_rows_held_out(spark):
+    """A hundred words tell each domain and a document holds four of them: no few words will do."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(2400):
+        marks = " ".join(f"mark{i % 3}x{k}" for k in rng.choice(100, 4, replace=False))
+        rows.append((i, f"{prose(i, 10)} {marks}", "en", "s", 0))
+    labels = [(i, int(i % 3 == 0), int(i % 3 == 2)) for i in range(2400) if i % 4]
+    found = mixing.mix(docs_df(spark, rows), spark.createDataFrame(labels, LABELS)).collect()
+    for domain in range(3):
+        held = [r for r in found if r["doc_id"] % 4 == 0 and r["doc_id"] % 3 == domain]
+        assert sum(int(np.argmax(r["posterior"])) == domain for r in held) >= 0.97 * len(held)
+
+
+def test_scores_are_sums_of_log_odds(spark):
+    docs, labels = corpus(spark)
+    named = labels.select("doc_id", mixing.label_domain(F.col("quality"), F.col("toxic")).alias("domain"))
+    model = mixing.fit_classifier(docs.join(named, "doc_id").select("text", "domain"))
+    for row in mixing.add_posteriors(docs.select("text"), model).limit(50).collect():
+        odds = [model["words"][w] for w in set(row["text"].lower().split()) if w in model["words"]]
+        scores = np.array(model["prior"]) + np.sum(odds, axis=0)
+        expected = np.exp(scores - scores.max())
+        assert np.allclose(row["posterior"], expected / expected.sum())
+
+
 def test_fit_matches_plain_numpy(spark):
     rng = np.random.default_rng(5)
     p = rng.dirichlet([0.4, 0.4, 0.4], 200)
