@@ -12,6 +12,7 @@ from farewind.llm import (
     mixing,
     mixing_model,
     near_dups,
+    prefix_trie,
     quality,
     sql,
     token_counts,
@@ -80,6 +81,10 @@ def op10_token_counts(
     )
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(_table(spark, sf_dir, "conversations")).drop("k1", "k2")
+
+
 QUERIES = {
     "op1_language": (op1_language, None),
     "op2_near_dups": (op2_near_dups, sql.NEAR_DUPS),
@@ -91,4 +96,5 @@ QUERIES = {
     "op8_main_text": (op8_main_text, None),
     "op9_quality": (op9_quality, sql.QUALITY),
     "op10_token_counts": (op10_token_counts, None),
+    "op12_prefix_trie": (op12_prefix_trie, sql.PREFIX_TRIE),
 }

