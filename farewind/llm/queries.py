@@ -14,6 +14,7 @@ from farewind.llm import (
     near_dups,
     prefix_trie,
     quality,
+    spelling,
     sql,
     token_counts,
     warc,
@@ -81,6 +82,10 @@ def op10_token_counts(
     )
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.document_variants(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(_table(spark, sf_dir, "conversations")).drop("k1", "k2")
 
@@ -96,5 +101,6 @@ QUERIES = {
     "op8_main_text": (op8_main_text, None),
     "op9_quality": (op9_quality, sql.QUALITY),
     "op10_token_counts": (op10_token_counts, None),
+    "op11_spelling": (op11_spelling, sql.SPELLING),
     "op12_prefix_trie": (op12_prefix_trie, sql.PREFIX_TRIE),
 }

@@ -185,3 +185,40 @@ FROM told a JOIN told b ON b.d >= a.d AND b.path[1 : a.d] = a.path
 LEFT JOIN nodes up ON up.d = a.d - 1 AND up.path = a.path[1 : a.d - 1]
 GROUP BY a.d, a.path, a.conv_id, up.conv_id, a.n_convs, a.ends_sha256
 """
+
+SPELLING = f"""
+WITH crc AS (SELECT {_CRC_TABLE} AS crc_table),
+runs AS (
+  SELECT doc_id, translate(u, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\\x{{00C0}}-\\x{{00FF}}]+')) AS u FROM documents)
+  GROUP BY ALL
+), hashed AS (
+  SELECT run, n, {_crc32("coalesce(CAST(doc_id AS VARCHAR), 'None') || ':' || run")} AS h
+  FROM runs, crc WHERE length(run) >= 7
+), v AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, CAST(h % length(run) AS BIGINT))
+    || substr(run, CAST(h % length(run) AS BIGINT) + 2) ELSE run END AS word, CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING length(word) >= 7 AND sum(n) >= 2
+), less AS (
+  SELECT DISTINCT word, i, substr(word, 1, i) || substr(word, i + 2) AS rest
+  FROM (SELECT word, unnest(range(length(word))) AS i FROM v)
+), pairs AS (
+  SELECT a.word AS a, b.word AS b FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT word, rest FROM less WHERE rest IN (SELECT word FROM v)
+  UNION SELECT rest, word FROM less WHERE rest IN (SELECT word FROM v)
+), best AS (
+  SELECT a AS word, count(*) AS n_near,
+    min(struct_pack(m := -v.n, w := encode(b))) AS top
+  FROM pairs JOIN v ON v.word = b GROUP BY a
+), f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN -top.m >= 10 * v.n THEN decode(top.w) END AS form, CASE WHEN -top.m >= 10 * v.n THEN -top.m END AS form_n
+  FROM v LEFT JOIN best USING (word)
+), chain AS (
+  WITH RECURSIVE c AS (
+    SELECT word, word AS root, form AS next FROM f
+    UNION ALL SELECT c.word, f.word, f.form FROM c JOIN f ON f.word = c.next
+  ) SELECT word, root FROM c WHERE next IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN chain USING (word)
+"""
