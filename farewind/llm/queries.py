@@ -16,6 +16,7 @@ from farewind.llm import (
     quality,
     spelling,
     sql,
+    suffix_dedup,
     token_counts,
     warc,
 )
@@ -90,6 +91,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(_table(spark, sf_dir, "conversations")).drop("k1", "k2")
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op1_language": (op1_language, None),
     "op2_near_dups": (op2_near_dups, sql.NEAR_DUPS),
@@ -103,4 +108,5 @@ QUERIES = {
     "op10_token_counts": (op10_token_counts, None),
     "op11_spelling": (op11_spelling, sql.SPELLING),
     "op12_prefix_trie": (op12_prefix_trie, sql.PREFIX_TRIE),
+    "op13_suffix_dedup": (op13_suffix_dedup, None),
 }
