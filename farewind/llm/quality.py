@@ -24,7 +24,9 @@ NOTICE_WORDS = 30
 # What the line rules look for.
 SENTENCE_ENDS = ".!?…\"'”’»)]。！？"
 SEPARATORS = "|»›→•·>"
-SEPARATED = r"(?:\S*\s*[|»›→•·>]\s*\S+){3,}"
+#: Three separators with one run of characters between them, and something behind. No group is
+#: repeated, so the match takes neither stack nor, in a long run, more than its length.
+SEPARATED = r"[|»›→•·>]\s*\S+\s*[|»›→•·>]\s*\S+\s*[|»›→•·>]\s*\S"
 MENU_WORDS = [
     "home", "menu", "login", "log in", "sign in", "sign up", "next", "previous", "back to top",
     "read more", "share",
@@ -147,7 +149,8 @@ def judge_documents(docs: DataFrame, text: str = "text", min_kept_pct: int = MIN
     removed if it fails; a document that keeps less than ``min_kept_pct`` percent of its words
     is rejected. ``base_failed`` (under 20 words, or over 30 percent of them in repeated
     8-word windows) rejects beforehand. A null text has no words and fails; repeated rows are
-    judged alike; columns of ``docs`` with the names of added ones are replaced.
+    judged alike; columns of ``docs`` with the names of added ones are replaced. A line is read
+    whole, however long or full of separators.
     """
     docs = _measured(docs, text, WINDOW)
     failed = (F.col("n_words") < MIN_WORDS) | (

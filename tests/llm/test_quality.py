@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 
 from farewind.llm import quality
 from tests.llm.tables import docs_df, documents, prose
@@ -60,3 +62,21 @@ def test_keep_good(spark):
         assert row["n_chars"] == len(row["text"])
     assert {1, 2, 3, 10, 11, 901} <= {r["doc_id"] for r in kept.collect()}
     assert quality.keep_good(docs_df(spark, [])).collect() == []
+
+
+def test_separated_lines_as_by_the_repeated_group(spark):
+    """The rule is three links of a chain; the pattern in use has no repeated group."""
+    rng = random.Random(4)
+    lines = ["".join(rng.choice("a|> ·") for _ in range(rng.randint(1, 14))) for _ in range(3000)]
+    found = spark.createDataFrame([(line,) for line in lines], "line string").selectExpr("line", f"line rlike r'{quality.SEPARATED}' as hit")
+    for line, hit in found.collect():
+        assert hit == bool(re.search(r"(?:\S*\s*[|»›→•·>]\s*\S+){3,}", line)), line
+
+
+def test_very_long_lines(spark):
+    long = [" | ".join(["word"] * 100_000), "x" * 400_000 + "|||" + "y" * 600_000, "|" * 200_000, "z" * 1_000_000 + "| | |"]
+    docs = docs_df(spark, [(i, prose(1, 60) + "\n" + line, "en", "s", 0) for i, line in enumerate(long)])
+    begun = time.time()
+    kept = {r["doc_id"]: r["clean_text"] for r in quality.judge_documents(docs).select("doc_id", "clean_text").collect()}
+    assert time.time() - begun < 60
+    assert kept[0] == kept[2] == prose(1, 60)
