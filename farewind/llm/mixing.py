@@ -11,8 +11,8 @@ rates set to zero.
 from __future__ import annotations
 
 import functools
-import itertools
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +27,12 @@ SAMPLE_ROWS = 20_000
 #: degree of freedom: 20 comes by chance once in 130,000 words) that its tie to a domain must reach.
 MIN_DOCUMENTS, MIN_EVIDENCE = 5, 20.0
 MAX_STEPS, TOLERANCE = 200, 1e-4
+#: Steps after which the rates are stored, and rows that one file of them holds.
+STORED_STEPS, STATE_ROWS = 10, 100_000
+#: Log-odds are whole numbers of this part, so that their sums do not depend on the order.
+SCALE = 1 << 32
 
+_KEY = ("_k1", "_k2")
 _BLANK = r"[\x20\x09-\x0D]+"
 
 
@@ -43,12 +48,13 @@ def label_domain(quality: Column, toxic: Column) -> Column:
 
 
 def fit_classifier(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
-    """Priors, and for every informative word the log-odds of its presence in each domain.
+    """Domains, their priors, and a stored table of the telling words.
 
     ``labelled`` has text and domain. Rows with a null in either are not used. A hash of the
     text chooses ``sample_rows`` rows on average if there are more. The words are all that
     MIN_DOCUMENTS rows hold and whose tie to a domain is evident (MIN_EVIDENCE), however many:
-    the others have no ascertained odds, and their chance odds add up over a long text.
+    the others have no ascertained odds, and their chance odds add up over a long text. The table
+    has, by word, the log-odds of its presence in each domain (w0, w1, ... in SCALE parts).
     """
     usable = labelled.filter(F.col("text").isNotNull() & F.col("domain").isNotNull()).select("text", "domain")
     n = usable.count()
@@ -58,7 +64,7 @@ def fit_classifier(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     rows = stored(usable.select("domain", F.array_distinct(words_of(F.col("text"))).alias("words")), "labelled")
     sizes = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
     if not sizes:
-        return {"domains": [], "prior": [], "words": {}, "hashes": []}
+        return {"domains": ["all"], "prior": [0.0], "words": None}
     domains = sorted(sizes)
     counted = rows.select("domain", F.explode("words").alias("word")).groupBy("word").agg(
         F.count("*").alias("n"), *[F.count_if(F.col("domain") == d).alias(f"n{i}") for i, d in enumerate(domains)]
@@ -66,16 +72,17 @@ def fit_classifier(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> dict:
     total = sum(sizes.values())
     evidence = [_evidence(F.col(f"n{i}"), F.col("n"), sizes[d], total) for i, d in enumerate(domains)]
     told = counted.filter(functools.reduce(lambda x, y: x | y, [e >= MIN_EVIDENCE for e in evidence]))
-    chosen = {row["word"]: row for row in told.withColumn("hash", F.xxhash64("word")).collect()}
-    words, prior = {}, [math.log(sizes[d] / total) for d in domains]
-    for word, row in sorted(chosen.items()):
-        odds = []
-        for i, d in enumerate(domains):
-            p = (row[f"n{i}"] + 0.5) / (sizes[d] + 1.0)
-            prior[i] += math.log(1 - p)
-            odds.append(math.log(p) - math.log(1 - p))
-        words[word] = odds
-    return {"domains": domains, "prior": prior, "words": words, "hashes": [chosen[w]["hash"] for w in words]}
+    chance = [(F.col(f"n{i}") + 0.5) / (sizes[d] + 1.0) for i, d in enumerate(domains)]
+    words = stored(
+        told.select(
+            "word", *[F.round((F.log(p) - F.log(1 - p)) * SCALE).cast("long").alias(f"w{i}") for i, p in enumerate(chance)],
+            *[F.log(1 - p).alias(f"absent{i}") for i, p in enumerate(chance)],
+        ),
+        "words",
+    )
+    absent = words.agg(*[F.coalesce(F.sum(f"absent{i}"), F.lit(0.0)) for i in range(len(domains))]).first()
+    prior = [math.log(sizes[d] / total) + absent[i] for i, d in enumerate(domains)]
+    return {"domains": domains, "prior": prior, "words": words.drop(*[f"absent{i}" for i in range(len(domains))])}
 
 
 def _evidence(inside: Column, n: Column, size: int, total: int) -> Column:
@@ -92,85 +99,53 @@ def _doubles(values) -> Column:
     return F.array(*[F.lit(float(v)) for v in values])
 
 
-def _literal(values, kind: str) -> Column:
-    """An array of many values as one constant, which the optimizer makes out of a string."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast(f"array<{kind}>")
-
+def _keyed(text: Column) -> list[Column]:
+    """Two 64-bit hashes that stand for a text."""
+    body = F.coalesce(text, F.lit(""))
+    return [F.xxhash64(F.lit(k), body).alias(name) for k, name in enumerate(_KEY)]
 
-def _in_slots(model: dict) -> tuple[int, list[int]]:
-    """The number of slots, a power of two, and the model's words in the order of their slots."""
-    hashes = model["hashes"]
-    slots = 1 << (8 * len(hashes)).bit_length()
-    return slots, sorted(range(len(hashes)), key=lambda at: hashes[at] % slots)
 
+def text_posteriors(docs: DataFrame, model: dict) -> DataFrame:
+    """Of each distinct text of ``docs`` (text): its key, n_rows, n_tokens and posterior; stored.
 
-def _present(words: Column, model: dict) -> Column:
-    """Places of the model's words, in the order of slots, that are among ``words``.
-
-    Words are told by their 64-bit hash and looked up in place: ``keys`` holds the hashes by
-    slot, and ``first`` where each slot begins, so a lookup reads one slot however many words.
+    The distinct words of a row meet the model's words in a join, and their log-odds are summed by
+    text: before the shuffle there is one row a text, however many words. Every row also has the
+    empty word, which no text has, to be counted by. Sums are of whole numbers, hence the same in
+    any order. posterior has one double per domain of the model, summing to 1.
     """
-    hashes = model["hashes"]
-    slots, order = _in_slots(model)
-    begins = [0] * (slots + 1)
-    for h in hashes:
-        begins[h % slots + 1] += 1
-    deepest = max(begins)
-    first, keys = _literal(itertools.accumulate(begins), "int"), _literal([hashes[at] for at in order], "bigint")
-
-    def place(h):
-        slot = F.pmod(h, F.lit(slots)).cast("int")
-        begin = F.get(first, slot)
-        n = F.get(first, slot + 1) - begin
-        # read one by one: a slice of an array copies the whole of it
-        found = [F.when((n > k) & (F.get(keys, begin + k) == h), begin + k) for k in range(deepest)]
-        return F.when(n > 0, F.coalesce(*found))
-
-    places = F.transform(F.transform(words, lambda w: F.xxhash64(w)), place)
-    return F.array_distinct(F.filter(places, lambda at: at.isNotNull()))
-
-
-def _scores(present: Column, model: dict) -> Column:
-    """Per domain the prior and the log-odds of the words at the places ``present``."""
-    odds = list(model["words"].values())
-    sums = []
-    for i, prior in enumerate(model["prior"]):
-        mine = _literal([odds[at][i] for at in _in_slots(model)[1]], "double")
-        sums.append(F.aggregate(present, F.lit(float(prior)), lambda so_far, at: so_far + F.get(mine, at)))
-    return F.array(*sums)
-
-
-def add_posteriors(docs: DataFrame, model: dict) -> DataFrame:
-    """Adds n_tokens (long) and posterior (one double per domain of the model, summing to 1)."""
+    k = range(len(model["domains"]))
     found = words_of(F.col("text"))
-    docs = docs.withColumn("_words", found)
-    n_domains = len(model["domains"])
-    if model["words"]:
-        # a column of its own, so that each document's words are looked up once for all domains
-        docs = docs.withColumn("_present", _present(F.col("_words"), model))
-        scores = _scores(F.col("_present"), model)
-    else:
-        scores = _doubles(model["prior"])
-    docs = docs.withColumns({"n_tokens": F.size("_words").cast("long"), "_scores": scores})
-    parts = [F.exp(F.col("_scores")[i] - F.array_max("_scores")) for i in range(n_domains)]
-    docs = docs.withColumn("_parts", F.array(*parts))
-    whole = functools.reduce(lambda a, b: a + b, [F.col("_parts")[i] for i in range(n_domains)])
-    return docs.withColumn("_whole", whole).withColumn(
-        "posterior", F.transform("_parts", lambda p: p / F.col("_whole"))
-    ).drop("_words", "_present", "_scores", "_parts", "_whole")
+    rows = docs.select(*_keyed(F.col("text")), found.alias("found"))
+    rows = rows.select(
+        *_KEY, F.size("found").cast("long").alias("n_tokens"),
+        F.explode(F.array_append(F.array_distinct("found"), F.lit(""))).alias("word"),
+    )
+    marked = docs.sparkSession.range(1).select(F.lit("").alias("word"), *[F.lit(0).cast("long").alias(f"w{i}") for i in k])
+    words = marked if model["words"] is None else stored(model["words"].unionByName(marked), "words")
+    summed = rows.join(words, "word").groupBy(*_KEY).agg(
+        F.count_if(F.col("word") == "").alias("n_rows"), F.max("n_tokens").alias("n_tokens"),
+        *[F.sum(f"w{i}").alias(f"w{i}") for i in k],
+    )
+    scores = F.array(*[F.lit(float(p)) + F.col(f"w{i}") / F.col("n_rows") / float(SCALE) for i, p in zip(k, model["prior"])])
+    parts = F.transform("_scores", lambda x: F.exp(x - F.array_max("_scores")))
+    told = summed.withColumn("_scores", scores).withColumn("_parts", parts)
+    whole = functools.reduce(lambda x, y: x + y, [F.col("_parts")[i] for i in k])
+    posterior = F.array(*[F.col("_parts")[i] / whole for i in k])
+    return stored(told.select(*_KEY, "n_rows", "n_tokens", posterior.alias("posterior")), "posteriors")
 
 
 def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float]) -> tuple[list[list[float]], float]:
     """The steps of the fit and the step size, from which ``rate_of`` makes every row's rate.
 
-    ``rows`` has n_tokens and posterior. ``targets`` are weights; their sum need not be 1.
+    ``rows`` has n_tokens, posterior and n_rows (how many alike it stands for). ``targets`` are weights; their sum need not be 1.
     A step holds, per domain, the error at that time divided by the domain's tokens at rate 1,
     and its momentum: the next slope is taken ahead of the rates, along the way they came. The
     budget of tokens is that of rate 1 for all. A domain without tokens, or
-    without a target, is left out of the errors.
+    without a target, is left out of the errors. Rates are stored every STORED_STEPS steps, so that
+    a pass replays a few steps only. Warns if the targets are not met after MAX_STEPS.
     """
     k = range(len(domains))
-    tokens = [F.col("n_tokens") * F.col("posterior")[i] for i in k]
+    tokens = [F.col("n_tokens") * F.col("n_rows") * F.col("posterior")[i] for i in k]
     sums = rows.agg(
         *[F.coalesce(F.sum(t), F.lit(0.0)).alias(f"s{i}") for i, t in enumerate(tokens)],
         *[F.coalesce(F.sum(tokens[i] * F.col("posterior")[j]), F.lit(0.0)).alias(f"g{i}_{j}") for i in k for j in k],
@@ -183,24 +158,38 @@ def fit_rates(rows: DataFrame, domains: list[str], targets: dict[str, float]) ->
     bound = max((sum(sums[f"g{i}_{j}"] / math.sqrt(size[i] * size[j]) for j in active) for i in active), default=1.0)
     pace = 1.0 / bound
     steps: list[list[float]] = []
-    for number in range(MAX_STEPS):
-        rate, ahead = _rate_and_ahead(F.col("posterior"), steps, pace)
-        at = rows.select("n_tokens", "posterior", rate.alias("rate"), ahead.alias("ahead"))
+    state, done = rows.select("n_tokens", "n_rows", "posterior", F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead")), 0
+    n_files = max(1, math.ceil(rows.count() / STATE_ROWS))
+    for number in range(MAX_STEPS + 1):
+        rate, ahead = _rate_and_ahead(F.col("posterior"), steps[done:], pace, ("rate", "ahead"))
+        at = state.select("n_tokens", "n_rows", "posterior", rate.alias("rate"), ahead.alias("ahead"))
+        if number % STORED_STEPS == 0:
+            state, done = stored(at.coalesce(n_files), "rates"), number
+            at = state
         now = at.agg(*[
             F.coalesce(F.sum(tokens[i] * F.col(c)), F.lit(0.0)).alias(f"{c}{i}") for c in ("rate", "ahead") for i in k
         ]).first()
         if all(abs(now[f"rate{i}"] - goal[i]) <= TOLERANCE * goal[i] for i in active):
-            break
-        errors = [(now[f"ahead{i}"] - goal[i]) / size[i] if i in active else 0.0 for i in k]
-        steps.append([*errors, number / (number + 3)])
+            return steps, pace
+        if number < MAX_STEPS:
+            errors = [(now[f"ahead{i}"] - goal[i]) / size[i] if i in active else 0.0 for i in k]
+            steps.append([*errors, number / (number + 3)])
+    missed = {domains[i]: round(now[f"rate{i}"] / goal[i], 4) for i in active}
+    warnings.warn(f"targets not met after {MAX_STEPS} steps; tokens as a part of the target: {missed}", stacklevel=2)
     return steps, pace
 
 
-def _rate_and_ahead(posterior: Column, steps: list[list[float]], pace: float) -> tuple[Column, Column]:
-    """The rate after all steps, and the place ahead of it where the next slope is taken."""
-    start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
+def _rate_and_ahead(
+    posterior: Column, steps: list[list[float]], pace: float, start: tuple[str, str] | None = None
+) -> tuple[Column, Column]:
+    """The rate after all steps, and the place ahead of it where the next slope is taken.
+
+    ``start`` names the columns that hold both beforehand; without it, both are 1.
+    """
+    before = [F.col(c) for c in start] if start else [F.lit(1.0), F.lit(1.0)]
     if not steps:
-        return F.lit(1.0), F.lit(1.0)
+        return tuple(before)
+    start = F.struct(before[0].alias("rate"), before[1].alias("ahead"))
     moves = F.array(*[_doubles(step) for step in steps])
 
     def move(state, step):
@@ -220,14 +209,13 @@ def rate_of(posterior: Column, steps: list[list[float]], pace: float) -> Column:
     return _rate_and_ahead(posterior, steps, pace)[0]
 
 
-def _fitted(docs: DataFrame, labels: DataFrame, targets: dict[str, float]) -> tuple[dict, list[list[float]], float]:
-    """The classifier, and the steps and the pace of the fitted rates."""
+def text_rates(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
+    """Of each distinct text of ``docs``: its key, n_tokens, posterior and rate. Runs jobs when called."""
     named = labels.select("doc_id", label_domain(F.col("quality"), F.col("toxic")).alias("domain"))
     model = fit_classifier(docs.select("doc_id", "text").join(named, "doc_id").select("text", "domain"))
-    if not model["domains"]:
-        model = {"domains": ["all"], "prior": [0.0], "words": {}, "hashes": []}
-    rows = stored(add_posteriors(docs.select("text"), model).select("n_tokens", "posterior"), "posteriors")
-    return model, *fit_rates(rows, model["domains"], targets)
+    texts = text_posteriors(docs, model)
+    steps, pace = fit_rates(texts, model["domains"], targets or TARGETS)
+    return stored(texts.select(*_KEY, "n_tokens", "posterior", rate_of(F.col("posterior"), steps, pace).alias("rate")), "rates")
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
@@ -240,20 +228,22 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     labels that repeat a doc_id count once each. Columns of ``docs`` with the names of added
     ones are replaced. Runs jobs when called.
 
-    Posteriors are worked out twice, once for the fit and once for the result: that moves no
-    text, while a join of the fitted rates to the documents would.
+    Words are looked up once: the rates come to the documents by a join on two hashes of the
+    text. Both sides are tables, so Spark can split a text that very many rows hold; the text
+    itself only moves if it is asked for.
     """
-    model, steps, pace = _fitted(docs, labels, targets or TARGETS)
+    added = ("n_tokens", "posterior", "rate", "copies")
+    rates = text_rates(docs.select("doc_id", "text"), labels, targets)
     unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 40)) / float(1 << 40)
-    told = add_posteriors(docs, model).withColumn("rate", rate_of(F.col("posterior"), steps, pace))
-    return told.withColumn("copies", F.floor(F.col("rate") + unit).cast("long"))
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
+    keyed = docs.select(*kept, *_keyed(F.col("text")), unit.alias("_unit"))
+    told = keyed.join(rates, list(_KEY)).withColumn("copies", F.floor(F.col("rate") + F.col("_unit")).cast("long"))
+    return told.drop(*_KEY, "_unit")
 
 
 def draw(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """The rows of ``docs`` that are drawn, with rate and copies (how often each is drawn)."""
     added = ("n_tokens", "posterior", "rate", "copies")
     names = [c for c in docs.columns if c not in added]
-    # the number of the row keeps Spark from moving the filter below the posteriors, where
-    # they would be worked out anew
-    mixed = mix(docs, labels, targets).withColumn("_row", F.monotonically_increasing_id())
-    return mixed.filter("copies > 0 and _row >= 0").select(*[F.col(f"`{c}`") for c in names], "rate", "copies")
+    drawn = mix(docs, labels, targets).filter("copies > 0")
+    return drawn.select(*[F.col(f"`{c}`") for c in names], "rate", "copies")

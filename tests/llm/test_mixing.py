@@ -62,18 +62,47 @@ def test_scores_are_sums_of_log_odds(spark):
     docs, labels = corpus(spark)
     named = labels.select("doc_id", mixing.label_domain(F.col("quality"), F.col("toxic")).alias("domain"))
     model = mixing.fit_classifier(docs.join(named, "doc_id").select("text", "domain"))
-    for row in mixing.add_posteriors(docs.select("text"), model).limit(50).collect():
-        odds = [model["words"][w] for w in set(row["text"].lower().split()) if w in model["words"]]
-        scores = np.array(model["prior"]) + np.sum(odds, axis=0)
+    words = {r["word"]: [r[f"w{i}"] / mixing.SCALE for i in range(3)] for r in model["words"].collect()}
+    assert {"splendid", "meh", "trash"} <= set(words)
+    by_key = {(r["_k1"], r["_k2"]): r for r in mixing.text_posteriors(docs, model).collect()}
+    for row in docs.select("text", *mixing._keyed(F.col("text"))).limit(50).collect():
+        own = row["text"].lower().split()
+        scores = np.array(model["prior"]) + np.sum([words[w] for w in set(own) if w in words], axis=0)
         expected = np.exp(scores - scores.max())
-        assert np.allclose(row["posterior"], expected / expected.sum())
+        found = by_key[row["_k1"], row["_k2"]]
+        assert np.allclose(found["posterior"], expected / expected.sum())
+        assert (found["n_tokens"], found["n_rows"]) == (len(own), 1)
+
+
+def test_copies_of_a_text_are_one_text(spark):
+    docs, labels = corpus(spark, 60)
+    once = {r["doc_id"]: r for r in mixing.mix(docs, labels).collect()}
+    extra = docs.filter("doc_id = 1").withColumn("doc_id", F.explode(F.sequence(F.lit(1000), F.lit(1050))))
+    again = mixing.mix(docs.unionByName(extra.select(docs.columns)), labels).collect()
+    assert len(again) == 111
+    for r in again:
+        assert np.allclose(r["posterior"], once[r["doc_id"] if r["doc_id"] < 1000 else 1]["posterior"])
+
+
+def test_plan_does_not_grow_with_the_vocabulary(spark):
+    rows = [(i, " ".join(f"w{i % 3}x{k}" for k in range(3000)), "en", "s", 0) for i in range(90)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 0), int(i % 3 == 2)) for i in range(90)], LABELS)
+    plan = mixing.mix(docs_df(spark, rows), labels)._jdf.queryExecution().toString()
+    assert len(plan) < 100_000
+
+
+def test_missed_targets_are_told(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_STEPS", 0)
+    docs, labels = corpus(spark)
+    with pytest.warns(UserWarning, match="not met"):
+        mixing.mix(docs, labels)
 
 
 def test_fit_matches_plain_numpy(spark):
     rng = np.random.default_rng(5)
     p = rng.dirichlet([0.4, 0.4, 0.4], 200)
     tokens = rng.integers(0, 500, 200)
-    rows = spark.createDataFrame([(int(t), [float(x) for x in q]) for t, q in zip(tokens, p)], "n_tokens long, posterior array<double>")
+    rows = spark.createDataFrame([(int(t), [float(x) for x in q]) for t, q in zip(tokens, p)], "n_tokens long, posterior array<double>").withColumn("n_rows", F.lit(1))
     names, targets = ["a", "b", "c"], {"a": 0.7, "b": 0.25, "c": 0.05}
     steps, pace = mixing.fit_rates(rows, names, targets)
     found = np.array([r[0] for r in rows.select(mixing.rate_of(F.col("posterior"), steps, pace)).collect()])
