@@ -8,10 +8,14 @@ the commits; a key occurs at most once in a commit unless ``order`` says how to
 Tables without a unique key are kept by row: ``append_commit`` gives every inserted row a
 ``_row_id``, update and delete rows carry the id of the row they replace, and the id is the
 key (``keys=[ROW_ID]``) of every read. Nothing is lost then, whatever keys repeat or are null.
+
+A finished commit has a note (its token, times and numbers of rows). Histories are read from the
+notes alone, and states from the folders that the notes say can matter.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
@@ -22,12 +26,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from farewind.scratch import fits_broadcast, path_exists, stored
+from farewind.scratch import fits_broadcast, folder_names, move_folder, path_exists, stored
 
 ROW_ID = "_row_id"
 
 CHANGE_ORDER = ("_commit_ts", "_version")
 _LOG_COLUMNS = ("_version", "_commit_ts", "_op")
+_ROWS_OF = {"I": "rows_inserted", "U": "rows_updated", "D": "rows_deleted"}
+_NOTE_COLUMNS = ["first_ts", "last_ts", *_ROWS_OF.values()]
+_NOTE_SCHEMA = "version long, kind string, token string, first_ts timestamp, last_ts timestamp, " + ", ".join(
+    f"{name} long" for name in _ROWS_OF.values()
+)
+# Folders of a log that readers skip: notes of finished commits, and rows not yet moved into it.
+_NOTES, _APART = "_commits", "_apart"
 
 # The look-back periods, in hours, of the price comparison.
 LOOK_BACK_HOURS = (1, 2, 3, 4, 6, 8, 10, 12, 14, 16, 18, 20)
@@ -208,43 +219,120 @@ def append_commit(
     op: str | None = None,
     token: str | None = None,
     row_ids: bool = False,
+    kind: str = "commit",
 ) -> None:
     """Write rows as commit ``version`` of the change log at ``path``.
 
-    A commit is one directory, written as a whole: repeating it after a failure replaces it.
-    ``token`` tells a repetition from another commit of the same number, which is an error;
-    by default it is a fingerprint of the rows (one more pass over them). ``op`` is for rows
-    without their own ``_op``. With ``row_ids``, or if the rows have a ``_row_id``, rows
-    without an id get one from the version and their place, fixed by being written.
+    The rows are computed once, into a folder apart; that folder is then moved into the log, and a
+    note with the commit's token, times and numbers of rows is written. A commit with a note is
+    finished: repeating it writes nothing, so its row ids stay, and a commit with another token
+    is an error. Without a note it is replaced, unless a later commit exists, which is an error.
+    ``token`` is a fingerprint of the rows by default, whatever their order. ``op`` is for rows
+    without their own ``_op``. With ``row_ids``, or if the rows have a ``_row_id``, rows without
+    an id get one from the version and their place, fixed by being written.
     """
-    spark = rows.sparkSession
+    spark, version = rows.sparkSession, int(version)
     if op is not None:
         rows = rows.withColumn("_op", F.lit(op))
-    _claim(spark, path, version, token or _fingerprint(rows))
+    noted = _noted_token(spark, path, version)
+    if noted is not None:
+        if noted != (token or _fingerprint(rows, version)):
+            raise ValueError(f"version {version} is another commit")
+        return
+    if any(other > version for other in _versions(spark, path)):
+        raise ValueError(f"a commit after version {version} exists")
     if row_ids or ROW_ID in rows.columns:
         known = F.col(ROW_ID) if ROW_ID in rows.columns else F.lit(None).cast("string")
-        fresh = F.concat(F.lit(f"{int(version)}-"), F.monotonically_increasing_id().cast("string"))
+        fresh = F.concat(F.lit(f"{version}-"), F.monotonically_increasing_id().cast("string"))
         rows = rows.withColumn(ROW_ID, F.coalesce(known, fresh))
     stamped = rows.withColumn("_commit_ts", moment(at).cast("timestamp"))
-    stamped.write.mode("overwrite").parquet(f"{path}/_version={int(version)}")
+    apart = f"{path}/{_APART}/{version}-{uuid.uuid4().hex}"
+    stamped.write.parquet(apart)
+    written = spark.read.schema(stamped.schema).parquet(apart)
+    token = token or _fingerprint(written, version)
+    note = written.agg(*_summary()).select(
+        F.lit(version).cast("long").alias("version"), F.lit(kind).alias("kind"), F.lit(token).alias("token"), "*"
+    )
+    note = stored(note, "note")
+    move_folder(spark, apart, f"{path}/_version={version}")
+    note.coalesce(1).write.mode("overwrite").parquet(f"{path}/{_NOTES}/{version}")
+
+
+def import_log(changes: DataFrame, path: str) -> None:
+    """Write changes that have ``_version``, ``_commit_ts`` and ``_op`` as a new log, with its notes.
+
+    One pass over the rows and one over three columns of what was written; a crowded commit is
+    written by several tasks.
+    """
+    spark = changes.sparkSession
+    if _versions(spark, path):
+        raise ValueError(f"there is a log at {path}")
+    changes.hint("rebalance", "_version").write.partitionBy("_version").parquet(path)
+    kinds = T.StructType([changes.schema[name] for name in _LOG_COLUMNS])
+    notes = read_changes(spark, path, kinds).groupBy(F.col("_version").cast("long").alias("version")).agg(*_summary())
+    notes = notes.select("version", F.lit("commit").alias("kind"), F.lit(None).cast("string").alias("token"), *_NOTE_COLUMNS)
+    notes.coalesce(1).write.parquet(f"{path}/{_NOTES}/imported")
+
+
+def append_baseline(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    version: int,
+    at: Column | str | datetime,
+    order: Sequence[str] = CHANGE_ORDER,
+) -> None:
+    """A commit that holds the whole state, so that later reads by the notes may begin there.
+
+    ``at`` must not lie before any commit, or states in between would read wrongly.
+    """
+    late = commit_notes(spark, path).filter(F.col("last_ts") > moment(at).cast("timestamp"))
+    if not late.isEmpty():
+        raise ValueError("a commit is later than the baseline")
+    state = as_of(read_changes(spark, path, schema), keys, order=order)
+    append_commit(state, path, version, at, op="I", token=f"baseline {version}", kind="baseline")
+
+
+def commit_notes(spark: SparkSession, path: str) -> DataFrame:
+    """One row per finished commit: version, kind, token, first_ts, last_ts and rows by kind."""
+    if not folder_names(spark, f"{path}/{_NOTES}"):
+        return spark.createDataFrame([], _NOTE_SCHEMA)
+    return spark.read.schema(_NOTE_SCHEMA).option("recursiveFileLookup", "true").parquet(f"{path}/{_NOTES}")
+
 
+def _summary() -> list[Column]:
+    counts = [F.count_if(F.col("_op") == op).alias(name) for op, name in _ROWS_OF.items()]
+    return [F.min("_commit_ts").alias("first_ts"), F.max("_commit_ts").alias("last_ts"), *counts]
 
-def _fingerprint(rows: DataFrame) -> str:
-    columns = [F.col(f"`{name}`") for name in sorted(rows.columns)]
+
+def _fingerprint(rows: DataFrame, version: int) -> str:
+    """Of the rows in any order, without the ids that this commit deals and its time."""
+    columns = [F.col(f"`{name}`") for name in sorted(rows.columns) if name not in (ROW_ID, "_commit_ts")]
+    if ROW_ID in rows.columns:
+        columns.append(F.when(~F.col(ROW_ID).startswith(f"{version}-"), F.col(ROW_ID)))
     row = rows.agg(
         F.count(F.lit(1)), F.bit_xor(F.xxhash64(*columns)), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
     ).first()
     return "-".join(map(str, row))
 
 
-def _claim(spark: SparkSession, path: str, version: int, token: str) -> None:
-    """Note which commit has the number; readers skip the folder of these notes."""
-    note = f"{path}/_tokens/{int(version)}"
-    if path_exists(spark, f"{note}/_SUCCESS"):
-        if spark.read.text(note).first()["value"] != token:
-            raise ValueError(f"version {version} is another commit")
-    else:
-        spark.createDataFrame([(token,)], "value string").coalesce(1).write.mode("overwrite").text(note)
+def _noted_token(spark: SparkSession, path: str, version: int) -> str | None:
+    """The token of a finished commit; a commit of an imported log has an empty one."""
+    notes = folder_names(spark, f"{path}/{_NOTES}")
+    if str(version) in notes:
+        if not path_exists(spark, f"{path}/{_NOTES}/{version}/_SUCCESS"):
+            return None
+        return spark.read.schema(_NOTE_SCHEMA).parquet(f"{path}/{_NOTES}/{version}").first()["token"]
+    if "imported" in notes:
+        imported = spark.read.schema(_NOTE_SCHEMA).parquet(f"{path}/{_NOTES}/imported")
+        return None if imported.filter(F.col("version") == version).isEmpty() else ""
+    return None
+
+
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    names = folder_names(spark, path)
+    return [int(name.partition("=")[2]) for name in names if name.startswith("_version=")]
 
 
 def compact(changes: DataFrame, keys: Sequence[str], keep_after: Column | str | datetime, order: Sequence[str] = CHANGE_ORDER) -> DataFrame:
@@ -289,6 +377,35 @@ def as_of(
     return rows.select(*_in_table_order(changes, keys, values))
 
 
+def read_state(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    at: Column | str | datetime | None = None,
+    order: Sequence[str] = CHANGE_ORDER,
+) -> DataFrame:
+    """``as_of`` of the log at ``path``, listing only the commits that can matter.
+
+    The notes tell which commits began after ``at``, and the newest baseline that was complete by
+    then: folders of the former, and of all before the latter, are not even listed. The driver
+    gets one number per commit since the baseline. Only finished commits are read.
+    """
+    notes = commit_notes(spark, path)
+    if at is not None:
+        notes = notes.filter(F.col("first_ts") <= moment(at).cast("timestamp"))
+    whole = F.col("kind") == "baseline"
+    if at is not None:
+        whole = whole & (F.col("last_ts") <= moment(at).cast("timestamp"))
+    begin = notes.filter(whole).agg(F.max("version")).first()[0]
+    wanted = notes if begin is None else notes.filter(F.col("version") >= begin)
+    folders = [f"{path}/_version={row['version']}" for row in wanted.select("version").distinct().collect()]
+    if not folders:
+        return as_of(spark.createDataFrame([], schema), keys, at, order)
+    changes = spark.read.schema(schema).option("basePath", path).parquet(*sorted(folders))
+    return as_of(changes.select(*schema.names), keys, at, order)
+
+
 def states_at(
     changes: DataFrame,
     keys: Sequence[str],
@@ -380,6 +497,21 @@ def history(changes: DataFrame) -> DataFrame:
     )
 
 
+def log_history(spark: SparkSession, path: str, check: T.StructType | None = None) -> DataFrame:
+    """``history`` of the log at ``path`` from the notes of its commits, without reading its data.
+
+    ``check`` is the log's schema, if the notes are to be compared with the data: a difference is
+    an error, raised here.
+    """
+    told = commit_notes(spark, path).select("version", F.col("last_ts").alias("timestamp"), *_ROWS_OF.values())
+    if check is not None:
+        counted = history(read_changes(spark, path, check)).withColumn("version", F.col("version").cast("long"))
+        wrong = told.exceptAll(counted).unionByName(counted.exceptAll(told))
+        if not wrong.isEmpty():
+            raise ValueError("the notes differ from the data")
+    return told
+
+
 def moment(at: Column | str | datetime) -> Column:
     """A time given as a column, text or Python value."""
     if isinstance(at, Column):

@@ -11,9 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from farewind.functions import price_band
-from farewind.operators.ordering import with_rank
+from farewind.operators.ordering import split_crowded, with_rank
 from farewind.scratch import ensure_checkpoint_dir, stored
 
+#: Fares of a user that one task may meet recommendations with, and pieces of a larger user.
+MAX_USER_FARES, SALTS = 1_000_000, 64
+# Copies of one fare that are dealt together.
+_COPY_BLOCK = 1000
+
 NULL_POLICIES = ("error", "skip", "keep")
 
 
@@ -207,6 +212,72 @@ def recommendation_arrays(model: ALSModel, labels: LabelIndex, k: int = 10) -> D
     return labels_for(nested, labels, "ridx", "route")
 
 
+# --- checks of a model -------------------------------------------------------------------
+
+
+def best_routes_exact(model: ALSModel, users: DataFrame, k: int = 10, block: int = 512) -> DataFrame:
+    """(userId, rank, ridx, rating) of the users in ``users`` (userId), by brute force.
+
+    Every factor of an item is multiplied with the factors of all these users, in blocks: a block
+    of users is one row, and every item meets each block once. Of a block of items only the best
+    ``k`` per user go on, so no task ever has more than a block of them. Ties go to the smaller index.
+    For a stated set of users: the work is their number times that of the items.
+    """
+    chosen = model.userFactors.join(users.select(F.col("userId").alias("id")).distinct(), "id", "left_semi")
+    chosen = stored(chosen, "users")
+    n_blocks = max(1, -(-chosen.count() // block))
+    packed = chosen.groupBy(F.pmod(F.xxhash64("id"), F.lit(n_blocks)).alias("__block")).agg(
+        F.collect_list(F.struct("id", "features")).alias("__users")
+    )
+    items = model.itemFactors.select(F.col("id").alias("ridx"), F.col("features").alias("__item"))
+    items = items.withColumn("__block", F.explode(F.expr(f"sequence(0L, {n_blocks - 1}L)")))
+    met = items.join(packed, "__block").select("ridx", "__item", F.explode("__users").alias("__user"))
+    rating = F.aggregate(
+        F.zip_with("__user.features", "__item", lambda a, b: a.cast("double") * b), F.lit(0.0), lambda so_far, x: so_far + x
+    )
+    scored = met.select(F.col("__user.id").alias("userId"), "ridx", rating.alias("rating"))
+    entry = F.struct((-F.col("rating")).alias("cost"), "ridx")
+    part = scored.groupBy("userId", F.pmod("ridx", F.lit(1 + model.itemFactors.count() // block)).alias("__part"))
+    best = part.agg(F.slice(F.sort_array(F.collect_list(entry)), 1, k).alias("__best"))
+    best = best.groupBy("userId").agg(F.slice(F.sort_array(F.flatten(F.collect_list("__best"))), 1, k).alias("__best"))
+    flat = best.select("userId", F.posexplode("__best").alias("__place", "__entry"))
+    return flat.select(
+        "userId", (F.col("__place") + 1).alias("rank"), F.col("__entry.ridx").alias("ridx"),
+        (-F.col("__entry.cost")).alias("rating"),
+    )
+
+
+def fit_residuals(model: ALSModel, ratings: DataFrame, reg: float = 0.01) -> DataFrame:
+    """(userId, n, residual): how far each user's factors are from solving their equations.
+
+    The last half step of the solver fits the users to the items' final factors: a user's factors
+    u solve sum(v (v·u - r)) + reg * n * u = 0 over the user's n ratings r and the items' factors v.
+    The residual is the length of the left side against that of sum(v r); rounding alone is left
+    if the fit is right. Sums are combined on the map side, so a crowded user is no one task's.
+    """
+    rows = ratings.select(
+        F.col("userId").cast("int").alias("userId"), F.col("route_index").cast("int").alias("ridx"),
+        F.col("rating").cast("float").cast("double").alias("r"),
+    ).na.drop()
+    users = model.userFactors.select(F.col("id").alias("userId"), F.col("features").cast("array<double>").alias("u"))
+    items = model.itemFactors.select(F.col("id").alias("ridx"), F.col("features").cast("array<double>").alias("v"))
+    # each distinct (user, item, rating) once, with its number of rows
+    alike = rows.groupBy("userId", "ridx", "r").agg(F.count("*").alias("rows"))
+    met = alike.join(items, "ridx").join(users, "userId")
+    dot = F.aggregate(F.zip_with("u", "v", lambda a, b: a * b), F.lit(0.0), lambda so_far, x: so_far + x)
+    met = met.withColumns({"off": (dot - F.col("r")) * F.col("rows"), "pull": F.col("r") * F.col("rows")})
+    k = range(model.rank)
+    sums = met.groupBy("userId").agg(
+        F.sum("rows").alias("n"), F.first("u").alias("u"),
+        *[F.sum(F.col("v")[i] * F.col("off")).alias(f"off{i}") for i in k],
+        *[F.sum(F.col("v")[i] * F.col("pull")).alias(f"pull{i}") for i in k],
+    )
+    left = [F.col(f"off{i}") + reg * F.col("n") * F.col("u")[i] for i in k]
+    length = lambda parts: F.sqrt(sum((p * p for p in parts), F.lit(0.0)))
+    whole = length([F.col(f"pull{i}") for i in k])
+    return sums.select("userId", "n", F.when(whole > 0, length(left) / whole).otherwise(0.0).alias("residual"))
+
+
 # --- tables built from recommendations ---------------------------------------------------
 
 
@@ -225,15 +296,29 @@ def recommend_with_source(recs: DataFrame, fares: DataFrame) -> DataFrame:
     return recs.join(starts, "route").select("source_des", "route")
 
 
-def attach_fares(recs: DataFrame, fares: DataFrame) -> DataFrame:
+def attach_fares(recs: DataFrame, fares: DataFrame, max_fares: int = MAX_USER_FARES) -> DataFrame:
     """Every recommendation of a user next to every fare of that user, with the price band.
 
-    The result is the product of the two per user. Spark broadcasts recommendations that are
-    small by their bytes; otherwise both sides are shuffled, and a crowded user's fares are
-    split at run time, each piece meeting the user's few recommendations.
+    The result is the product of the two per user. Users with more than ``max_fares`` fares are
+    counted out beforehand, by a job when called: their fares are dealt over SALTS pieces by a
+    hash, and their few recommendations are copied to each piece.
     """
     offers = fares.select("userId", "Airline", "Price")
-    return recs.join(offers, "userId").withColumn("price_range", price_band("Price"))
+    roomy, crowded = split_crowded(offers, ["userId"], max_fares)
+    result = recs.join(roomy, "userId")
+    if crowded is not None:
+        # Copies of a fare cannot be told apart by a hash: they are counted, and dealt in blocks.
+        counted = crowded.groupBy("userId", "Airline", "Price").agg(F.count(F.lit(1)).alias("__copies"))
+        blocks = counted.withColumn("__block", F.explode(F.expr(f"sequence(0L, (__copies - 1) div {_COPY_BLOCK}L)")))
+        dealt = blocks.select(
+            "userId", "Airline", "Price", F.pmod(F.xxhash64("Airline", "Price", "__block"), F.lit(SALTS)).alias("__salt"),
+            F.least(F.lit(_COPY_BLOCK), F.col("__copies") - F.col("__block") * _COPY_BLOCK).alias("__here"),
+        )
+        copied = recs.withColumn("__salt", F.explode(F.expr(f"sequence(0L, {SALTS - 1}L)")))
+        met = copied.join(dealt, ["userId", "__salt"])
+        met = met.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__here").cast("int"))))
+        result = result.unionByName(met.drop("__salt", "__here", "__copy"))
+    return result.withColumn("price_range", price_band("Price"))
 
 
 def recommend_with_prices(

@@ -51,9 +51,11 @@ def _through_log(spark, target, source, keys):
     schema = T.StructType([*target.schema.fields, T.StructField(changelog.ROW_ID, T.StringType()), *CHANGE_COLUMNS.fields])
     changelog.append_commit(target, path, 0, "2024-01-01 00:00:00", op="I", row_ids=True)
     log = changelog.read_changes(spark, path, schema)
-    before = changelog.as_of(log, [changelog.ROW_ID])
+    before = stored(changelog.as_of(log, [changelog.ROW_ID]), "before")
     changes = changelog.merge_changes(before, source, keys)
     changelog.append_commit(changes, path, 1, "2024-01-02 00:00:00")
+    # a late retry of the first commit, in another order: it is finished, so nothing is written
+    changelog.append_commit(target.repartition(3), path, 0, "2024-01-01 00:00:00", op="I", row_ids=True)
     log = changelog.read_changes(spark, path, schema)
     return changelog.as_of(log, [changelog.ROW_ID]).select(*names)
 
@@ -133,6 +135,32 @@ def history_version_zero(spark, sf_dir):
     return comparable(changelog.history(_log(spark, sf_dir)).where("version = 0"))
 
 
+def _written_log(spark, sf_dir):
+    path, log = new_folder(spark, "quote-log"), _log(spark, sf_dir)
+    changelog.import_log(log, path)
+    return path, log.schema
+
+
+def quotes_as_of_by_notes(spark, sf_dir):
+    """A past state of a written log, from the folders of the commits up to that time."""
+    path, schema = _written_log(spark, sf_dir)
+    return _state(changelog.read_state(spark, path, schema, QUOTE_KEYS, _THEN, QUOTE_ORDER))
+
+
+def quotes_after_baseline(spark, sf_dir):
+    """The newest state of a written log, read from its baseline only."""
+    path, schema = _written_log(spark, sf_dir)
+    number = changelog.commit_notes(spark, path).agg(F.max("version")).first()[0] + 1
+    changelog.append_baseline(spark, path, schema, QUOTE_KEYS, number, _NOW, QUOTE_ORDER)
+    return _state(changelog.read_state(spark, path, schema, QUOTE_KEYS, order=QUOTE_ORDER))
+
+
+def history_from_notes(spark, sf_dir):
+    """The history of a written log, without a look at its data."""
+    path, _ = _written_log(spark, sf_dir)
+    return comparable(changelog.log_history(spark, path))
+
+
 def union_versions(spark, sf_dir):
     rows = changelog.union_versions(_log(spark, sf_dir), QUOTE_KEYS, [20, 40], QUOTE_ORDER)
     return _state(rows)
@@ -283,6 +311,12 @@ WHERE Airline = 'AIR_NO' AND Source = 'S1'""",
     "quotes_current": (quotes_current, f"WITH {QUOTES_SQL} {_state_sql()}"),
     "change_history": (change_history, _HISTORY_SQL),
     "history_version_zero": (history_version_zero, f"{_HISTORY_SQL} WHERE version = 0"),
+    "quotes_as_of_by_notes": (
+        quotes_as_of_by_notes,
+        f"WITH {QUOTES_SQL} {_state_sql(f'''_commit_ts <= timestamp '{_THEN}' ''')}",
+    ),
+    "quotes_after_baseline": (quotes_after_baseline, f"WITH {QUOTES_SQL} {_state_sql()}"),
+    "history_from_notes": (history_from_notes, _HISTORY_SQL),
     "union_versions": (
         union_versions,
         f"WITH {QUOTES_SQL} "

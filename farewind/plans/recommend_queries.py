@@ -18,14 +18,64 @@ from farewind.scratch import stored
 _K, _OFTEN = 10, 3
 
 
-def _recommended(spark, sf_dir):
-    """The model's recommendations, fitted to every rated fare, and the label table of routes."""
+def _model(spark, sf_dir):
+    """The model fitted to every rated fare, the ratings, the rows, and the label table of routes."""
     rows, tables = rated_inputs(spark, sf_dir, "Airline", "Route")
     rated = rows.select(
         "userId", "route_index", rating_preference("Price", "minutes", "airline_index").alias("rating")
     )
-    model = recommend.fit_routes(stored(rated, "ratings"))
-    return recommend.recommend_routes(model, tables["Route"], _K), tables["Route"]
+    rated = stored(rated, "ratings")
+    return recommend.fit_routes(rated), rated, rows, tables["Route"]
+
+
+def _recommended(spark, sf_dir):
+    """The model's recommendations, and the label table of routes."""
+    model, _, _, labels = _model(spark, sf_dir)
+    return recommend.recommend_routes(model, labels, _K), labels
+
+
+def recommend_top_exact(spark, sf_dir):
+    """Users with ids divisible by 100: whether the model's list is the best of all routes."""
+    model, rated, _, labels = _model(spark, sf_dir)
+    users = rated.filter("userId % 100 = 0").select("userId").distinct()
+    exact = recommend.best_routes_exact(model, users, _K).select("userId", "rank", F.col("rating").alias("best"))
+    listed = recommend.recommend_routes(model, labels, _K).filter("userId % 100 = 0")
+    met = exact.join(listed, ["userId", "rank"], "full")
+    near = F.abs(F.col("best") - F.col("rating")) <= 1e-4 * (1 + F.abs("best"))
+    return met.groupBy("userId").agg(F.count("best").alias("n"), F.every(F.coalesce(near, F.lit(False))).alias("agree"))
+
+
+def recommend_fit(spark, sf_dir):
+    """Per user: ratings fitted, and whether the user's factors solve their equations."""
+    model, rated, _, _ = _model(spark, sf_dir)
+    return recommend.fit_residuals(model, rated).select("userId", "n", (F.col("residual") < 1e-3).alias("solved"))
+
+
+def recommend_labels(spark, sf_dir):
+    """The route that each item of the model stands for."""
+    model, _, _, labels = _model(spark, sf_dir)
+    items = model.itemFactors.select(F.col("id").alias("ridx"))
+    return recommend.labels_for(items, labels, "ridx", "route").select("ridx", "route")
+
+
+def recommend_with_prices_model(spark, sf_dir):
+    """The full table of the model's recommendations: rows, routes and fares of each user and band."""
+    model, _, rows, labels = _model(spark, sf_dir)
+    full = recommend.recommend_with_prices(model, labels, rows, _K, lists=False)
+    return full.groupBy("userId", "price_range").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("route").alias("routes"),
+        F.min("Price").alias("cheapest"), F.max("Price").alias("dearest"), F.sum("Price").alias("prices"),
+    )
+
+
+def recommend_with_source_model(spark, sf_dir):
+    """The model's recommendations as (source, route) rows: how many each user's list gives."""
+    model, _, rows, labels = _model(spark, sf_dir)
+    pairs = recommend.recommend_with_source(recommend.recommend_routes(model, labels, _K), rows)
+    known = recommend.route_sources(rows).select(F.col("Route").alias("route"), F.col("Source").alias("source"))
+    return pairs.join(known, "route", "left").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("source") == F.col("source_des")).alias("right")
+    )
 
 
 def recommend_routes(spark, sf_dir):
@@ -110,6 +160,30 @@ FROM recs JOIN bought b ON recs.userId = b.userId""",
         f"""{_PER_USER}
 SELECT userId, k AS n, k AS routes, 1 AS first_rank, cast(k AS int) AS last_rank FROM users, sizes""",
     ),
+    "recommend_top_exact": (
+        recommend_top_exact,
+        f"{_PER_USER} SELECT userId, k AS n, true AS agree FROM users, sizes WHERE userId % 100 = 0",
+    ),
+    "recommend_fit": (
+        recommend_fit,
+        f"WITH {_BOUGHT} SELECT userId, count(*) AS n, true AS solved FROM bought GROUP BY userId",
+    ),
+    "recommend_labels": (
+        recommend_labels,
+        f"WITH {_BOUGHT}, {index_sql('Route', 'routes')} SELECT cast(idx AS int) AS ridx, label AS route FROM routes",
+    ),
+    "recommend_with_prices_model": (
+        recommend_with_prices_model,
+        f"""
+WITH {_BOUGHT}, sizes AS (SELECT least({_K}, count(DISTINCT Route)) AS k FROM fares)
+SELECT userId, {PRICE_RANGE_SQL} AS price_range, count(*) * any_value(k) AS n, any_value(k) AS routes,
+  min(Price) AS cheapest, max(Price) AS dearest, cast(sum(Price) * any_value(k) AS bigint) AS prices
+FROM bought b, sizes GROUP BY ALL""",
+    ),
+    "recommend_with_source_model": (
+        recommend_with_source_model,
+        f"{_PER_USER} SELECT count(*) * any_value(k) AS n, count(*) * any_value(k) AS right FROM users, sizes",
+    ),
     "recommend_with_source": (
         recommend_with_source,
         f"""

@@ -10,12 +10,14 @@ import uuid
 from pyspark.sql import functions as F
 
 from farewind import sinks, sources
+from farewind.operators import changelog
 from farewind.operators.filters import run_sql
-from farewind.plans.bindings import FARES_SQL, STATES_SQL, comparable, fares, quotes, states, table
+from farewind.plans.bindings import FARES_SQL, QUOTES_SQL, STATES_SQL, comparable, fares, quotes, states, table
 from farewind.schemas import FARE, QUOTE
 from farewind.scratch import new_folder
 
 _FARE_COLUMNS = ", ".join(FARE.names)
+_REPRICED = "2001-08-02 00:00:00"
 _INFERRED = ("Airline", "Source", "Destination", "Route", "Duration", "Price")
 
 
@@ -117,12 +119,30 @@ def table_lifecycle(spark, sf_dir):
     return comparable(result)
 
 
+def reprice_in_place(spark, sf_dir):
+    """A catalog table replaced by its own rows with other prices."""
+    name = f"quotes_{uuid.uuid4().hex}"
+    rows = quotes(spark, sf_dir).select("updatedTime", "flight_departure", "source", "destination", "price")
+    sinks.replace_table(rows, name, path=f"{new_folder(spark, 'quotes')}/table")
+    sinks.replace_table(changelog.reprice(sources.read_table(spark, name), 10, at=_REPRICED), name)
+    sinks.drop_generations(spark, name)
+    result = sources.read_table(spark, name)
+    result.schema  # the plan holds the table's files from here on
+    sinks.drop_tables(spark, [name])
+    return comparable(result)
+
+
 _STATE_COLUMNS = (
     "icao24, callsign, origin_country, time_position, last_contact, longitude, latitude,"
     " baro_altitude"
 )
 
 QUERIES = {
+    "reprice_in_place": (
+        reprice_in_place,
+        f"""WITH {QUOTES_SQL} SELECT '{_REPRICED}' AS updatedTime, flight_departure, source, destination,
+  cast(cast(price + 10 AS decimal(10,2)) AS double) AS price FROM quotes""",
+    ),
     "csv_roundtrip": (csv_roundtrip, f"WITH {FARES_SQL} SELECT {_FARE_COLUMNS} FROM fares"),
     "csv_inferred": (
         csv_inferred,

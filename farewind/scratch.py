@@ -50,6 +50,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries of a folder; none if there is no such folder."""
+    if not path_exists(spark, path):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return [entry.getPath().getName() for entry in folder.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(folder)]
+
+
+def move_folder(spark: SparkSession, path: str, to: str) -> None:
+    """Put a folder in the place of another, in one step where the file system can rename."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(new, True)
+    if not files.rename(old, new):
+        raise OSError(f"cannot move {path} to {to}")
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Spark's estimate of the rows' bytes is within its own limit for a broadcast."""
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()

@@ -2,10 +2,14 @@
 
 from farewind.sinks.tables import (
     append_rows,
+    drop_generations,
     drop_tables,
     ensure_table,
+    replace_table,
     save_as_table,
     write_table,
 )
 
-__all__ = ["append_rows", "drop_tables", "ensure_table", "save_as_table", "write_table"]
+__all__ = [
+    "append_rows", "drop_generations", "drop_tables", "ensure_table", "replace_table", "save_as_table", "write_table",
+]

@@ -251,6 +251,73 @@ def test_history(log):
     assert [row.version for row in first] == [0]
 
 
+def test_a_finished_commit_is_never_written_again(spark):
+    """A late retry, its rows in another order: a later commit's row ids still hold."""
+    path = new_folder(spark, "row-log")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k string, p int").coalesce(1)
+    schema = T.StructType([*rows.schema.fields, T.StructField("_row_id", T.StringType()), *schemas.CHANGE_COLUMNS.fields])
+    changelog.append_commit(rows, path, 0, START, op="I", row_ids=True)
+    state = changelog.as_of(changelog.read_changes(spark, path, schema), [changelog.ROW_ID])
+    update = state.filter("k = 'a'").withColumns({"p": F.lit(50), "_op": F.lit("U")})
+    changelog.append_commit(update, path, 1, START + timedelta(hours=1))
+    changelog.append_commit(rows.orderBy(F.desc("k")), path, 0, START, op="I", row_ids=True)
+    changelog.append_commit(update, path, 1, START + timedelta(hours=1))
+    after = changelog.as_of(changelog.read_changes(spark, path, schema), [changelog.ROW_ID])
+    assert sorted((r.k, r.p) for r in after.collect()) == [("a", 50), ("b", 2)]
+
+
+def test_an_unfinished_commit_is_replaced_unless_a_later_one_exists(spark):
+    path = new_folder(spark, "quote-log")
+    changelog.append_commit(quote_table(spark), path, 0, START, op="I")
+    # as a run leaves it that died before the note
+    quote_table(spark).limit(3).selectExpr("*", "'U' AS _op", "now() AS _commit_ts").write.parquet(f"{path}/_version=1")
+    changelog.append_commit(quote_table(spark).limit(5), path, 1, START, op="U")
+    assert changelog.read_changes(spark, path, schemas.QUOTE_CHANGES).count() == 29
+    quote_table(spark).limit(3).selectExpr("*", "'U' AS _op", "now() AS _commit_ts").write.parquet(f"{path}/_version=2")
+    changelog.append_commit(quote_table(spark), path, 3, START, op="U", token="a")
+    with pytest.raises(ValueError, match="after version 2"):
+        changelog.append_commit(quote_table(spark), path, 2, START, op="U")
+    assert changelog.commit_notes(spark, path).count() == 3
+
+
+def test_notes_and_reads_by_them(spark, log):
+    path = new_folder(spark, "imported-log")
+    changelog.import_log(log, path)
+    schema = schemas.QUOTE_CHANGES
+    told = changelog.log_history(spark, path, check=schema)
+    assert sorted(map(tuple, told.collect())) == sorted(map(tuple, changelog.history(log).collect()))
+    assert {f.partition("_commits")[1] for f in told.inputFiles()} == {"_commits"}
+    with pytest.raises(ValueError, match="another commit"):
+        changelog.append_commit(quote_table(spark), path, 4, START, op="I")
+    for hours in (-1, 0, 0.5, 3.9, 11):
+        at = START + timedelta(hours=hours)
+        found = changelog.read_state(spark, path, schema, KEYS, at)
+        assert sorted(map(str, found.collect())) == sorted(map(str, changelog.as_of(log, KEYS, at).collect()))
+    some = changelog.read_state(spark, path, schema, KEYS, START + timedelta(hours=1))
+    assert {f.partition("_version=")[2].partition("/")[0] for f in some.inputFiles()} == {"0", "1", "2"}
+    with pytest.raises(ValueError, match="later than"):
+        changelog.append_baseline(spark, path, schema, KEYS, 13, START)
+    changelog.append_baseline(spark, path, schema, KEYS, 13, START + timedelta(hours=12))
+    now = changelog.read_state(spark, path, schema, KEYS)
+    assert {f.partition("_version=")[2].partition("/")[0] for f in now.inputFiles()} == {"13"}
+    assert sorted(map(str, now.collect())) == sorted(map(str, changelog.as_of(log, KEYS).collect()))
+    then = changelog.read_state(spark, path, schema, KEYS, START + timedelta(hours=2))
+    assert sorted(map(str, then.collect())) == sorted(map(str, changelog.as_of(log, KEYS, START + timedelta(hours=2)).collect()))
+
+
+def test_notes_that_differ_from_the_data_are_found(spark, log):
+    path = new_folder(spark, "imported-log")
+    changelog.import_log(log, path)
+    log.filter("_version = 12").drop("_version").write.mode("append").parquet(f"{path}/_version=12")
+    with pytest.raises(ValueError, match="differ"):
+        changelog.log_history(spark, path, check=schemas.QUOTE_CHANGES)
+
+
+def test_an_empty_log_has_no_state(spark):
+    path = new_folder(spark, "no-log")
+    assert changelog.read_state(spark, path, schemas.QUOTE_CHANGES, KEYS).count() == 0
+
+
 def test_repeating_a_commit_replaces_it(spark):
     path = new_folder(spark, "quote-log")
     for _ in range(2):

@@ -122,3 +122,36 @@ def test_route_source_is_the_most_frequent(spark):
         "Route string, Source string",
     )
     assert sorted(map(tuple, recommend.route_sources(df).collect())) == [("Q", "c"), ("R", "b")]
+
+
+def test_exact_top_and_fit(rated):
+    rows, labels = rated
+    model = recommend.fit_routes(rows, blocks=2)
+    users = rows.filter("userId % 2 = 0").select("userId")
+    exact = {(r.userId, r.rank): r for r in recommend.best_routes_exact(model, users, 4, block=3).collect()}
+    listed = recommend.recommend_routes(model, labels, 4).filter("userId % 2 = 0").collect()
+    assert len(exact) == len(listed) == 24
+    for r in listed:
+        assert exact[r.userId, r.rank].rating == pytest.approx(r.rating, abs=1e-4)
+        assert exact[r.userId, r.rank].ridx == r.ridx
+    fits = {r.userId: r for r in recommend.fit_residuals(model, rows).collect()}
+    assert sum(r.n for r in fits.values()) == 600 and all(r.residual < 1e-3 for r in fits.values())
+    off = recommend.fit_residuals(model, rows.withColumn("rating", F.when(F.col("userId") == 5, 1 - F.col("rating")).otherwise(F.col("rating"))))
+    wrong = {r.userId for r in off.collect() if r.residual > 1e-2}
+    assert wrong == {5}
+
+
+def test_crowded_users_are_dealt_over_pieces(spark, no_broadcast):
+    no_broadcast()
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    recs = spark.createDataFrame([(u, f"R{k}") for u in range(3) for k in range(2)], "userId int, route string")
+    fares = spark.createDataFrame([(0 if i % 2 else 1 + i % 3, "A", 100 + i) for i in range(400)], "userId int, Airline string, Price int")
+    plain = recommend.attach_fares(recs, fares)
+    dealt = recommend.attach_fares(recs, fares, max_fares=100)
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, plain.collect()))
+    assert "__salt" not in dealt.columns and "__salt" in dealt._jdf.queryExecution().executedPlan().toString()
+    pieces = dealt.filter("userId = 0").groupBy(F.spark_partition_id()).count().collect()
+    spark.conf.set(name, "true")
+    sizes = [r["count"] for r in pieces]
+    assert sum(sizes) == 400 and max(sizes) < 200

@@ -134,3 +134,40 @@ def test_scratch_is_shared_on_a_cluster():
     assert scratch.new_folder(named, "x").startswith("hdfs:///shared/x-")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch.shared_root(_Session())
+
+
+def test_a_table_is_replaced_by_its_own_rows(spark):
+    name, path = f"own_{uuid.uuid4().hex}", f"{new_folder(spark, 'own')}/table"
+    sinks.replace_table(spark.range(5).selectExpr("id", "id * 10 AS price"), name, path)
+    before = spark.table(name)
+    assert before.count() == 5
+    for _ in range(2):
+        sinks.replace_table(spark.table(name).filter("id > 0").selectExpr("id", "price + 1 AS price"), name)
+    assert sorted(map(tuple, spark.table(name).collect())) == [(i, 10 * i + 2) for i in range(1, 5)]
+    assert sorted(map(tuple, before.collect())) == [(i, 10 * i) for i in range(5)]  # opened before
+    spark.range(1).write.parquet(f"{path}-generation-dead")  # a run that died before the switch
+    assert spark.table(name).count() == 4
+    assert sinks.drop_generations(spark, name) == 3 and sinks.drop_generations(spark, name) == 0
+    assert spark.table(name).count() == 4
+    with pytest.raises(ValueError, match="columns differ"):
+        sinks.replace_table(spark.range(3), name)
+    sinks.drop_tables(spark, [name])
+
+
+def test_partitioned_writes_have_few_files_and_split_crowded_folders(spark):
+    rows = spark.range(0, 300_000, 1, 16).selectExpr("if(id % 3 = 0, 'hot', concat('c', id % 20)) AS country", "uuid() AS v")
+    path = new_folder(spark, "by-country")
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1m")
+    try:
+        sinks.write_table(rows, path, partition_by=["country"])
+    finally:
+        spark.conf.set(name, before)
+    files: dict[str, int] = {}
+    for file in spark.read.parquet(path).inputFiles():
+        country = file.partition("country=")[2].partition("/")[0]
+        files[country] = files.get(country, 0) + 1
+    assert spark.read.parquet(path).count() == 300_000
+    # 16 tasks would write 16 files each; a folder has more than one only if it shares a piece
+    assert files["hot"] > 2 and sum(files.values()) - files["hot"] <= 60
