@@ -171,21 +171,23 @@ def _rest_of_buckets(members: DataFrame, involved: DataFrame, sets: DataFrame, p
     """Pairs (a, b, an, bn) of members of one bucket in different components that look linked.
 
     All are compared inside the join, first by size and sketch, then by their sets in 31 bits
-    a shingle, with room for two that coincide. A pair is compared in its first common bucket
+    a shingle, with room for all of a set's shingles that coincide there. A pair is compared in its first common bucket
     only; where that bucket is done or one of the two has left it, it was compared before.
     """
     short = sets.select("node", F.transform("shingles", lambda x: x.bitwiseAND(2**31 - 1).cast("int")).alias("short"))
+    # how many shingles of the set are lost among its own in 31 bits: common ones may be among them
+    short = short.withColumn("lost", F.size("short") - F.size(F.array_distinct("short")))
     told = involved.join(members.select("node").distinct(), "node", "left_semi").join(short, "node")
     wide = members.select("bucket", "node", "component").join(told, "node")
     left, right = (
         wide.select(
             F.col("bucket").alias(f"{end}bucket"), F.col("component").alias(f"c{end}"), F.col("node").alias(end),
-            F.col("n_shingles").alias(f"{end}n"), F.col("short").alias(f"{end}s"), F.col("bands").alias(f"{end}bands"),
+            F.col("n_shingles").alias(f"{end}n"), F.col("short").alias(f"{end}s"), F.col("lost").alias(f"{end}lost"), F.col("bands").alias(f"{end}bands"),
             *[F.col(c).alias(f"{end}{c}") for c in SKETCH],
         )
         for end in "ab"
     )
-    both = F.size(F.array_intersect("as", "bs")) + 2
+    both = F.size(F.array_intersect("as", "bs")) + F.least("alost", "blost")
     condition = (
         (F.col("abucket") == F.col("bbucket"))
         & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _likely(pct)

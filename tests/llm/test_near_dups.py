@@ -128,3 +128,18 @@ def test_components_match_union_find(spark):
     found = {r["node"]: r["component"] for r in connected_components(df).collect()}
     assert found == {i: root(i) for i in parent}
     assert connected_components(df.filter("a > 9000")).count() == 0
+
+
+def test_very_long_texts_barely_alike_are_linked_in_the_last_comparison(spark):
+    """Hundreds of their shingles coincide in 31 bits; no pivot round comes before."""
+    words = [f"w{i}" for i in range(200_001)]
+    other = words[:]
+    other[:21_800] = [f"v{i}" for i in range(21_800)]
+    shared = 200_000 - 21_800
+    assert 80 <= 100 * shared / (400_000 - shared) < 81
+    rows = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(other))], "id long, text string")
+    kind = f"id bigint, node bigint, n_shingles bigint, bands array<bigint>, {' bigint, '.join(near_dups.SKETCH)} bigint"
+    classes = rows.mapInArrow(near_dups._per_text(2, False), kind).drop("id")
+    sets = rows.mapInArrow(near_dups._per_text(2, True), "id bigint, node bigint, shingles array<bigint>").drop("id")
+    found = near_dups.link_classes(classes, lambda involved: sets, 80, rounds=-1)
+    assert found is not None and found.count() == 2
