@@ -1,12 +1,15 @@
 """Main text of web pages by equivalence classes of template tokens.
 
 Pages of a host come from few templates. A page is read into tokens: tags, told apart by the
-path of elements they stand in, and texts of blocks with their path. Over all pages of a host
-the tokens with equal occurrence vectors (how often on which page) form classes. A class that
-is frequent and nests, which means that it holds a tag next to whose vector its texts run,
-belongs to the template; what stands between its tokens are slots. Extraction walks a page,
-puts aside the template's texts and the slots of boilerplate elements, and returns the text of
-the slot that holds the article.
+path of elements they stand in and their number among equal siblings, and texts of blocks with
+their path. Over all pages of a host
+the tokens with equal occurrence vectors (how often on which page) form classes. A class is valid
+if its tokens keep one order on every page. The largest valid class of tags that stand once on a
+page is the template's frame; what stands between its tokens are slots. Texts of another valid
+class belong to the template if it nests in the frame: it has a tag, and each text stands in the
+same slot on every page. Extraction walks a page slot by slot, leaves out the template's texts and
+parts whose names say that they are boilerplate, and returns the slots that hold the page's own
+prose, with the elements around them.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import html as markup
 import re
+from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -25,6 +29,9 @@ from farewind.scratch import stored
 
 #: Distinct pages of a host that hold a class, at least, and their share of the host's in percent.
 MIN_PAGES, MIN_SHARE_PCT = 5, 10
+#: A slot is returned if it has this part of the prose of the page's fullest slot, and how many
+#: times more prose counts that stands in an element named article or main.
+LEAST_PART, NAMED_WEIGHT = 0.125, 8
 
 # Element and attribute names of HTML, and words that name parts of a page.
 BLOCKS = frozenset(
@@ -53,6 +60,12 @@ ASIDE_WORDS = frozenset(
 ARTICLE_ASIDE_WORDS = frozenset(
     "ad ads advert advertisement comment comments promo related reply sponsored teaser".split()
 )
+# Inside an article a name tells a part only if nothing but such words and these are in it.
+ARTICLE_NAMES = ASIDE_WORDS - frozenset("hidden legal copyright search social".split())
+NEUTRAL_WORDS = frozenset(
+    "area articles bar block box container content inner inline item items links list outer panel "
+    "posts section slot story stories text unit wrap wrapper".split()
+)
 
 _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -60,14 +73,15 @@ _TAG = re.compile(
     r"|</?[a-zA-Z][^<>]*\Z",
     re.S,
 )
+_UNFINISHED = re.compile(r"<!--.*|<[!?].*|()()()()()()</?[a-zA-Z][^<>]*\Z", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?", re.I)
 _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
-@dataclass
+@dataclass(slots=True)
 class Element:
     tag: str
-    path: str
+    path: int
     aside: bool
     article: int | None  # number of the outermost article it stands in
     parents: tuple[int, ...]  # numbers of the elements around, itself last
@@ -75,37 +89,47 @@ class Element:
     mark: int = 0  # parts of the block's text when it was opened
 
 
-@dataclass
+@dataclass(slots=True)
 class Block:
-    path: str
+    path: int
     aside: bool
     article: int | None
     parents: tuple[int, ...]
     text: str
     linked: int  # characters in links
+    at: int  # tags opened or closed before it
 
 
 @dataclass
 class Page:
     blocks: list[Block] = field(default_factory=list)
+    #: How often each tag token occurs, and how many tags come before the first.
     tags: Counter = field(default_factory=Counter)
+    first: dict[int, int] = field(default_factory=dict)
+    n_tags: int = 0
 
+    def saw(self, token: int) -> None:
+        self.tags[token] += 1
+        self.first.setdefault(token, self.n_tags)
+        self.n_tags += 1
 
-def _attributes(text: str) -> tuple[set[str], str, bool]:
-    """Words of class and id, the role, and whether the element is hidden."""
-    words, role, hidden = set(), "", False
+
+def _attributes(text: str) -> tuple[list[list[str]], str, bool]:
+    """The words of each name in class and id, the role, and whether the element is hidden."""
+    names, role, hidden = [], "", False
     for name, value in _ATTRIBUTE.findall(text) if text else ():
         name, value = name.lower(), value.strip("\"'")
         if name in ("class", "id"):
-            words.update(part.lower() for part in _NAME_PARTS.findall(value))
+            names.extend([part.lower() for part in _NAME_PARTS.findall(one)] for one in value.split())
         elif name == "role":
             role = value.lower()
         elif name == "hidden" or value.lower() == "true":
             hidden = True
-    return words, role, hidden
+    return names, role, hidden
 
 
-def _is_aside(tag: str, words: set[str], role: str, hidden: bool, in_article: bool) -> bool:
+def _is_aside(tag: str, names: list[list[str]], role: str, hidden: bool, in_article: bool) -> bool:
+    words = {word for name in names for word in name}
     if tag in ("html", "body", "main"):
         return False
     if tag == "article":
@@ -113,9 +137,15 @@ def _is_aside(tag: str, words: set[str], role: str, hidden: bool, in_article: bo
     if tag == "header" or "header" in words or role == "banner":
         if not in_article:
             return True
-        words = words - {"banner"}
         role = ""
-    return hidden or tag in ASIDE_TAGS or role in ASIDE_ROLES or bool(words & ASIDE_WORDS)
+    if in_article:
+        told = any(
+            ARTICLE_NAMES & set(name) and all(w in ASIDE_WORDS or w in NEUTRAL_WORDS or w.isdigit() for w in name)
+            for name in names if name != ["banner"]
+        )
+    else:
+        told = bool(words & ASIDE_WORDS)
+    return hidden or tag in ASIDE_TAGS or role in ASIDE_ROLES or told
 
 
 class _Reader:
@@ -123,8 +153,10 @@ class _Reader:
 
     def __init__(self):
         self.page = Page()
-        self.root = Element("", "", False, None, (0,), False)
+        self.root = Element("", 0, False, None, (0,), False)
         self.stack: list[Element] = []
+        self.is_open: Counter = Counter()  # elements of each tag on the stack
+        self.siblings: Counter = Counter()  # elements so far by their parent's path and own label
         self.count = 0
         self.parts: list[str] = []
         self.linked = 0
@@ -148,15 +180,16 @@ class _Reader:
         parts = self.parts if inline is None else self.parts[: inline.mark]
         text = " ".join("".join(parts).split())
         if text:
-            self.page.blocks.append(Block(at.path, at.aside, at.article, at.parents, text, self.linked))
+            self.page.blocks.append(Block(at.path, at.aside, at.article, at.parents, text, self.linked, self.page.n_tags))
         self.parts, self.linked = [], 0
-        for e in self.stack:
+        # inline elements below the block were set when it was opened
+        for e in self.stack[own + 1 :]:
             e.mark = 0
 
     def open(self, tag: str, attributes: str) -> None:
         if tag in BLOCKS:
             self.flush()
-            if tag != "li" and any(e.tag == "p" for e in self.stack) or tag == "p":
+            if self.is_open["p"]:
                 self._close_to("p", ("table", "td", "th", "article", "section", "div", "li", "body", "aside", "blockquote"))
             if tag in ("li", "dd", "dt", "tr", "td", "th", "option"):
                 same = ("dd", "dt") if tag in ("dd", "dt") else ("td", "th") if tag in ("td", "th") else (tag,)
@@ -167,29 +200,41 @@ class _Reader:
         if tag in VOID:
             return
         parent = self.top
-        words, role, hidden = _attributes(attributes)
+        names, role, hidden = _attributes(attributes)
         article = parent.article
-        own = _is_aside(tag, words, role, hidden, article is not None)
+        own = _is_aside(tag, names, role, hidden, article is not None)
         self.count += 1
         if article is None and tag in ("article", "main") and not (own or parent.aside):
             article = self.count
-        elif tag == "article" and not own and not any(e.tag == "article" for e in self.stack) and not parent.aside:
+        elif tag == "article" and not own and not self.is_open["article"] and not parent.aside:
             article = self.count  # an article inside main is the closer of the two
-        label = tag + "".join(f".{w}" for w in sorted(words)[:4])
-        path = f"{parent.path}/{label}" if tag in BLOCKS and len(self.stack) < 200 else parent.path
+        path = parent.path
+        if tag in BLOCKS:
+            words = sorted({word for name in names for word in name})
+            label = ".".join([tag, *words])
+            self.siblings[path, label] += 1
+            path = _token("tag", path, f"{label}#{self.siblings[path, label]}")
         parents = (*parent.parents, self.count) if tag in BLOCKS and len(parent.parents) < 200 else parent.parents
         self.stack.append(
             Element(tag, path, parent.aside or own, article, parents, parent.link or tag == "a", len(self.parts))
         )
+        self.is_open[tag] += 1
         if tag in BLOCKS:
-            self.page.tags[path] += 1
+            self.page.saw(path)
+
+    def _pop(self) -> Element:
+        element = self.stack.pop()
+        self.is_open[element.tag] -= 1
+        if element.tag in BLOCKS:
+            self.page.saw(~element.path)
+        return element
 
     def close(self, tag: str) -> None:
-        if any(e.tag == tag for e in self.stack):
+        if self.is_open[tag]:
             if tag in BLOCKS:
                 self.flush()
             while True:
-                element = self.stack.pop()
+                element = self._pop()
                 if element.tag == tag:
                     if tag not in BLOCKS and element.aside and not self.top.aside:
                         del self.parts[element.mark :]
@@ -198,9 +243,12 @@ class _Reader:
             self.flush()
 
     def _close_to(self, tag: str, stops: tuple[str, ...]) -> None:
+        if not self.is_open[tag]:
+            return
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at].tag == tag:
-                del self.stack[at:]
+                while len(self.stack) > at:
+                    self._pop()
                 return
             if self.stack[at].tag in stops:
                 return
@@ -211,8 +259,14 @@ def read_page(html: str | None) -> Page:
     reader = _Reader()
     html = html or ""
     at, n = 0, len(html)
+    last = html.rfind(">")
     while at < n:
-        found = _TAG.search(html, at)
+        begin = html.find("<", at)
+        # behind the last ">" no tag ends: the pattern would look for one from every "<"
+        if begin > last and not html.startswith(("<!", "<?"), begin):
+            found = _UNFINISHED.search(html, begin)
+        else:
+            found = _TAG.search(html, at)
         if not found:
             reader.text(html[at:])
             break
@@ -237,8 +291,8 @@ def read_page(html: str | None) -> Page:
     return reader.page
 
 
-def _token(kind: str, path: str, text: str = "") -> int:
-    digest = hashlib.blake2b(f"{kind}\0{path}\0{text}".encode(), digest_size=8).digest()
+def _token(kind: str, path: int, text: str = "") -> int:
+    digest = hashlib.blake2b(f"{kind}\0{path}\0{text}".encode(errors="surrogatepass"), digest_size=8).digest()
     return int.from_bytes(digest, "big", signed=True)
 
 
@@ -246,50 +300,96 @@ def text_token(block: Block) -> int:
     return _token("text", block.path, block.text)
 
 
-def extract(page: Page, template: set[int]) -> str:
-    """The blocks of the article's slot, joined by line ends; empty if the page has none.
+def slots_of(page: Page, frame: list[int]) -> list[int]:
+    """For each block its slot: the last token of the frame before it (0: none).
 
-    Where there are article elements (or else main), they are the slot. Otherwise it is the
-    innermost element around blocks that holds most of the text that neither stands aside nor belongs to
-    the template nor is mostly links.
+    Without a frame on the page, the element around a block's own is its slot.
+    """
+    edges = sorted((page.first[token], token) for token in frame if page.tags[token] == 1)
+    if len(edges) < 2:
+        return [b.parents[-2] if len(b.parents) > 1 else 0 for b in page.blocks]
+    places = [place for place, _ in edges]
+    return [edges[k - 1][1] if (k := bisect_left(places, b.at)) else 0 for b in page.blocks]
+
+
+def prose_of(block: Block) -> int:
+    """Characters of prose: none in texts that stand aside or are mostly links."""
+    if block.aside:
+        return 0
+    if block.article is not None:
+        return NAMED_WEIGHT * len(block.text)
+    return 0 if 2 * block.linked > len(block.text) else len(block.text)
+
+
+def _around(blocks: list[Block]) -> int:
+    """The innermost element around all blocks that is not a block's own."""
+    common = blocks[0].parents[:-1] or blocks[0].parents
+    for b in blocks[1:]:
+        own = b.parents[:-1] or b.parents
+        k = 0
+        while k < min(len(common), len(own)) and common[k] == own[k]:
+            k += 1
+        common = common[:k]
+    return common[-1] if common else 0
+
+
+def extract(page: Page, template: set[int], frame: list[int] = (), full: set[int] = frozenset()) -> str:
+    """The blocks of the slots that hold the article, joined by line ends; empty if there are none.
+
+    A slot's weight is the prose in it that is not the template's; in elements named article or
+    main prose counts NAMED_WEIGHT times. Of the host's fullest slots (``full``), or of all if
+    those are empty here, the ones with LEAST_PART of the greatest weight are returned (of equal
+    ones all), each with all that stands in the innermost element around its prose, or in the
+    articles of the page if it is in one. There the texts of the template stay: a passage that
+    all articles share is theirs.
     """
-    whole = [b for b in page.blocks if not b.aside]
-    inside = [b for b in whole if b.article is not None]
-    if inside:
-        return "\n".join(b.text for b in inside)
-    left = [b for b in whole if text_token(b) not in template]
-    prose = [b for b in left if 2 * b.linked <= len(b.text)]
-    if not prose:
-        return ""
     weight: Counter = Counter()
-    for b in prose:
-        for number in b.parents[:-1] or b.parents:
-            weight[number] += len(b.text)
-    total = sum(len(b.text) for b in prose)
-    depth = {number: k for b in prose for k, number in enumerate(b.parents)}
-    slot = max((n for n in weight if 5 * weight[n] >= 3 * total), key=lambda n: (depth[n], weight[n]))
-    return "\n".join(b.text for b in left if slot in b.parents)
+    members: dict[int, list[Block]] = {}
+    for b, slot in zip(page.blocks, slots_of(page, list(frame))):
+        prose = prose_of(b)
+        if prose and (b.article is not None or text_token(b) not in template):
+            weight[slot] += prose
+            members.setdefault(slot, []).append(b)
+    if not full.isdisjoint(weight):
+        weight = Counter({slot: n for slot, n in weight.items() if slot in full})
+    if not weight:
+        return ""
+    least = LEAST_PART * max(weight.values())
+    chosen = [members[slot] for slot in weight if weight[slot] >= least]
+    # prose outside of a named article is weighed against it, text in one is not left out
+    named = any(b.article is not None for blocks in chosen for b in blocks)
+    around = {_around(blocks) for blocks in chosen if not all(b.article is not None for b in blocks)}
+    out = []
+    for b in page.blocks:
+        if b.aside:
+            continue
+        if b.article is not None:
+            if named:
+                out.append(b.text)
+        elif not around.isdisjoint(b.parents) and text_token(b) not in template:
+            out.append(b.text)
+    return "\n".join(out)
 
 
 def _tokens(batches):
-    """Per page: host, a hash of the page, and the tokens outside of articles with their counts."""
+    """Per page: host, a hash of the page, and its tokens with counts, first places and prose."""
+    names = ["host", "digest", "token", "n", "at", "is_tag", "prose"]
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
     for batch in batches:
-        hosts, digests, tokens, counts, tags = [], [], [], [], []
+        rows = []
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             page = read_page(html)
-            digest = _token("page", html or "")
-            seen = Counter({(_token("tag", path), True): n for path, n in page.tags.items()})
-            seen.update((text_token(b), False) for b in page.blocks if b.article is None and not b.aside)
-            for (token, is_tag), n in seen.items():
-                hosts.append(host)
-                digests.append(digest)
-                tokens.append(token)
-                counts.append(n)
-                tags.append(is_tag)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(hosts, pa.string()), pa.array(digests, pa.int64()), pa.array(tokens, pa.int64()), pa.array(counts, pa.int64()), pa.array(tags, pa.bool_())],
-            names=["host", "digest", "token", "n", "is_tag"],
-        )
+            digest = _token("page", 0, html or "")
+            rows += [(host, digest, token, n, page.first[token], True, 0) for token, n in page.tags.items()]
+            texts: Counter = Counter()
+            places: dict[int, tuple[int, int]] = {}
+            for b in page.blocks:
+                token = text_token(b)
+                texts[token] += 1
+                places.setdefault(token, (b.at, prose_of(b)))
+            rows += [(host, digest, token, n, places[token][0], False, places[token][1]) for token, n in texts.items()]
+        columns = zip(*rows) if rows else [[]] * 7
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
 def host_of(url: Column) -> Column:
@@ -300,39 +400,77 @@ def host_of(url: Column) -> Column:
 def deduce_templates(
     pages: DataFrame, min_pages: int = MIN_PAGES, min_share_pct: int = MIN_SHARE_PCT
 ) -> DataFrame:
-    """host and the template's text tokens of every host that has any (host, url, html).
+    """host, frame (tags), template (texts) and full (slots) of every host of (host, html) with a frame.
+
+    The full slots are those that hold, over all pages, LEAST_PART of the prose of the fullest; a
+    slot is named by the token of the frame before it.
 
     Occurrence vectors are compared by a hash that adds up over pages; equal pages count once.
-    A class belongs to the template if ``min_pages`` distinct pages and ``min_share_pct``
-    percent of the host's hold it and if it has a tag. That share bounds a host's tokens by a
-    multiple of a page's.
+    A class is looked at if ``min_pages`` distinct pages and ``min_share_pct`` percent of the
+    host's hold it. That share bounds a host's tokens by a multiple of a page's.
     """
     told = pages.filter("host is not null").select("host", "html").mapInArrow(
-        _tokens, "host string, digest bigint, token bigint, n bigint, is_tag boolean"
+        _tokens, "host string, digest bigint, token bigint, n bigint, at bigint, is_tag boolean, prose bigint"
     )
-    once = told.groupBy("host", "token", "digest").agg(F.max("n").alias("n"), F.max("is_tag").alias("is_tag"))
+    once = told.groupBy("host", "token", "digest").agg(
+        F.max("n").alias("n"), F.min("at").alias("at"), F.max("is_tag").alias("is_tag"), F.max("prose").alias("prose")
+    )
+    once = stored(once, "tokens")
     vectors = once.groupBy("host", "token").agg(
         F.bit_xor(F.xxhash64("digest", "n")).alias("vector"),
-        F.count("*").alias("n_pages"),
-        F.max("is_tag").alias("is_tag"),
+        F.count("*").alias("n_pages"), F.max("n").alias("most"), F.max("is_tag").alias("is_tag"),
     )
     vectors = stored(vectors.filter(F.col("n_pages") >= min_pages), "vectors")
-    most = vectors.groupBy("host").agg(F.max("n_pages").alias("host_pages"))
-    tagged = vectors.filter("is_tag").select("host", "vector", "n_pages").distinct()
-    frequent = (
-        vectors.filter("not is_tag")
-        .join(tagged, ["host", "vector", "n_pages"], "left_semi")
-        .join(most, "host")
-        .filter(100 * F.col("n_pages") >= min_share_pct * F.col("host_pages"))
+    widest = vectors.groupBy("host").agg(F.max("n_pages").alias("host_pages"))
+    frequent = vectors.join(widest, "host").filter(100 * F.col("n_pages") >= min_share_pct * F.col("host_pages"))
+    frequent = stored(frequent.select("host", "token", "vector", "n_pages", "most", "is_tag"), "frequent")
+    # valid classes: one order of their tokens on all pages (equal places: by token)
+    placed = stored(once.select("host", "token", "digest", "at").join(frequent, ["host", "token"]), "placed")
+    order = F.xxhash64(F.transform(F.sort_array(F.collect_list(F.struct("at", "token"))), lambda x: x["token"]))
+    per_page = placed.groupBy("host", "vector", "digest").agg(order.alias("order"))
+    valid = per_page.groupBy("host", "vector").agg((F.min("order") == F.max("order")).alias("ordered"))
+    valid = stored(valid.filter("ordered").select("host", "vector"), "valid")
+    classes = placed.join(valid, ["host", "vector"], "left_semi")
+    # the frame: the valid class with most tags that stand once on a page
+    tags = frequent.filter("is_tag and most = 1").join(valid, ["host", "vector"], "left_semi")
+    sizes = tags.groupBy("host", "vector").agg(F.count("*").alias("n_tags"), F.max("n_pages").alias("n_pages"))
+    frames = sizes.groupBy("host").agg(F.max_by("vector", F.struct("n_pages", "n_tags", "vector")).alias("vector"))
+    frames = stored(tags.join(frames, ["host", "vector"], "left_semi").select("host", "token"), "frames")
+    edges = placed.join(frames, ["host", "token"], "left_semi").groupBy("host", "digest").agg(
+        F.sort_array(F.collect_list(F.struct("at", "token"))).alias("edges")
+    )
+    edges = stored(edges, "edges")
+    # texts of classes that nest: in one slot of the frame on every page, beside a tag of their class
+    tagged = frequent.filter("is_tag").select("host", "vector").distinct()
+    texts = classes.filter("not is_tag").join(tagged, ["host", "vector"], "left_semi")
+    before = F.filter("edges", lambda edge: edge["at"] < F.col("at"))
+    slot = F.when(F.size(before) > 0, F.element_at(before, -1)["token"]).otherwise(0)
+    slotted = texts.join(edges, ["host", "digest"]).select("host", "token", "n_pages", slot.alias("slot"))
+    nested = slotted.groupBy("host", "token").agg(
+        F.min("slot").alias("low"), F.max("slot").alias("high"), F.count("*").alias("n"), F.max("n_pages").alias("n_pages")
     )
-    return frequent.groupBy("host").agg(F.collect_set("token").alias("template"))
+    nested = stored(nested.filter("low = high and n = n_pages").select("host", "token"), "nested")
+    # the full slots, by the prose of other texts
+    own = once.filter("prose > 0").join(nested, ["host", "token"], "left_anti").join(edges, ["host", "digest"])
+    weights = own.groupBy("host", slot.alias("slot")).agg(F.sum(F.col("prose") * F.col("n")).alias("weight"))
+    weights = stored(weights, "weights")
+    greatest = weights.groupBy("host").agg(F.max("weight").alias("greatest"))
+    full = weights.join(greatest, "host").filter(F.col("weight") >= LEAST_PART * F.col("greatest"))
+    out = frames.groupBy("host").agg(F.collect_set("token").alias("frame"))
+    out = out.join(nested.groupBy("host").agg(F.collect_set("token").alias("template")), "host", "left")
+    return out.join(full.groupBy("host").agg(F.collect_set("slot").alias("full")), "host", "left")
 
 
 def _extracted(batches):
     for batch in batches:
         texts = []
-        for html, template in zip(batch.column("html").to_pylist(), batch.column("template").to_pylist()):
-            texts.append(extract(read_page(html), set(template or ())))
+        # most pages of a batch share their host's template: made into sets once
+        sets: dict[str, tuple] = {}
+        for host, html, *lists in zip(*[batch.column(c).to_pylist() for c in ("host", "html", "template", "frame", "full")]):
+            if host not in sets:
+                sets[host] = tuple(set(found or ()) for found in lists)
+            template, frame, full = sets[host]
+            texts.append(extract(read_page(html), template, frame, full))
         yield pa.RecordBatch.from_arrays(
             [batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string())],
             names=["page_id", "url", "text"],
@@ -344,14 +482,15 @@ def extract_pages(pages: DataFrame) -> DataFrame:
 
     Character references are decoded, white space inside a block is one blank, blocks are
     joined by a line end in page order. A null or empty html has an empty text. Pages without
-    a host in their url have no template. Repeated rows are extracted alike; other columns are
-    ignored. Runs jobs when called.
+    a host in their url have no template: there the elements around blocks are the slots. Slots of
+    equal weight are all returned. Pages are read in time proportional to their length, whatever is
+    left open in them. Repeated rows are extracted alike; other columns are ignored. Runs jobs when called.
     """
     rows = pages.select("page_id", "url", "html").withColumn("host", host_of(F.col("url")))
     templates = stored(deduce_templates(rows), "templates")
     kind = pages.schema["page_id"].dataType.simpleString()
     found = (
-        rows.join(templates, "host", "left").select("page_id", "url", "html", "template")
+        rows.join(templates, "host", "left").select("page_id", "url", "host", "html", "template", "frame", "full")
         .mapInArrow(_extracted, f"page_id {kind}, url string, text string")
     )
     return found.withColumn("n_chars", F.length("text").cast("long"))
