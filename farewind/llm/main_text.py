@@ -376,19 +376,31 @@ def _tokens(batches):
     names = ["host", "digest", "token", "n", "at", "is_tag", "prose"]
     kinds = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
     for batch in batches:
-        rows = []
+        columns: list[list] = [[] for _ in names]
+        hosts, digests, tokens, counts, firsts, is_tag, prose = columns
         for host, html in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
             page = read_page(html)
             digest = _token("page", 0, html or "")
-            rows += [(host, digest, token, n, page.first[token], True, 0) for token, n in page.tags.items()]
             texts: Counter = Counter()
-            places: dict[int, tuple[int, int]] = {}
+            places: dict[int, int] = {}
+            weights: dict[int, int] = {}
             for b in page.blocks:
                 token = text_token(b)
                 texts[token] += 1
-                places.setdefault(token, (b.at, prose_of(b)))
-            rows += [(host, digest, token, n, places[token][0], False, places[token][1]) for token, n in texts.items()]
-        columns = zip(*rows) if rows else [[]] * 7
+                if token not in places:
+                    places[token], weights[token] = b.at, prose_of(b)
+            n_tags, n_texts = len(page.tags), len(texts)
+            hosts += [host] * (n_tags + n_texts)
+            digests += [digest] * (n_tags + n_texts)
+            tokens += page.tags
+            tokens += texts
+            counts += page.tags.values()
+            counts += texts.values()
+            firsts += map(page.first.__getitem__, page.tags)
+            firsts += places.values()
+            is_tag += [True] * n_tags + [False] * n_texts
+            prose += [0] * n_tags
+            prose += weights.values()
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
