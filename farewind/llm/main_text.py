@@ -20,6 +20,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -81,6 +82,7 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 @dataclass(slots=True)
 class Element:
     tag: str
+    block: bool
     path: int
     aside: bool
     article: int | None  # number of the outermost article it stands in
@@ -109,8 +111,12 @@ class Page:
     n_tags: int = 0
 
     def saw(self, token: int) -> None:
-        self.tags[token] += 1
-        self.first.setdefault(token, self.n_tags)
+        seen = self.tags.get(token)
+        if seen is None:
+            self.tags[token] = 1
+            self.first[token] = self.n_tags
+        else:
+            self.tags[token] = seen + 1
         self.n_tags += 1
 
 
@@ -148,12 +154,24 @@ def _is_aside(tag: str, names: list[list[str]], role: str, hidden: bool, in_arti
     return hidden or tag in ASIDE_TAGS or role in ASIDE_ROLES or told
 
 
+def _judged(tag: str, attributes: str, in_article: bool) -> tuple[str, bool]:
+    """The label of a block element among its siblings, and whether the element stands aside."""
+    names, role, hidden = _attributes(attributes)
+    label = ".".join([tag, *sorted({word for name in names for word in name})])
+    return label, _is_aside(tag, names, role, hidden, in_article)
+
+
+# The same few tags come again on all pages of a host; long ones are not kept.
+_LONGEST_KEPT = 300
+_judged_before = lru_cache(1 << 14)(_judged)
+
+
 class _Reader:
     """Builds a Page from the tags and texts of one document, mending what is not closed."""
 
     def __init__(self):
         self.page = Page()
-        self.root = Element("", 0, False, None, (0,), False)
+        self.root = Element("", False, 0, False, None, (0,), False)
         self.stack: list[Element] = []
         self.is_open: Counter = Counter()  # elements of each tag on the stack
         self.siblings: Counter = Counter()  # elements so far by their parent's path and own label
@@ -174,20 +192,28 @@ class _Reader:
 
     def flush(self) -> None:
         """End a block of text; what an inline element put aside has added is left out."""
-        own = next((k for k in range(len(self.stack) - 1, -1, -1) if self.stack[k].tag in BLOCKS), -1)
-        at = self.stack[own] if own >= 0 else self.root
-        inline = next((e for e in self.stack[own + 1 :] if e.aside and not at.aside), None)
-        parts = self.parts if inline is None else self.parts[: inline.mark]
-        text = " ".join("".join(parts).split())
-        if text:
-            self.page.blocks.append(Block(at.path, at.aside, at.article, at.parents, text, self.linked, self.page.n_tags))
-        self.parts, self.linked = [], 0
+        stack = self.stack
+        own = len(stack) - 1
+        while own >= 0 and not stack[own].block:
+            own -= 1
+        at = stack[own] if own >= 0 else self.root
+        inline = stack[own + 1 :]
+        if self.parts:
+            aside = next((e for e in inline if e.aside and not at.aside), None)
+            parts = self.parts if aside is None else self.parts[: aside.mark]
+            text = " ".join("".join(parts).split())
+            if text:
+                self.page.blocks.append(
+                    Block(at.path, at.aside, at.article, at.parents, text, self.linked, self.page.n_tags)
+                )
+            self.parts, self.linked = [], 0
         # inline elements below the block were set when it was opened
-        for e in self.stack[own + 1 :]:
+        for e in inline:
             e.mark = 0
 
     def open(self, tag: str, attributes: str) -> None:
-        if tag in BLOCKS:
+        block = tag in BLOCKS
+        if block:
             self.flush()
             if self.is_open["p"]:
                 self._close_to("p", ("table", "td", "th", "article", "section", "div", "li", "body", "aside", "blockquote"))
@@ -200,32 +226,32 @@ class _Reader:
         if tag in VOID:
             return
         parent = self.top
-        names, role, hidden = _attributes(attributes)
         article = parent.article
-        own = _is_aside(tag, names, role, hidden, article is not None)
+        judged = _judged_before if len(attributes) <= _LONGEST_KEPT else _judged
+        label, own = judged(tag, attributes, article is not None)
         self.count += 1
         if article is None and tag in ("article", "main") and not (own or parent.aside):
             article = self.count
         elif tag == "article" and not own and not self.is_open["article"] and not parent.aside:
             article = self.count  # an article inside main is the closer of the two
-        path = parent.path
-        if tag in BLOCKS:
-            words = sorted({word for name in names for word in name})
-            label = ".".join([tag, *words])
-            self.siblings[path, label] += 1
-            path = _token("tag", path, f"{label}#{self.siblings[path, label]}")
-        parents = (*parent.parents, self.count) if tag in BLOCKS and len(parent.parents) < 200 else parent.parents
+        path, parents = parent.path, parent.parents
+        if block:
+            number = self.siblings[path, label] = self.siblings[path, label] + 1
+            named = _tag_token if len(label) <= _LONGEST_KEPT else _tag_token.__wrapped__
+            path = named(path, label, number)
+            if len(parents) < 200:
+                parents = (*parents, self.count)
         self.stack.append(
-            Element(tag, path, parent.aside or own, article, parents, parent.link or tag == "a", len(self.parts))
+            Element(tag, block, path, parent.aside or own, article, parents, parent.link or tag == "a", len(self.parts))
         )
         self.is_open[tag] += 1
-        if tag in BLOCKS:
+        if block:
             self.page.saw(path)
 
     def _pop(self) -> Element:
         element = self.stack.pop()
         self.is_open[element.tag] -= 1
-        if element.tag in BLOCKS:
+        if element.block:
             self.page.saw(~element.path)
         return element
 
@@ -296,6 +322,11 @@ def _token(kind: str, path: int, text: str = "") -> int:
     return int.from_bytes(digest, "big", signed=True)
 
 
+@lru_cache(1 << 16)
+def _tag_token(path: int, label: str, number: int) -> int:
+    return _token("tag", path, f"{label}#{number}")
+
+
 def text_token(block: Block) -> int:
     return _token("text", block.path, block.text)
 
