@@ -40,6 +40,9 @@ _NOTE_SCHEMA = "version long, kind string, token string, first_ts timestamp, las
 # Folders of a log that readers skip: notes of finished commits, and rows not yet moved into it.
 _NOTES, _APART = "_commits", "_apart"
 
+#: A key with more than this share of a target's rows is crowded (a thousand keys at most are).
+CROWDED_SHARE = 0.001
+
 # The look-back periods, in hours, of the price comparison.
 LOOK_BACK_HOURS = (1, 2, 3, 4, 6, 8, 10, 12, 14, 16, 18, 20)
 
@@ -58,10 +61,13 @@ def merge_upsert(
     source row with the largest values is taken instead.
 
     Runs jobs when called: the source is stored, because it is used several times, and its
-    repeated keys are looked for. The target is read twice (all columns, then keys only).
+    repeated keys are looked for. The target is read twice (keys only, then all columns) and
+    shuffled once, or not at all if the source is broadcast.
     """
-    source = _ready(target, source, keys, on_duplicate)
+    source, repeats = _ready(target, source, keys, on_duplicate)
     values = [name for name in target.columns if name not in keys]
+    if not (repeats or fits_broadcast(source)):
+        return _upsert_at_once(target, source, keys, values)
     hit = F.col("__hit").isNotNull()
     updated = (
         _spread(target, keys)
@@ -87,7 +93,7 @@ def merge_changes(
     with its id, and added rows have none yet. Otherwise there is one row per source row.
     Errors and jobs as in ``merge_upsert``.
     """
-    source = _ready(target, source, keys, on_duplicate)
+    source, _ = _ready(target, source, keys, on_duplicate)
     if ROW_ID not in target.columns:
         matched = _matched_keys(target, source, keys).withColumn("__hit", F.lit(True))
         keyed = source.filter(_no_nulls(keys)).join(matched, list(keys), "left")
@@ -109,16 +115,66 @@ def merge_changes(
     return replaced.unionByName(added.select(*replaced.columns))
 
 
-def _ready(target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str) -> DataFrame:
-    """The source, stored; repeated keys that match a target row are an error or settled."""
+def _upsert_at_once(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], values: Sequence[str]
+) -> DataFrame:
+    """An upsert by one full outer join, for a source whose full keys are distinct.
+
+    A full outer join cannot be split at run time, so crowded keys do not take part: their rows are
+    updated where they are read, from the few source rows they match, and pass the join spread
+    over its tasks. All crowded keys are in the target, so no source row of theirs is added. The
+    first join key is a hash of all keys, by which rows are sorted quickly.
+    """
+    hashed = F.xxhash64(*keys).alias("__hash")
+    crowded = _crowded_keys(target, keys)
+    new = source.filter(_no_nulls(keys)).select(
+        hashed, *keys, F.lit(True).alias("__hit"), *[F.col(name).alias(f"__new_{name}") for name in values]
+    )
+    told = new.drop("__hash").join(F.broadcast(crowded), list(keys), "left_semi")
+    others = new.join(F.broadcast(crowded), list(keys), "left_anti").withColumn("__spread", F.lit(0))
+
+    def settled(rows: DataFrame, *more: Column) -> DataFrame:
+        hit = F.col("__hit").isNotNull()
+        picked = [
+            F.when(hit, F.col(f"__new_{name}")).otherwise(F.col(name)).alias(name) if name in values else F.col(name)
+            for name in target.columns
+        ]
+        return rows.select(*picked, *more)
+
+    marked = target.join(F.broadcast(crowded.withColumn("__crowded", F.lit(True))), list(keys), "left")
+    marked = settled(marked.join(F.broadcast(told), list(keys), "left"), F.col("__crowded"))
+    alone = ~_no_nulls(keys) | F.col("__crowded").isNotNull()
+    spread = F.when(alone, _apart(target.columns)).otherwise(0)
+    own = marked.select(hashed, *target.columns, spread.alias("__spread"))
+    merged = settled(own.join(others, ["__hash", *keys, "__spread"], "full"))
+    return merged.unionByName(source.filter(~_no_nulls(keys)).select(*target.columns))
+
+
+def _crowded_keys(target: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Full keys of the target, among them all with more than CROWDED_SHARE of its rows.
+
+    Counters bounded by that share are merged from task to task: a thousand keys at most.
+    """
+    full = target.filter(_no_nulls(keys)).select(F.struct(*keys).alias("key"))
+    found = full.stat.freqItems(["key"], CROWDED_SHARE).select(F.explode("key_freqItems").alias("key"))
+    return stored(found.select("key.*").distinct(), "crowded-keys")
+
+
+def _ready(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str
+) -> tuple[DataFrame, bool]:
+    """The source, stored, and whether full keys repeat in it.
+
+    Repeated keys that match a target row are an error, or settled later.
+    """
     if on_duplicate not in ("error", "largest"):
         raise ValueError(f"unknown choice for duplicates: {on_duplicate}")
     rows = stored(source, "upsert-source")
-    if on_duplicate == "error":
-        repeated = rows.filter(_no_nulls(keys)).groupBy(*keys).count().filter("count > 1").select(*keys)
-        if not repeated.isEmpty() and not target.join(repeated, list(keys), "left_semi").isEmpty():
-            raise ValueError("more than one source row matches a target row")
-    return rows
+    repeated = rows.filter(_no_nulls(keys)).groupBy(*keys).count().filter("count > 1").select(*keys)
+    repeats = not repeated.isEmpty()
+    if repeats and on_duplicate == "error" and not target.join(repeated, list(keys), "left_semi").isEmpty():
+        raise ValueError("more than one source row matches a target row")
+    return rows, repeats
 
 
 def _no_nulls(keys: Sequence[str]) -> Column:
@@ -127,8 +183,12 @@ def _no_nulls(keys: Sequence[str]) -> Column:
 
 def _spread(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows without a full key would all meet in one task of a shuffled join."""
-    apart = 1 + F.abs(F.hash(*rows.columns) % 1000)
-    return rows.withColumn("__spread", F.when(_no_nulls(keys), F.lit(0)).otherwise(apart))
+    return rows.withColumn("__spread", F.when(_no_nulls(keys), F.lit(0)).otherwise(_apart(rows.columns)))
+
+
+def _apart(columns: Sequence[str]) -> Column:
+    """A number from 1 to 1000, fixed by the row and the task that reads it; copies differ by task."""
+    return 1 + F.abs(F.hash(*columns, F.spark_partition_id()) % 1000)
 
 
 def _one_per_key(source: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:

@@ -115,11 +115,42 @@ def test_another_commit_of_the_same_number_is_an_error(spark):
     assert changelog.read_changes(spark, path, schemas.QUOTE_CHANGES).count() == 48
 
 
+def test_a_large_upsert_shuffles_its_target_once(spark, no_broadcast):
+    no_broadcast()
+    path = new_folder(spark, "upsert-target")
+    spark.range(4000).select((F.col("id") % 900).alias("k"), F.lit("b").alias("b"), "id").write.parquet(path)
+    target = spark.read.parquet(path)
+    source = spark.range(600, 1200).select(F.col("id").alias("k"), F.lit("b").alias("b"), (-F.col("id")).alias("id"))
+    merged = changelog.merge_upsert(target, source, ["k", "b"])
+    text = merged._jdf.queryExecution().sparkPlan().toString()
+    assert text.count("upsert-target") == 1 and text.count("FullOuter") == 1
+    assert merged.count() == 4000 + 300 and merged.filter("id < 0").count() == merged.filter("k >= 600").count()
+
+
+def test_a_crowded_key_is_spread_in_an_upsert(spark, no_broadcast):
+    """A third of the rows has one key, and many of these are equal: no task gets them all."""
+    no_broadcast()
+    path = new_folder(spark, "crowded-target")
+    crowd = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+    spark.range(0, 30000, 1, 8).select(crowd.alias("k"), F.lit(1).alias("p")).write.parquet(path)
+    target = spark.read.parquet(path)
+    source = spark.range(-1, 10000).select(F.col("id").alias("k"), F.lit(2).alias("p"))
+    merged = changelog.merge_upsert(target, source, ["k"])
+    sizes = merged.filter("k = -1").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 10000
+    assert "crowded-keys" in merged._jdf.queryExecution().sparkPlan().toString()
+    expected = 10000 + sum(1 for i in range(10000) if i % 3) + sum(1 for i in range(10000) if i % 3 == 0)
+    assert merged.filter("p = 2").count() == expected
+    assert [tuple(r) for r in merged.filter("k = -1").select("p").distinct().collect()] == [(2,)]
+
+
 @pytest.mark.parametrize("seed", range(3))
-@pytest.mark.parametrize("small", [True, False])
-def test_upsert_against_a_dictionary(spark, no_broadcast, seed, small):
-    if not small:
+@pytest.mark.parametrize("share", [None, 0.001, 0.2, 1.0])
+def test_upsert_against_a_dictionary(spark, no_broadcast, monkeypatch, seed, share):
+    """With a broadcast source, and with all, some or hardly any key taken for crowded."""
+    if share is not None:
         no_broadcast()
+        monkeypatch.setattr(changelog, "CROWDED_SHARE", share)
     chance = random.Random(seed)
 
     def key():
