@@ -66,7 +66,8 @@ def merge_upsert(
     """
     source, repeats = _ready(target, source, keys, on_duplicate)
     values = [name for name in target.columns if name not in keys]
-    if not (repeats or fits_broadcast(source)):
+    settled = on_duplicate == "error" or not repeats  # what repeats matches nothing
+    if settled and not fits_broadcast(source):
         return _upsert_at_once(target, source, keys, values)
     hit = F.col("__hit").isNotNull()
     updated = (
@@ -118,7 +119,7 @@ def merge_changes(
 def _upsert_at_once(
     target: DataFrame, source: DataFrame, keys: Sequence[str], values: Sequence[str]
 ) -> DataFrame:
-    """An upsert by one full outer join, for a source whose full keys are distinct.
+    """An upsert by one full outer join, for a source whose keys match the target once at most.
 
     A full outer join cannot be split at run time, so crowded keys do not take part: their rows are
     updated where they are read, from the few source rows they match, and pass the join spread
