@@ -426,15 +426,30 @@ def as_of(
     at: Column | str | datetime | int | None = None,
     order: Sequence[str] = CHANGE_ORDER,
     by: str = "_commit_ts",
+    on_tie: str = "any",
 ) -> DataFrame:
     """The table as it was at a time (or, with ``by="_version"``, a version); default: now.
 
-    Empty before the first commit. One shuffle, of one row per key and map task.
+    Empty before the first commit. One shuffle, of one row per key and map task. Where the newest
+    changes of a key are equal in ``order`` but differ, any of them is taken, or with
+    ``on_tie="error"`` that is an error when rows are read.
     """
+    if on_tie not in ("any", "error"):
+        raise ValueError(f"unknown choice for ties: {on_tie}")
     values = _value_columns(changes, keys)
     seen = changes if at is None else changes.filter(F.col(by) <= _cutoff(changes, by, at))
     newest = F.max_by(F.struct(*values, "_op"), F.struct(*order)).alias("__row")
-    rows = seen.groupBy(*keys).agg(newest).filter(F.col("__row._op") != "D")
+    stays = F.col("__row._op") != "D"
+    if on_tie == "any":
+        rows = seen.groupBy(*keys).agg(newest).filter(stays)
+    else:
+        # the largest and the smallest hash among the changes that come last
+        content = F.xxhash64(*values, "_op")
+        high, low = (F.max(F.struct(*order, h.alias("__content"))) for h in (content, F.bitwise_not(content)))
+        rows = seen.groupBy(*keys).agg(newest, high.alias("__high"), low.alias("__low"))
+        tie = F.col("__high.__content") != F.bitwise_not(F.col("__low.__content"))
+        told = F.raise_error(F.lit("two newest changes of a key differ")).cast("boolean")
+        rows = rows.filter(F.when(tie, told).otherwise(stays))
     return rows.select(*_in_table_order(changes, keys, values))
 
 

@@ -456,3 +456,16 @@ def test_trend_of_zoneless_times_in_any_session_zone(spark, zone):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert line.slope == pytest.approx(5 / 43200, rel=1e-12)
     assert line.n == 6
+
+
+def test_differing_newest_changes_can_be_an_error(spark):
+    fields = "k int, p int, _version long, _commit_ts timestamp, _op string"
+    rows = [(1, 5, 0, START, "I"), (1, 5, 0, START, "I"), (2, 6, 0, START, "I"), (2, 7, 1, START, "U"), (3, 1, 1, START, "D")]
+    log = spark.createDataFrame(rows, fields)
+    assert as_set(changelog.as_of(log, ["k"], on_tie="error")) == {(1, 5), (2, 7)}
+    tied = log.union(spark.createDataFrame([(2, 8, 1, START, "U")], fields))
+    assert {r.k for r in changelog.as_of(tied, ["k"]).collect()} == {1, 2}
+    with pytest.raises(Exception, match="two newest changes"):
+        changelog.as_of(tied, ["k"], on_tie="error").collect()
+    with pytest.raises(ValueError, match="unknown choice"):
+        changelog.as_of(log, ["k"], on_tie="guess")
