@@ -132,7 +132,7 @@ def _upsert_at_once(
         hashed, *keys, F.lit(True).alias("__hit"), *[F.col(name).alias(f"__new_{name}") for name in values]
     )
     told = new.drop("__hash").join(F.broadcast(crowded), list(keys), "left_semi")
-    others = new.join(F.broadcast(crowded), list(keys), "left_anti").withColumn("__spread", F.lit(0))
+    others = new.join(F.broadcast(crowded), list(keys), "left_anti").withColumn("__spread", _at_home(keys))
 
     def settled(rows: DataFrame, *more: Column) -> DataFrame:
         hit = F.col("__hit").isNotNull()
@@ -187,6 +187,11 @@ def _spread(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.withColumn("__spread", F.when(_no_nulls(keys), F.lit(0)).otherwise(_apart(rows.columns)))
 
 
+def _at_home(keys: Sequence[str]) -> Column:
+    """Zero, in a form that is not folded: a constant would drop out of the join's keys."""
+    return F.hash(*keys).bitwiseAND(F.lit(0))
+
+
 def _apart(columns: Sequence[str]) -> Column:
     """A number from 1 to 1000, fixed by the row and the task that reads it; copies differ by task."""
     return 1 + F.abs(F.hash(*columns, F.spark_partition_id()) % 1000)
@@ -200,7 +205,7 @@ def _one_per_key(source: DataFrame, keys: Sequence[str], values: Sequence[str])
         *keys,
         F.col("__row.hit").alias("__hit"),
         *[F.col(f"__row.{name}").alias(f"__new_{name}") for name in values],
-        F.lit(0).alias("__spread"),
+        _at_home(keys).alias("__spread"),
     )
 
 

@@ -137,8 +137,12 @@ def test_a_crowded_key_is_spread_in_an_upsert(spark, no_broadcast):
     target = spark.read.parquet(path)
     source = spark.range(-1, 10000).select(F.col("id").alias("k"), F.lit(2).alias("p"))
     merged = changelog.merge_upsert(target, source, ["k"])
-    sizes = merged.filter("k = -1").groupBy(F.spark_partition_id()).count().collect()
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    sizes = merged.filter("k = -1").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    spark.conf.unset(name)
     assert sum(r["count"] for r in sizes) == 10000
+    assert len(sizes) > 2 and max(r["count"] for r in sizes) <= 6000
     assert "crowded-keys" in merged._jdf.queryExecution().sparkPlan().toString()
     expected = 10000 + sum(1 for i in range(10000) if i % 3) + sum(1 for i in range(10000) if i % 3 == 0)
     assert merged.filter("p = 2").count() == expected
