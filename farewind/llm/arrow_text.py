@@ -102,6 +102,13 @@ class Words:
         down = _power("down", _P_INVERSE, len(self.data))
         return mix((sums[self.ends] - sums[self.starts]) * down[self.starts])
 
+    def runs(self, first: np.ndarray, stop: np.ndarray) -> np.ndarray:
+        """Hashes of the runs of words from ``first`` to before ``stop``; empty runs have 0."""
+        n = len(self.hash) + 1
+        sums = np.zeros(n, np.uint64)
+        np.cumsum(self.hash * _power("up", _P, n)[:-1], out=sums[1:])
+        return (sums[stop] - sums[first]) * _power("down", _P_INVERSE, n)[first]
+
     def word(self, i: int) -> bytes:
         return self.data[self.starts[i] : self.ends[i]].tobytes()
 

@@ -8,6 +8,11 @@ their log-odds are added up with weights and squashed. The depth in the tree is
 chooses the weights; every text starts with the same ones, which are then refined on the text
 itself: after each block of symbols the weights move against the coding error of that block,
 so a block is always scored with weights that come from what stands before it.
+
+The tables above have a fixed number of rows. What grows with the corpus, besides the counts of
+words, are the continuations of ``farewind.llm.continuations``: at anchors in the text one more
+bit says whether the words up to the next anchor are those that most often followed the same
+context in other training texts, and if so they cost nothing else.
 """
 
 from __future__ import annotations
@@ -19,7 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from farewind.llm import continuations
 from farewind.llm.arrow_text import Words, hash_word, pieces
+from farewind.llm.continuations import Anchors
 from farewind.scratch import stored
 
 #: Bytes that a lower-cased word in UTF-8 can hold, and the blank; the end mark comes after.
@@ -74,6 +81,8 @@ class Stream:
         total = int(self.first[-1])
         # a word's place: the words before it with their blanks, and the end marks before it
         begin = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1] + words.text
+        #: The place behind each word and its blank.
+        self.after = begin + sizes + 1
         self.symbols = np.full(total, _SYMBOL_OF[32], np.int64)
         ends_at = self.first[1:] - 1
         letters = np.ones(total, bool)
@@ -119,7 +128,7 @@ class Stream:
 
 
 def _counted(batches):
-    """Of all training texts of a partition: blocks of cells (kind 0), words (1), symbols (2)."""
+    """Of all training texts of a partition: blocks of cells (kind 0), words (1), symbols (2), anchors (3)."""
     table = _Cells()
     held: list[tuple[np.ndarray, np.ndarray]] = []
     n_held = ends = 0
@@ -131,6 +140,9 @@ def _counted(batches):
             symbols += np.bincount(stream.symbols, minlength=SYMBOLS)
             for cells in stream.cells():
                 table.count(cells)
+            anchors = Anchors(words)
+            if n := len(anchors.key):
+                yield _rows(3, anchors.key, np.ones(n, np.int64), [None] * n, anchors.segment)
             ends += words.n_texts
             held.append(np.unique(words.hash, return_counts=True))
             n_held += len(held[-1][0])
@@ -179,10 +191,14 @@ class _Cells:
         return counts
 
 
-def _rows(kind: int, keys: np.ndarray, counts: np.ndarray, packed: list) -> pa.RecordBatch:
+def _rows(kind: int, keys: np.ndarray, counts: np.ndarray, packed: list, following=None) -> pa.RecordBatch:
+    following = pa.nulls(len(keys), pa.int32()) if following is None else pa.array(following)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(counts), pa.array(packed, pa.binary())],
-        names=["kind", "key", "n", "packed"],
+        [
+            pa.array(np.full(len(keys), kind, np.int32)), pa.array(keys), pa.array(counts),
+            pa.array(packed, pa.binary()), following,
+        ],
+        names=["kind", "key", "n", "packed", "next"],
     )
 
 
@@ -314,8 +330,12 @@ class Model:
 
     def score(self, stream: Stream) -> np.ndarray:
         """Natural log of the probability of each text of the stream."""
+        return np.add.reduceat(self.logs(stream), stream.first[:-1])
+
+    def logs(self, stream: Stream) -> np.ndarray:
+        """Natural log of the probability of each symbol of the stream."""
         n_texts = len(stream.lengths)
-        total = np.zeros(n_texts)
+        logs = np.zeros(len(stream.symbols))
         weights = np.empty((len(self.tree.node), n_texts, len(ROW_BITS)), np.float32)
         weights[:] = START_WEIGHTS
         begin, number = 0, 0
@@ -323,23 +343,23 @@ class Model:
         while True:
             live = live[stream.lengths[live] > begin]
             if not len(live):
-                return total
+                return logs
             size = BLOCKS[min(number, len(BLOCKS) - 1)]
             sizes = np.minimum(stream.lengths[live] - begin, size)
             text = np.repeat(live, sizes)
             inner = np.arange(len(text)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
             place = stream.first[text] + begin + inner
-            self._block(stream, place, text, weights, total)
+            self._block(stream, place, text, weights, logs)
             begin, number = begin + size, number + 1
 
-    def _block(self, stream, place, text, weights, total) -> None:
+    def _block(self, stream, place, text, weights, logs) -> None:
         symbol = stream.symbols[place]
         rows = [row[place] * self.n_nodes for row in stream.rows]
         depth = self.tree.depth[symbol]
         for k in range(len(self.tree.node)):
             going = depth > k
             if not going.all():
-                symbol, text, depth = symbol[going], text[going], depth[going]
+                symbol, text, depth, place = symbol[going], text[going], depth[going], place[going]
                 rows = [row[going] for row in rows]
             if not len(symbol):
                 return
@@ -355,19 +375,29 @@ class Model:
             np.clip(mixed, -16, 16, out=mixed)
             one = 1 / (1 + np.exp(-mixed))
             error = bit - one
-            total[texts] += np.add.reduceat(np.log1p(-np.abs(error)), begins, dtype=np.float64)
+            logs[place] += np.log1p(-np.abs(error))
             step = (RATE * _STEP) * np.minimum(1, _RATE_BITS / counts)
             for c, x in enumerate(odds):
                 mine[texts, c] += step * np.add.reduceat(error * x, begins)
 
 
+#: Lists of each text's anchors: context keys, segments, and what these cost without a bit.
+_AT_ANCHORS = ("key", "next", "cost")
+
+
 def _scorer(shared):
     def run(batches):
         model = shared.value
         for batch in batches:
             for piece in pieces(batch, limit=_SCORED_BYTES):
                 words = Words(piece.column("text"))
-                score = model.score(Stream(words)) / np.log(10)
+                stream = Stream(words)
+                sums_to = np.concatenate([[0], np.cumsum(model.logs(stream))])
+                score = np.diff(sums_to[stream.first])
+                anchors = Anchors(words)
+                behind = np.where(anchors.ends, stream.first[anchors.text + 1], stream.after[anchors.last])
+                costs = (sums_to[behind] - sums_to[stream.after[anchors.word]]).astype(np.float32)
+                anchored = np.concatenate([[0], np.cumsum(anchors.counts)])
                 at = np.searchsorted(model.hot_keys, words.hash)
                 at[at == len(model.hot_keys)] = 0
                 hot = model.hot_keys[at] == words.hash if len(model.hot_keys) else np.zeros(len(at), bool)
@@ -379,13 +409,17 @@ def _scorer(shared):
                 keys = pa.ListArray.from_arrays(
                     pa.array(offsets, pa.int32()), pa.array(words.hash[rare].view(np.int64))
                 )
+                at_anchors = [
+                    pa.ListArray.from_arrays(pa.array(anchored, pa.int32()), pa.array(values))
+                    for values in (anchors.key, anchors.segment, costs)
+                ]
                 lengths = np.bincount(words.text, words.ends - words.starts + 1, words.n_texts).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column("doc_id"), pa.array(words.counts.astype(np.int64)), pa.array(n_hot),
-                        pa.array(sums), pa.array(score), pa.array(lengths), keys,
+                        pa.array(sums), pa.array(score), pa.array(lengths), keys, *at_anchors,
                     ],
-                    names=["doc_id", "n_words", "n_hot", "hot_sum", "score", "n_bytes", "rare"],
+                    names=["doc_id", "n_words", "n_hot", "hot_sum", "mixed", "n_bytes", "rare", *_AT_ANCHORS],
                 )
 
     return run
@@ -421,8 +455,9 @@ def _collected(packed: DataFrame, keys: type, counts: type) -> tuple[np.ndarray,
     )
 
 
-def fit(texts: DataFrame, hot_words: int = HOT_WORDS) -> tuple[DataFrame, Model, int, int, int]:
-    """Counts of words (key, n), the model, and the tokens, kinds of token and ends in ``texts``.
+def fit(texts: DataFrame, hot_words: int = HOT_WORDS) -> tuple[DataFrame, DataFrame, Model, int, int, int]:
+    """Counts of words (key, n) and of anchors (key, next, n), the model, and the tokens, kinds of
+    token and ends in ``texts``.
 
     Every text counts. Tasks turn the counts into tables of log-odds; these have a fixed number
     of rows whatever the corpus, 59 MB in all at most, which bounds what the driver and the
@@ -430,7 +465,7 @@ def fit(texts: DataFrame, hot_words: int = HOT_WORDS) -> tuple[DataFrame, Model,
     """
     counted = stored(
         texts.select(F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
-            _counted, "kind int, key bigint, n bigint, packed binary"
+            _counted, "kind int, key bigint, n bigint, packed binary, next int"
         ),
         "counted",
     )
@@ -453,7 +488,8 @@ def fit(texts: DataFrame, hot_words: int = HOT_WORDS) -> tuple[DataFrame, Model,
     blocks = counted.filter("kind = 0").select("key", "packed").repartition("key")
     blocks = blocks.mapInArrow(_tabled(tree), "block bigint, odds binary").collect()
     model = Model(tree, blocks, (keys[order], times[order]))
-    return words, model, n_tokens, n_kinds, ends
+    pairs = counted.filter("kind = 3").select("key", "next", "n")
+    return words, pairs, model, n_tokens, n_kinds, ends
 
 
 def score_documents(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
@@ -461,18 +497,20 @@ def score_documents(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
 
     doc_id, held_out, n_tokens (words and one end), n_known (tokens seen in training),
     train_tokens, base_score (log10 of the add-one probability of the tokens), score (log10 of
-    the model's probability of the text) and bits_per_byte. A null text is empty: its one token
+    the model's probability of the text) and bits_per_byte. A training text is scored by what the
+    other texts, and its own other places, say about the continuations of its anchors. A null text is empty: its one token
     is the end. A row without a doc_id is not held out; repeated rows count as often as they
     come and are scored alike. Other columns are ignored. Runs jobs when called.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    words, model, n_train, n_kinds, ends = fit(rows.filter(~is_held_out(F.col("doc_id"))), hot_words)
+    words, pairs, model, n_train, n_kinds, ends = fit(rows.filter(~is_held_out(F.col("doc_id"))), hot_words)
     kind = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(model)
     scored = stored(
         rows.mapInArrow(
             _scorer(shared),
-            f"doc_id {kind}, n_words bigint, n_hot bigint, hot_sum double, score double, n_bytes bigint, rare array<bigint>",
+            f"doc_id {kind}, n_words bigint, n_hot bigint, hot_sum double, mixed double, n_bytes bigint, "
+            "rare array<bigint>, key array<bigint>, next array<int>, cost array<float>",
         ).withColumn("row", F.monotonically_increasing_id()),
         "scored",
     )
@@ -480,14 +518,19 @@ def score_documents(docs: DataFrame, hot_words: int = HOT_WORDS) -> DataFrame:
     known = rare.join(words, "key").groupBy("row").agg(
         F.sum(F.log10(F.col("n") + 1.0)).alias("rare_sum"), F.count("*").alias("n_rare")
     )
+    anchors = scored.select(
+        "row", is_held_out(F.col("doc_id")).alias("held_out"), F.posexplode(F.arrays_zip(*_AT_ANCHORS)).alias("at", "anchor")
+    ).select("row", "held_out", "at", *[f"anchor.{c}" for c in _AT_ANCHORS])
+    gained = continuations.gains(anchors, pairs)
+    score = (F.col("mixed") + F.coalesce("gain", F.lit(0.0))) / float(np.log(10))
     n_tokens = F.col("n_words") + 1
     gains = F.col("hot_sum") + F.coalesce("rare_sum", F.lit(0.0)) + F.log10(F.lit(ends + 1.0))
-    return scored.drop("rare").join(known, "row", "left").select(
+    return scored.drop("rare", *_AT_ANCHORS).join(known, "row", "left").join(gained, "row", "left").select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"),
         n_tokens.alias("n_tokens"),
         (F.col("n_hot") + F.coalesce("n_rare", F.lit(0)) + F.lit(1 if ends else 0)).cast("long").alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
         (gains - n_tokens * F.log10(F.lit(float(n_train + n_kinds + 1)))).alias("base_score"),
-        "score",
-        (-F.col("score") * float(np.log2(10)) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
+        score.alias("score"),
+        (-score * float(np.log2(10)) / F.greatest("n_bytes", F.lit(1))).alias("bits_per_byte"),
     )
