@@ -265,6 +265,7 @@ class Tree:
         for s, path in paths.items():
             for k, (node, bit) in enumerate(path):
                 self.node[k, s], self.bit[k, s] = node, bit
+        self.sign = 2 * self.bit - 1
         self._drop_unseen(frequencies)
 
     def _walk(self, root, children, path, paths) -> None:
@@ -357,13 +358,13 @@ class Model:
         rows = [row[place] * self.n_nodes for row in stream.rows]
         depth = self.tree.depth[symbol]
         for k in range(len(self.tree.node)):
-            going = depth > k
-            if not going.all():
-                symbol, text, depth, place = symbol[going], text[going], depth[going], place[going]
-                rows = [row[going] for row in rows]
-            if not len(symbol):
+            going = np.flatnonzero(depth > k)
+            if not len(going):
                 return
-            node, bit = self.tree.node[k].take(symbol), self.tree.bit[k].take(symbol)
+            if len(going) < len(depth):
+                symbol, text, depth, place = (a.take(going) for a in (symbol, text, depth, place))
+                rows = [row.take(going) for row in rows]
+            node, sign = self.tree.node[k].take(symbol), self.tree.sign[k].take(symbol)
             odds = [t.take(row + node).astype(np.float32) for t, row in zip(self.tables, rows)]  # in steps
             mine = weights[k]
             begins = np.flatnonzero(np.concatenate([[True], text[1:] != text[:-1]]))
@@ -371,14 +372,20 @@ class Model:
             counts = np.diff(np.append(begins, len(text)))
             mixed = np.zeros(len(symbol), np.float32)
             for c, x in enumerate(odds):
-                mixed += np.repeat(mine[texts, c] * np.float32(_STEP), counts) * x
+                part = np.repeat(mine[texts, c] * np.float32(_STEP), counts)
+                part *= x
+                mixed += part
             np.clip(mixed, -16, 16, out=mixed)
-            one = 1 / (1 + np.exp(-mixed))
-            error = bit - one
-            logs[place] += np.log1p(-np.abs(error))
+            mixed *= sign
+            against = np.exp(-mixed)  # the odds against the bit that came
+            whole = against + 1
+            logs[place] -= np.log(whole)
+            error = np.divide(against, whole, out=against)
+            error *= sign
             step = (RATE * _STEP) * np.minimum(1, _RATE_BITS / counts)
             for c, x in enumerate(odds):
-                mine[texts, c] += step * np.add.reduceat(error * x, begins)
+                x *= error
+                mine[texts, c] += step * np.add.reduceat(x, begins)
 
 
 #: Lists of each text's anchors: context keys, segments, and what these cost without a bit.
