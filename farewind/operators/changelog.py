@@ -21,7 +21,7 @@ from datetime import datetime
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -37,12 +37,16 @@ _NOTE_COLUMNS = ["first_ts", "last_ts", *_ROWS_OF.values()]
 _NOTE_SCHEMA = "version long, kind string, token string, first_ts timestamp, last_ts timestamp, " + ", ".join(
     f"{name} long" for name in _ROWS_OF.values()
 )
+# Of a commit's fingerprint: its aggregates, and the bits of a hash in the lower parts of their sum.
+_MARKS, _PART_BITS = ("__n", "__xor", "__high", "__middle", "__low"), 21
 # Folders of a log that readers skip: notes of finished commits, and rows not yet moved into it.
 _NOTES, _APART = "_commits", "_apart"
 
 #: A key with more than this share of a target's rows is crowded (a thousand keys at most are).
 CROWDED_SHARE = 0.001
 
+_REPEATED = "more than one source row matches a target row"
+
 # The look-back periods, in hours, of the price comparison.
 LOOK_BACK_HOURS = (1, 2, 3, 4, 6, 8, 10, 12, 14, 16, 18, 20)
 
@@ -92,8 +96,11 @@ def merge_changes(
 
     If the target has a ``_row_id``, there is one ``U`` row for every target row that matches,
     with its id, and added rows have none yet. Otherwise there is one row per source row.
-    Errors and jobs as in ``merge_upsert``.
+    Errors and jobs as in ``merge_upsert``; of a source too large to broadcast the keys that both
+    sides have are stored too.
     """
+    if ROW_ID in target.columns and not fits_broadcast(source):
+        return _changes_by_row(target, source, keys, on_duplicate)
     source, _ = _ready(target, source, keys, on_duplicate)
     if ROW_ID not in target.columns:
         matched = _matched_keys(target, source, keys).withColumn("__hit", F.lit(True))
@@ -102,18 +109,56 @@ def merge_changes(
         unkeyed = source.filter(~_no_nulls(keys)).withColumn("_op", F.lit("I"))
         columns = [*target.columns, "_op"]
         return keyed.withColumn("_op", op).select(*columns).unionByName(unkeyed.select(*columns))
-    values = [name for name in target.columns if name not in (*keys, ROW_ID)]
-    replaced = (
-        target.filter(_no_nulls(keys))
-        .join(_one_per_key(source, keys, values).drop("__spread"), list(keys))
-        .select(
-            *[F.col(f"__new_{name}").alias(name) if name in values else F.col(name) for name in target.columns],
-            F.lit("U").alias("_op"),
-        )
+    values = _row_values(target, keys)
+    once = _one_per_key(source, keys, values).drop("__spread")
+    replaced = target.filter(_no_nulls(keys)).join(once, list(keys))
+    return _row_changes(target, replaced, values, _added(target, source, keys))
+
+
+def _row_values(target: DataFrame, keys: Sequence[str]) -> list[str]:
+    return [name for name in target.columns if name not in (*keys, ROW_ID)]
+
+
+def _row_changes(target: DataFrame, replaced: DataFrame, values: Sequence[str], added: DataFrame) -> DataFrame:
+    updates = replaced.select(
+        *[F.col(f"__new_{name}").alias(name) if name in values else F.col(name) for name in target.columns],
+        F.lit("U").alias("_op"),
     )
     no_id = F.lit(None).cast(target.schema[ROW_ID].dataType)
-    added = _added(target, source, keys).withColumns({ROW_ID: no_id, "_op": F.lit("I")})
-    return replaced.unionByName(added.select(*replaced.columns))
+    inserts = added.withColumns({ROW_ID: no_id, "_op": F.lit("I")})
+    return updates.unionByName(inserts.select(*updates.columns))
+
+
+def _changes_by_row(target: DataFrame, source: DataFrame, keys: Sequence[str], on_duplicate: str) -> DataFrame:
+    """Changes of a target with row ids by a large source, the target read twice (keys; keys and ids).
+
+    The keys that both sides have are stored, with their numbers of source rows: they tell what
+    repeats and what is added. Rows are joined by a hash of the keys first, by which they are sorted quickly.
+    """
+    _check_choice(on_duplicate)
+    hashed = _key_hash(target, source, keys)
+    rows = stored(source, "upsert-source")
+    full = rows.filter(_no_nulls(keys)).withColumn("__hash", hashed)
+    by = ["__hash", *keys]
+    counted = full.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))
+    wanted = target.filter(_no_nulls(keys)).withColumn("__hash", hashed)
+    matched = stored(wanted.select(*by).distinct().join(counted, by).select(*counted.columns), "matched-keys")
+    if on_duplicate == "error" and not matched.filter("__rows > 1").isEmpty():
+        raise ValueError(_REPEATED)
+    values = _row_values(target, keys)
+    if on_duplicate == "error":  # what repeats matches nothing
+        new = full.select(*by, *[F.col(name).alias(f"__new_{name}") for name in values])
+    else:
+        new = _one_per_key(full, by, values).drop("__spread")
+    replaced = wanted.select(*by, ROW_ID).join(new, by)
+    added = full.join(matched, by, "left_anti").drop("__hash")
+    return _row_changes(target, replaced, values, added.unionByName(rows.filter(~_no_nulls(keys))))
+
+
+def _key_hash(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Column:
+    """A hash of the keys, or nothing but zero if their types differ: equal keys might hash apart."""
+    alike = all(target.schema[name].dataType == source.schema[name].dataType for name in keys)
+    return F.xxhash64(*keys) if alike else F.lit(0).cast("long")
 
 
 def _upsert_at_once(
@@ -168,16 +213,20 @@ def _ready(
 
     Repeated keys that match a target row are an error, or settled later.
     """
-    if on_duplicate not in ("error", "largest"):
-        raise ValueError(f"unknown choice for duplicates: {on_duplicate}")
+    _check_choice(on_duplicate)
     rows = stored(source, "upsert-source")
     repeated = rows.filter(_no_nulls(keys)).groupBy(*keys).count().filter("count > 1").select(*keys)
     repeats = not repeated.isEmpty()
     if repeats and on_duplicate == "error" and not target.join(repeated, list(keys), "left_semi").isEmpty():
-        raise ValueError("more than one source row matches a target row")
+        raise ValueError(_REPEATED)
     return rows, repeats
 
 
+def _check_choice(on_duplicate: str) -> None:
+    if on_duplicate not in ("error", "largest"):
+        raise ValueError(f"unknown choice for duplicates: {on_duplicate}")
+
+
 def _no_nulls(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a & b, [F.col(name).isNotNull() for name in keys])
 
@@ -315,11 +364,13 @@ def append_commit(
     apart = f"{path}/{_APART}/{version}-{uuid.uuid4().hex}"
     stamped.write.parquet(apart)
     written = spark.read.schema(stamped.schema).parquet(apart)
-    token = token or _fingerprint(written, version)
-    note = written.agg(*_summary()).select(
-        F.lit(version).cast("long").alias("version"), F.lit(kind).alias("kind"), F.lit(token).alias("token"), "*"
+    marks = [] if token else _fingerprint_parts(written, version)
+    # one pass over what was written, for the note and the token
+    noted = stored(written.agg(*_summary(), *marks), "note")
+    token = token or _joined_fingerprint(noted.first())
+    note = noted.select(
+        F.lit(version).cast("long").alias("version"), F.lit(kind).alias("kind"), F.lit(token).alias("token"), *_NOTE_COLUMNS
     )
-    note = stored(note, "note")
     move_folder(spark, apart, f"{path}/_version={version}")
     note.coalesce(1).write.mode("overwrite").parquet(f"{path}/{_NOTES}/{version}")
 
@@ -374,13 +425,29 @@ def _summary() -> list[Column]:
 
 def _fingerprint(rows: DataFrame, version: int) -> str:
     """Of the rows in any order, without the ids that this commit deals and its time."""
+    return _joined_fingerprint(rows.agg(*_fingerprint_parts(rows, version)).first())
+
+
+def _fingerprint_parts(rows: DataFrame, version: int) -> list[Column]:
+    """Aggregates of the rows' hashes: their number, exclusive or, and sum.
+
+    The sum is kept in three parts of at most 22 bits a row, which long numbers hold for 10^12 rows.
+    """
     columns = [F.col(f"`{name}`") for name in sorted(rows.columns) if name not in (ROW_ID, "_commit_ts")]
     if ROW_ID in rows.columns:
         columns.append(F.when(~F.col(ROW_ID).startswith(f"{version}-"), F.col(ROW_ID)))
-    row = rows.agg(
-        F.count(F.lit(1)), F.bit_xor(F.xxhash64(*columns)), F.sum(F.xxhash64(*columns).cast("decimal(38,0)"))
-    ).first()
-    return "-".join(map(str, row))
+    hashed, low = F.xxhash64(*columns), F.lit((1 << _PART_BITS) - 1)
+    parts = [
+        F.shiftright(hashed, 2 * _PART_BITS), F.shiftright(hashed, _PART_BITS).bitwiseAND(low), hashed.bitwiseAND(low)
+    ]
+    marks = [F.count(F.lit(1)), F.bit_xor(hashed), *map(F.sum, parts)]
+    return [mark.alias(name) for mark, name in zip(marks, _MARKS)]
+
+
+def _joined_fingerprint(row: Row) -> str:
+    n, xor, high, middle, low = (row[name] for name in _MARKS)
+    total = ((high << _PART_BITS) + middle << _PART_BITS) + low if n else None
+    return f"{n}-{xor}-{total}"
 
 
 def _noted_token(spark: SparkSession, path: str, version: int) -> str | None:

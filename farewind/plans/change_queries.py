@@ -55,7 +55,7 @@ def _through_log(spark, target, source, keys):
     changes = changelog.merge_changes(before, source, keys)
     changelog.append_commit(changes, path, 1, "2024-01-02 00:00:00")
     # a late retry of the first commit, in another order: it is finished, so nothing is written
-    changelog.append_commit(target.repartition(3), path, 0, "2024-01-01 00:00:00", op="I", row_ids=True)
+    changelog.append_commit(target.hint("rebalance", *keys), path, 0, "2024-01-01 00:00:00", op="I", row_ids=True)
     log = changelog.read_changes(spark, path, schema)
     return changelog.as_of(log, [changelog.ROW_ID]).select(*names)
 

@@ -183,6 +183,62 @@ def test_upsert_against_a_dictionary(spark, no_broadcast, monkeypatch, seed, sha
 # --- update ------------------------------------------------------------------------------
 
 
+def _by_row(spark, rows):
+    given = spark.createDataFrame(rows, "k int, m string, v int, w int")
+    return given.withColumn(changelog.ROW_ID, F.concat(F.lit("0-"), F.monotonically_increasing_id().cast("string")))
+
+
+@pytest.mark.parametrize("on_duplicate", ["error", "largest"])
+def test_large_changes_by_row_read_the_keys_once(spark, no_broadcast, on_duplicate):
+    rows = [(1, "a", 1, 0), (1, "a", 2, 0), (2, "b", 3, 0), (None, "a", 4, 0), (3, None, 5, 0)]
+    target = _by_row(spark, rows)
+    source = [(1, "a", 10, 1), (7, "z", 11, 1), (7, "z", 12, 2), (None, "a", 13, 3), (3, None, 14, 4)]
+    if on_duplicate == "largest":
+        source.append((1, "a", 9, 9))
+    source = spark.createDataFrame(source, "k int, m string, v int, w int")
+    plain = changelog.merge_changes(target, source, ["k", "m"], on_duplicate)
+    want = sorted(map(str, plain.collect()))
+    no_broadcast()
+    large = changelog.merge_changes(target, source, ["k", "m"], on_duplicate)
+    assert large.columns == plain.columns and sorted(map(str, large.collect())) == want
+    assert large.filter("_op = 'U'").count() == 2 and large.filter("_op = 'I'").count() == 4
+    plan = large._jdf.queryExecution().optimizedPlan().toString()
+    # the keys that both sides have were stored when called: the target is read for the updates alone
+    assert plan.count("monotonically_increasing_id") == 1
+
+
+def test_large_changes_by_row_refuse_repeats_and_match_keys_of_other_types(spark, no_broadcast):
+    no_broadcast()
+    target = _by_row(spark, [(1, "a", 1, 0), (2, "b", 2, 0)])
+    twice = spark.createDataFrame([(1, "a", 5, 0), (1, "a", 6, 0)], "k int, m string, v int, w int")
+    with pytest.raises(ValueError, match="more than one source row"):
+        changelog.merge_changes(target, twice, ["k", "m"])
+    wide = spark.createDataFrame([(1, "a", 5, 0), (9, "c", 6, 0)], "k long, m string, v int, w int")
+    ops = {(row["k"], row["_op"]) for row in changelog.merge_changes(target, wide, ["k", "m"]).collect()}
+    assert ops == {(1, "U"), (9, "I")}
+
+
+def test_a_fingerprint_is_the_sum_of_hashes_of_any_size(spark):
+    rows = spark.range(1000).selectExpr("id", "cast(id % 7 as string) AS s")
+    hashes = [r[0] for r in rows.select(F.xxhash64("id", "s")).collect()]
+    xor = 0
+    for value in hashes:
+        xor ^= value
+    assert changelog._fingerprint(rows, 0) == f"1000-{xor}-{sum(hashes)}"
+    assert changelog._fingerprint(rows.limit(0), 0) == "0-None-None"
+
+
+def test_a_commit_is_read_once_for_its_note_and_its_token(spark, monkeypatch):
+    read = []
+    monkeypatch.setattr(changelog, "_fingerprint", lambda *a: read.append(a))
+    path = new_folder(spark, "log")
+    rows = spark.range(10).withColumnRenamed("id", "k")
+    changelog.append_commit(rows, path, 0, START, op="I")
+    monkeypatch.undo()
+    assert read == []
+    changelog.append_commit(rows.orderBy(F.desc("k")), path, 0, START, op="I")  # its token is the same
+
+
 def test_update_of_one_fare(spark):
     condition = "Airline = 'CheeseAir' AND Date_Of_Journey = '2023-09-01'"
     updated = changelog.update_where(fares(spark, FARE_ROWS), condition, {"Price": "5000"})
