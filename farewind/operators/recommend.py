@@ -16,6 +16,8 @@ from farewind.scratch import ensure_checkpoint_dir, stored
 
 #: Fares of a user that one task may meet recommendations with, and pieces of a larger user.
 MAX_USER_FARES, SALTS = 1_000_000, 64
+#: Fares, about, that a task joins with recommendations: the product is ten times as long, and is grouped there.
+TASK_FARES = 250_000
 # Copies of one fare that are dealt together.
 _COPY_BLOCK = 1000
 
@@ -296,15 +298,22 @@ def recommend_with_source(recs: DataFrame, fares: DataFrame) -> DataFrame:
     return recs.join(starts, "route").select("source_des", "route")
 
 
-def attach_fares(recs: DataFrame, fares: DataFrame, max_fares: int = MAX_USER_FARES) -> DataFrame:
+def attach_fares(
+    recs: DataFrame, fares: DataFrame, max_fares: int = MAX_USER_FARES, task_fares: int = TASK_FARES
+) -> DataFrame:
     """Every recommendation of a user next to every fare of that user, with the price band.
 
     The result is the product of the two per user. Users with more than ``max_fares`` fares are
     counted out beforehand, by a job when called: their fares are dealt over SALTS pieces by a
-    hash, and their few recommendations are copied to each piece.
+    hash, and their few recommendations are copied to each piece. The others are dealt by user to
+    as many tasks as their fares need, by their number: partitions sized by the bytes that reach the
+    join would hold any number of its rows. The fares are counted by a job too.
     """
     offers = fares.select("userId", "Airline", "Price")
     roomy, crowded = split_crowded(offers, ["userId"], max_fares)
+    tasks = -(-offers.count() // task_fares)
+    if tasks > 1:
+        recs, roomy = recs.repartition(tasks, "userId"), roomy.repartition(tasks, "userId")
     result = recs.join(roomy, "userId")
     if crowded is not None:
         # Copies of a fare cannot be told apart by a hash: they are counted, and dealt in blocks.

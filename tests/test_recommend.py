@@ -155,3 +155,13 @@ def test_crowded_users_are_dealt_over_pieces(spark, no_broadcast):
     spark.conf.set(name, "true")
     sizes = [r["count"] for r in pieces]
     assert sum(sizes) == 400 and max(sizes) < 200
+
+
+def test_fares_are_dealt_to_tasks_by_their_number(spark):
+    fares = spark.range(4000).selectExpr("cast(id % 200 as int) AS userId", "'A' AS Airline", "cast(id as int) AS Price")
+    recs = spark.range(200).selectExpr("cast(id as int) AS userId", "'r' AS route")
+    table = recommend.attach_fares(recs, fares.unionByName(fares.limit(0)), task_fares=200)
+    assert "repartition_by_num" in table._jdf.queryExecution().executedPlan().toString().lower()
+    sizes = [r["count"] for r in table.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 and max(sizes) < 800  # one partition of 4000 if sized by bytes
+    assert table.select("userId", "Price").distinct().count() == 4000
