@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from farewind import schemas
-from farewind.operators import changelog, trends
+from farewind.operators import changelog, marks, trends
 from farewind.operators.filters import facet_values
-from farewind.scratch import new_folder
+from farewind.scratch import folder_names, new_folder, passing_tables, shared_root, stored
+from __spark_entry__ import SMOKE_DIR, queries
 from tests.fixture_rows import FARE_ROWS, QUOTE_ROWS
 
 START = datetime(2024, 9, 19, 12, 0, 0)
@@ -218,6 +219,89 @@ def test_large_changes_by_row_refuse_repeats_and_match_keys_of_other_types(spark
     assert ops == {(1, "U"), (9, "I")}
 
 
+def _log_by_row(spark):
+    """Ids "0-0" to "0-999", of which every fiftieth is updated twice and every hundredth then deleted."""
+    rows = [(f"0-{i}", i, 0, "I") for i in range(1000)]
+    rows += [(f"0-{i}", -i - v, v, "U") for v in (1, 2) for i in range(0, 1000, 50)]
+    rows += [(f"0-{i}", 0, 3, "D") for i in range(0, 1000, 100)]
+    rows += [(None, 1, 0, "I"), (None, 2, 1, "U"), ("0-7", 70, 0, None)]
+    log = spark.createDataFrame(rows, "_row_id string, p int, _version long, _op string")
+    return log.withColumn("_commit_ts", F.timestamp_seconds("_version"))
+
+
+@pytest.mark.parametrize("bits", [1 << 28, 1 << 12])
+def test_a_state_by_row_shuffles_changed_rows_only(spark, monkeypatch, bits):
+    monkeypatch.setattr(marks, "BITS", bits)  # a small set takes ids for others, and the state is the same
+    log = _log_by_row(spark).filter("_op is not null")
+    wanted = {i: -i - 2 if i % 50 == 0 else i for i in range(1000) if i % 100}
+    for on_tie in ("any", "error"):
+        state = changelog.as_of(log, [changelog.ROW_ID], on_tie=on_tie)
+        assert state.columns == ["_row_id", "p"]
+        assert as_set(state) == {(None, 2), *((f"0-{i}", p) for i, p in wanted.items())}
+    old = changelog.as_of(log, [changelog.ROW_ID], 0, by="_version")
+    assert as_set(old) == {(None, 1), *((f"0-{i}", i) for i in range(1000))}
+    changed, alone = changelog._changed_rows(log)
+    assert changed.count() + alone.count() == 1052
+    assert changed.count() == 72 if bits == 1 << 28 else 72 <= changed.count() < 200
+    # of the rows that never change none is in the grouping, and so in its shuffle
+    assert {r._row_id for r in alone.collect()}.isdisjoint({f"0-{i}" for i in range(0, 1000, 50)})
+
+
+def test_a_state_by_row_settles_unknown_kinds_and_ties_as_before(spark):
+    log = _log_by_row(spark)
+    ids = {r._row_id for r in changelog.as_of(log, [changelog.ROW_ID]).collect()}
+    assert len(ids) in (990, 991) and ids - {"0-7"} == {None, *(f"0-{i}" for i in range(1000) if i % 100 and i != 7)}
+    lone = spark.createDataFrame([("0-1", 1, None), ("0-2", 2, "I"), ("0-3", 3, "D")], "_row_id string, p int, _op string")
+    lone = lone.withColumns({"_version": F.lit(0).cast("long"), "_commit_ts": F.timestamp_seconds(F.lit(0))})
+    assert as_set(changelog.as_of(lone, [changelog.ROW_ID])) == {("0-2", 2)}
+    with pytest.raises(Exception, match="two newest changes"):
+        changelog.as_of(log, [changelog.ROW_ID], on_tie="error").collect()
+
+
+@pytest.mark.parametrize("bits", [1 << 28, 64])
+def test_large_changes_by_row_join_marked_rows_only(spark, no_broadcast, monkeypatch, bits):
+    monkeypatch.setattr(marks, "BITS", bits)
+    given = [(i % 300 or None, "m", i, 0) for i in range(600)]
+    target = stored(_by_row(spark, given), "target")
+    source = spark.createDataFrame([(i or None, "m", -i, 1) for i in range(290, 400)] + [(5000, "m", 1, 1)] * 3, "k int, m string, v int, w int")
+    want = sorted(map(str, changelog.merge_changes(target, source, ["k", "m"]).collect()))
+    no_broadcast()
+    large = changelog.merge_changes(target, source, ["k", "m"])
+    assert sorted(map(str, large.collect())) == want and len(want) == 20 + 103
+    assert "__words" in large._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_a_set_of_bits_never_misses(spark):
+    rows = spark.range(20_000).select(F.xxhash64("id").alias("h"), "id")
+    inside, outside = marks.split_by_bits(rows, F.col("h"), marks.bit_set(rows.filter("id % 5 = 0"), F.col("h")))
+    ids = {r.id for r in inside.collect()}
+    assert {i for i in range(0, 20_000, 5)} <= ids and len(ids) < 4100
+    assert ids | {r.id for r in outside.collect()} == set(range(20_000)) and outside.count() + len(ids) == 20_000
+    none, every = marks.split_by_bits(rows, F.col("h"), marks.bit_set(rows.limit(0), F.col("h")))
+    assert none.count() == 0 and every.count() == 20_000
+    assert marks.split_by_bits(rows.limit(0), F.col("h"), marks.bit_set(rows, F.col("h")))[0].count() == 0
+
+
+def test_passing_tables_are_deleted(spark):
+    kept = stored(spark.range(3), "kept")
+    before = set(folder_names(spark, shared_root(spark)))
+    with passing_tables():
+        stored(spark.range(3), "passing")
+        assert len(set(folder_names(spark, shared_root(spark))) - before) == 1
+    assert set(folder_names(spark, shared_root(spark))) == before and kept.count() == 3
+    with pytest.raises(ZeroDivisionError), passing_tables():
+        stored(spark.range(3), "passing")
+        1 / 0
+    assert set(folder_names(spark, shared_root(spark))) == before
+
+
+def test_an_upsert_through_the_log_leaves_no_copy_of_the_table(spark):
+    before = set(folder_names(spark, shared_root(spark)))
+    queries()["upsert_through_log"](spark, SMOKE_DIR)
+    left = set(folder_names(spark, shared_root(spark))) - before
+    assert sorted(name.rpartition("-")[0] for name in left) == ["note", "upsert-log"]
+
+
 def test_a_fingerprint_is_the_sum_of_hashes_of_any_size(spark):
     rows = spark.range(1000).selectExpr("id", "cast(id % 7 as string) AS s")
     hashes = [r[0] for r in rows.select(F.xxhash64("id", "s")).collect()]
