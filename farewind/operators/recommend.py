@@ -18,6 +18,9 @@ from farewind.scratch import ensure_checkpoint_dir, stored
 MAX_USER_FARES, SALTS = 1_000_000, 64
 #: Fares, about, that a task joins with recommendations: the product is ten times as long, and is grouped there.
 TASK_FARES = 250_000
+#: Blocks of users, and of routes, that the solver makes at least, and about how many ratings a larger fit gives to one.
+#: Every user meets every block of routes when recommended to, so these are fewer.
+MIN_BLOCKS, USER_BLOCK_RATINGS, ROUTE_BLOCK_RATINGS = 10, 1_000_000, 8_000_000
 # Copies of one fare that are dealt together.
 _COPY_BLOCK = 1000
 
@@ -152,6 +155,9 @@ def fit_routes(
     By default every row is one observation. ``dedupe="mean"`` first averages the rows of
     each (user, route), on the map side, so that a user with very many rows contributes at
     most one rating per route to the solver; repeated pairs then no longer weigh more.
+
+    A task of the solver holds a block's ratings, so unless ``blocks`` is given the ratings are counted
+    by a job, and the blocks are as many as they need. Each iteration's shuffle files are deleted after it.
     """
     ensure_checkpoint_dir(ratings.sparkSession)
     rows = ratings.select(
@@ -180,11 +186,17 @@ def fit_routes(
         itemCol="route_index",
         ratingCol="rating",
         coldStartStrategy="drop",
+        checkpointInterval=1,
         seed=seed,
     )
-    if blocks:
-        als = als.setNumBlocks(blocks)
-    return als.fit(rows)
+    users, routes = (blocks, blocks) if blocks else _solver_blocks(rows)
+    return als.setNumUserBlocks(users).setNumItemBlocks(routes).fit(rows)
+
+
+def _solver_blocks(rows: DataFrame) -> tuple[int, int]:
+    """How many blocks of users and of routes the solver needs for these ratings."""
+    ratings = rows.count()
+    return max(MIN_BLOCKS, -(-ratings // USER_BLOCK_RATINGS)), max(MIN_BLOCKS, -(-ratings // ROUTE_BLOCK_RATINGS))
 
 
 def recommend_routes(model: ALSModel, labels: LabelIndex, k: int = 10) -> DataFrame:

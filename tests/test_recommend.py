@@ -91,6 +91,21 @@ def test_unratable_rows_are_left_out(rated):
         recommend.fit_routes(holes, blocks=2, on_null="error")
 
 
+def test_blocks_of_the_solver_follow_the_ratings(rated, monkeypatch):
+    rows, labels = rated
+    pieces = lambda factors: factors._jdf.rdd().getNumPartitions()
+    plain = recommend.fit_routes(rows)
+    assert (pieces(plain.userFactors), pieces(plain.itemFactors)) == (10, 10)
+    monkeypatch.setattr(recommend, "USER_BLOCK_RATINGS", 20)
+    monkeypatch.setattr(recommend, "ROUTE_BLOCK_RATINGS", 50)
+    model = recommend.fit_routes(rows)  # 600 ratings
+    assert (pieces(model.userFactors), pieces(model.itemFactors)) == (30, 12)
+    assert recommend.recommend_routes(model, labels, 10).count() == 12 * 10
+    assert recommend.fit_residuals(model, rows).filter("residual < 1e-3").count() == 12
+    given = recommend.fit_routes(rows, blocks=3)
+    assert (pieces(given.userFactors), pieces(given.itemFactors)) == (3, 3)
+
+
 @pytest.mark.parametrize("small", [True, False])
 def test_tables_built_from_recommendations(rated, no_broadcast, small):
     if not small:
