@@ -7,33 +7,37 @@ stay out of a join or a grouping, and the rest must still go through it.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bits of a set: 32 MB when all its rows are there. A row has up to 64 words of 64 bits.
-BITS = 1 << 28
+#: Bits of a set, and words of 64 bits in a row of it: half a million rows, some 46 MB, when all are there.
+BITS, WORDS = 1 << 28, 8
 
 
 def bit_set(rows: DataFrame, hashed: Column) -> DataFrame:
-    """(__chunk, __words) of the hashes of ``rows``, combined on the map side; chunks without a bit are left out."""
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__place").bitwiseAND(F.lit(63)).cast("int"))
-    places = rows.select(F.pmod(hashed, F.lit(BITS)).alias("__place"))
-    words = places.groupBy(F.shiftright("__place", 6).alias("__word")).agg(F.bit_or(bit).alias("__bits"))
-    entry = F.struct(F.col("__word").bitwiseAND(F.lit(63)).cast("int"), "__bits")
-    chunks = words.groupBy(F.shiftright("__word", 6).alias("__chunk")).agg(
-        F.map_from_entries(F.collect_list(entry)).alias("__by_word")
-    )
-    every = F.sequence(F.lit(0), F.lit(63))
-    held = F.transform(every, lambda word: F.coalesce(F.element_at("__by_word", word), F.lit(0).cast("long")))
-    return chunks.select("__chunk", held.alias("__words"))
+    """(__chunk, __word0, ...) of the hashes of ``rows``, combined on the map side; chunks without a bit are left out."""
+    chunk, word, bit = _place(hashed)
+    marked = rows.select(chunk.alias("__chunk"), word.alias("__word"), bit.alias("__bit"))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("__bit"))
+    words = [F.bit_or(F.when(F.col("__word") == i, mask)).alias(f"__word{i}") for i in range(WORDS)]
+    return marked.groupBy("__chunk").agg(*words)
 
 
 def split_by_bits(rows: DataFrame, hashed: Column, bits: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The rows whose hash has its bit in the set, and the others; ``bits`` is broadcast."""
-    place = F.pmod(hashed, F.lit(BITS))
-    word = F.shiftright(place, 6).bitwiseAND(F.lit(63)).cast("int") + 1
-    held = F.getbit(F.element_at("__words", word), place.bitwiseAND(F.lit(63)).cast("int")) == 1
-    placed = rows.withColumn("__chunk", F.shiftright(place, 12))
+    chunk, word, bit = _place(hashed)
+    held = reduce(lambda so_far, i: so_far.when(word == i, F.col(f"__word{i}")), range(1, WORDS), F.when(word == 0, F.col("__word0")))
+    held = F.getbit(held, bit) == 1
+    placed = rows.withColumn("__chunk", chunk)
     inside = placed.join(F.broadcast(bits), "__chunk").filter(held).select(*rows.columns)
     outside = placed.join(F.broadcast(bits), "__chunk", "left")
     return inside, outside.filter(~F.coalesce(held, F.lit(False))).select(*rows.columns)
+
+
+def _place(hashed: Column) -> tuple[Column, Column, Column]:
+    """Row, word in the row, and bit in the word of a hash."""
+    place = F.pmod(hashed, F.lit(BITS))
+    word = F.shiftright(place, 6)
+    return F.shiftright(place, 5 + WORDS.bit_length()), word.bitwiseAND(F.lit(WORDS - 1)), place.bitwiseAND(F.lit(63)).cast("int")
